@@ -1,0 +1 @@
+"""No streaming jobs: every stage of the workload is a one-shot batch."""
