@@ -895,7 +895,8 @@ def k6_analysis_report(spark, sf_dir):
 
 
 def _assessed_fields(*names: str) -> Query:
-    return lambda spark, sf_dir: staged(spark, sf_dir).assessed.select("conversation_id", *names)
+    """The analysis restricted to one operator's columns; Spark prunes the features the others need."""
+    return lambda spark, sf_dir: analysis.analyse(staged(spark, sf_dir).grouped).select("conversation_id", *names)
 
 
 @query(
