@@ -29,7 +29,7 @@ def test_clean_text(spark):
         "@中文 hi": "@USER hi",
         "a@b.com": "a@USER.com",
         "it&#39;s": "it&;s",
-        "a  b\n\n c d\x1ce": "a b c d e",
+        "a\u00a0 b\n\n c\u2003d\x1ce\u0085f": "a b c d e f",
         "#tag only": "only",
         "@USER stays": "@USER stays",
         "httpx://kept https://": "httpx://kept https://",

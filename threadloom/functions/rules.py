@@ -12,7 +12,6 @@ Sums, minima and maxima combine before the shuffle, so a conversation of any len
 
 from __future__ import annotations
 
-import itertools
 import re
 from dataclasses import dataclass
 
@@ -110,18 +109,28 @@ def _alternatives(pattern: str) -> list[str]:
     return [group[1] + choice for choice in group[2].split("|")]
 
 
-def plain_count(text: Column, pattern: str) -> Column:
+# The SQL below says CASE, not if(): Spark compiles every CASE into a method of its own, and only methods of modest size
+# are optimised by the JVM.
+
+
+def quoted(literal: str) -> str:
+    return "'" + literal.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _contains(scope: str, literal: str) -> str:
+    return f"contains({scope}, {quoted(literal)})"
+
+
+def plain_count(scope: str, pattern: str) -> str:
     """Occurrences of a plain pattern: how much shorter the text gets without it. Byte search, no regex.
 
     Most patterns are absent from most messages, so the cheap containment test goes first.
     """
-    total = None
+    terms = []
     for literal in _alternatives(pattern):
-        found = F.lit(literal)
-        cut = F.octet_length(text) - F.octet_length(F.replace(text, found, F.lit("")))
-        hits = F.when(F.contains(text, found), F.call_function("div", cut, F.lit(len(literal.encode())))).otherwise(0)
-        total = hits if total is None else total + hits
-    return total
+        cut = f"octet_length({scope}) - octet_length(replace({scope}, {quoted(literal)}, ''))"
+        terms.append(f"CASE WHEN {_contains(scope, literal)} THEN ({cut}) div {len(literal.encode())} ELSE 0L END")
+    return " + ".join(terms)
 
 
 def plain_patterns(patterns: list[str]) -> list[str]:
@@ -136,126 +145,96 @@ class Gap:
     head: str
     tails: tuple[str, ...]
 
-    @property
-    def key(self) -> str:
-        return re.sub(r"\W+", "_", f"{self.scope}_{self.head}_{'_'.join(self.tails)}")
-
     @property
     def first(self) -> str:
         return re.sub(r"\W+", "_", f"first_{self.scope}_{self.head}")
 
     @property
     def last(self) -> str:
-        return f"last_{self.key}"
-
-    def has_head(self) -> Column:
-        return F.contains(F.col(self.scope), F.lit(self.head))
+        return re.sub(r"\W+", "_", f"last_{self.scope}_{self.head}_{'_'.join(self.tails)}")
 
-    def has_tail(self) -> Column:
-        found = [F.contains(F.col(self.scope), F.lit(tail)) for tail in self.tails]
-        return found[0] if len(found) == 1 else F.coalesce(*[F.when(each, True) for each in found], F.lit(False))
-
-    def within(self) -> Column:
-        """Some tail starts after the first head of the same message."""
-        text = F.col(self.scope)
-        start = F.instr(text, self.head) + len(self.head)
-        found = [F.call_function("locate", F.lit(tail), text, start) > 0 for tail in self.tails]
-        return found[0] if len(found) == 1 else F.coalesce(*[F.when(each, True) for each in found], F.lit(False))
-
-    def message_columns(self) -> dict[str, Column]:
+    def message_columns(self) -> dict[str, str]:
         """Twice the position, shifted so that first < last holds exactly when head comes before tail."""
-        at = F.col("sequence_number").cast("bigint") * 2
-        inside = F.when(self.has_head() & self.within(), at + 2).otherwise(at)
-        return {self.first: F.when(self.has_head(), at + 1), self.last: F.when(self.has_tail(), inside)}
+        head = _contains(self.scope, self.head)
+        tails = " OR ".join(_contains(self.scope, tail) for tail in self.tails)
+        start = f"instr({self.scope}, {quoted(self.head)}) + {len(self.head)}"
+        within = " OR ".join(f"locate({quoted(tail)}, {self.scope}, {start}) > 0" for tail in self.tails)
+        return {
+            self.first: f"CASE WHEN {head} THEN 2L * sequence_number + 1 END",
+            self.last: f"CASE WHEN {tails} THEN 2L * sequence_number"
+            f" + CASE WHEN {head} AND ({within}) THEN 2 ELSE 0 END END",
+        }
 
-    def hit(self) -> Column:
-        return F.coalesce((F.col(self.first) < F.col(self.last)).cast("int"), F.lit(0))
+    def hit(self) -> str:
+        return f"CASE WHEN {self.first} < {self.last} THEN 1 ELSE 0 END"
 
 
 def _gap(scope: str, pattern: str) -> Gap:
     head, _, tail = pattern.partition(".*")
-    whole = re.fullmatch(r"\(\?:(.*)\)", tail)
-    return Gap(scope, head, tuple(whole[1].split("|")) if whole else tuple(_alternatives(tail)))
+    return Gap(scope, head, tuple(_alternatives(tail)))
 
 
-def family_gaps(scope: str, patterns: list[str]) -> list[Gap]:
-    return [_gap(scope, pattern) for pattern in patterns if ".*" in pattern]
+def _mask(scope: str, words: list[str]) -> str:
+    """Which words occur, as bits of one integer."""
+    bits = [f"CASE WHEN {_contains(scope, word)} THEN {1 << n}L ELSE 0L END" for n, word in enumerate(words)]
+    return " | ".join(bits)
 
 
-def _mask(scope: str, words: list[str]) -> Column:
-    """Which words occur, as bits of one integer."""
-    bits = [
-        F.when(F.contains(F.col(scope), F.lit(word)), F.lit(1 << n)).otherwise(F.lit(0)).cast("bigint")
-        for n, word in enumerate(words)
-    ]
-    total = bits[0]
-    for bit in bits[1:]:
-        total = total.bitwiseOR(bit)
-    return total
-
-
-def message_features() -> dict[str, Column]:
-    """Per-message columns; expects ``sequence_number`` and lower-cased ``transcript`` and ``customer`` text."""
-    features: dict[str, Column] = {}
+def message_features() -> dict[str, str]:
+    """Per-message SQL; expects ``sequence_number`` and lower-cased ``transcript`` and ``customer`` text."""
+    features: dict[str, str] = {}
     for (scope, family), patterns in FAMILIES.items():
-        counts = [plain_count(F.col(scope), pattern) for pattern in plain_patterns(patterns)]
+        counts = [plain_count(scope, pattern) for pattern in plain_patterns(patterns)]
         if counts:
-            total = counts[0]
-            for count in counts[1:]:
-                total = total + count
-            features[f"plain_{family}"] = total.cast("bigint")
-        for gap in family_gaps(scope, patterns):
+            features[f"plain_{family}"] = " + ".join(counts)
+        for gap in family_gaps(family):
             features.update(gap.message_columns())
     features["transcript_words"] = _mask("transcript", TRANSCRIPT_WORDS)
     features["issue_words"] = _mask("customer", ISSUE_WORDS)
     return features
 
 
-def combine(name: str, feature: Column) -> Column:
+def combine(name: str, feature: str) -> Column:
     """How a feature of a conversation follows from the features of its messages."""
     if name.startswith("first_"):
-        merged = F.min(feature)
+        merged = "min"
     elif name.startswith("last_"):
-        merged = F.max(feature)
+        merged = "max"
     elif name.endswith("_words"):
-        merged = F.bit_or(feature)
+        merged = "bit_or"
     else:
-        merged = F.sum(feature)
-    return merged.alias(name)
+        merged = "sum"
+    return F.expr(f"{merged}({feature}) AS {name}")
 
 
-def plain_hits(family: str) -> Column:
-    scope = next(scope for scope, name in FAMILIES if name == family)
-    return F.col(f"plain_{family}") if plain_patterns(FAMILIES[scope, family]) else F.lit(0)
+def _scope(family: str) -> str:
+    return next(scope for scope, name in FAMILIES if name == family)
+
+
+def family_gaps(family: str) -> list[Gap]:
+    scope = _scope(family)
+    return [_gap(scope, pattern) for pattern in FAMILIES[scope, family] if ".*" in pattern]
 
 
 def gap_hits(family: str) -> list[Column]:
-    scope = next(scope for scope, name in FAMILIES if name == family)
-    return [gap.hit() for gap in family_gaps(scope, FAMILIES[scope, family])]
+    return [F.expr(gap.hit()) for gap in family_gaps(family)]
 
 
-def family_hits(family: str) -> Column:
-    total = plain_hits(family)
-    for hit in gap_hits(family):
-        total = total + hit
-    return total.cast("bigint")
+def _hits(family: str) -> str:
+    plain = [f"plain_{family}"] if plain_patterns(FAMILIES[_scope(family), family]) else ["0L"]
+    return " + ".join(plain + [gap.hit() for gap in family_gaps(family)])
 
 
-def occurs(mask: str, words: list[str], word: str) -> Column:
-    return F.col(mask).bitwiseAND(F.lit(1 << words.index(word))) != 0
+def family_hits(family: str) -> Column:
+    return F.expr(f"CAST({_hits(family)} AS BIGINT)")
 
 
 def best_label(prefix: str, labels: list[str]) -> tuple[Column, Column]:
     """Label with the most hits (first declared wins a tie) and its share of all hits plus one."""
-    scores = [family_hits(f"{prefix}_{label}") for label in labels]
-    ranked = F.array(
-        *[
-            F.struct(score.alias("score"), F.lit(-order).alias("order"), F.lit(label).alias("label"))
-            for order, (score, label) in enumerate(zip(scores, labels))
-        ]
+    scores = [f"CAST({_hits(f'{prefix}_{label}')} AS BIGINT)" for label in labels]
+    ranked = ", ".join(
+        f"named_struct('score', {score}, 'place', {-order}, 'label', {quoted(label)})"
+        for order, (score, label) in enumerate(zip(scores, labels))
     )
-    best = F.array_max(ranked)
-    total = scores[0]
-    for score in itertools.islice(scores, 1, None):
-        total = total + score
-    return best["label"], best["score"] / (total + 1)
+    best = f"array_max(array({ranked}))"
+    return F.expr(f"{best}.label"), F.expr(f"{best}.score / ({' + '.join(scores)} + 1)")

@@ -99,11 +99,7 @@ def _sentiment(features: DataFrame) -> DataFrame:
 
 
 def _said(*words: str) -> Column:
-    found = [rules.occurs("transcript_words", rules.TRANSCRIPT_WORDS, word) for word in words]
-    either = found[0]
-    for other in found[1:]:
-        either = either | other
-    return either
+    return F.expr(f"(transcript_words & {sum(1 << rules.TRANSCRIPT_WORDS.index(word) for word in words)}L) != 0")
 
 
 def _tags() -> Column:
@@ -139,16 +135,14 @@ def _summary() -> Column:
 
 
 def _key_issues() -> Column:
-    named = [F.when(rules.occurs("issue_words", rules.ISSUE_WORDS, word), F.lit(word)) for word in rules.ISSUE_WORDS]
-    return F.slice(F.array_compact(F.array(*named)), 1, MAX_ISSUES)
+    words = ", ".join(rules.quoted(word) for word in rules.ISSUE_WORDS)
+    return F.expr(f"slice(filter(array({words}), (word, n) -> (issue_words & shiftleft(1L, n)) != 0), 1, {MAX_ISSUES})")
 
 
 def _agent_performance() -> Column:
     def present(words: list[str]) -> Column:
-        total = F.lit(0)
-        for word in words:
-            total = total + _said(word).cast("int")
-        return total
+        mask = sum(1 << rules.TRANSCRIPT_WORDS.index(word) for word in words)
+        return F.expr(f"bit_count(transcript_words & {mask}L)")
 
     good, poor = present(rules.GOOD_AGENT_WORDS), present(rules.POOR_AGENT_WORDS)
     return F.when((good > poor) & (good > 0), F.lit("good")).when(poor > good, F.lit("poor")).otherwise(F.lit("fair"))
