@@ -180,10 +180,26 @@ def test_parts_and_transcript_input(grouped_of):
     assert read == direct
 
 
-def test_one_partial_aggregate_and_one_shuffle(grouped_of):
+def test_terms_combine_before_the_shuffle(grouped_of):
     frame = analysis.analyse(grouped_of({1: [customer("x")]}))
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and "partial_sum" in plan and "Window" not in plan
+
+
+def test_self_overlapping_and_touching_literals(grouped_of):
+    cases = {1: "excusexcuse", 2: "excusexcusexcuse", 3: "makesense", 4: "makesense and sense", 5: "sense makes",
+             6: "makes no sense", 7: "settingsettings settings"}
+    features = analysis.conversation_features(
+        transcripts.lines(grouped_of({n: [customer(body)] for n, body in cases.items()}))
+    )
+    families = ["behaviour_polite", "behaviour_cooperative", "nature_account"]
+    got = {
+        row.conversation_id: {name: row[name] for name in families}
+        for row in features.select("conversation_id", *[rules.family_hits(f).alias(f) for f in families]).collect()
+    }
+    for number, body in cases.items():
+        wanted = expected_scores(f"CUSTOMER: c{number}: {body}")
+        assert got[number] == {name: wanted[name] for name in families}, body
 
 
 @pytest.mark.parametrize(

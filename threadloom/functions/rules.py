@@ -4,14 +4,16 @@ The rules count pattern hits in a whole transcript. Counting does not need the t
 
 * a plain pattern is a literal text that cannot reach across the separator between two messages: hits add up;
 * a gap pattern ``A.*B`` matches a single-line text at most once (``.*`` is greedy), namely when some ``B`` starts after
-  an ``A``. That holds when one message contains the match, or when the first message with an ``A`` comes before the
-  last message with a ``B``; a minimum and a maximum of positions decide it.
+  an ``A`` ends: when the first ``A`` of the conversation comes before its last ``B``.
 
-Sums, minima and maxima combine before the shuffle, so a conversation of any length is never gathered in one task.
+So one scan per message extracts every literal that occurs in any pattern, and a conversation is described by the
+number, first place and last place of each literal. Those combine before the shuffle, and there are at most as many per
+conversation as the rules have literals, so a conversation of any length is never gathered in one task.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -109,32 +111,12 @@ def _alternatives(pattern: str) -> list[str]:
     return [group[1] + choice for choice in group[2].split("|")]
 
 
-# The SQL below says CASE, not if(): Spark compiles every CASE into a method of its own, and only methods of modest size
-# are optimised by the JVM.
-
-
-def quoted(literal: str) -> str:
+def _quoted(literal: str) -> str:
     return "'" + literal.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _contains(scope: str, literal: str) -> str:
-    return f"contains({scope}, {quoted(literal)})"
-
-
-def plain_count(scope: str, pattern: str) -> str:
-    """Occurrences of a plain pattern: how much shorter the text gets without it. Byte search, no regex.
-
-    Most patterns are absent from most messages, so the cheap containment test goes first.
-    """
-    terms = []
-    for literal in _alternatives(pattern):
-        cut = f"octet_length({scope}) - octet_length(replace({scope}, {quoted(literal)}, ''))"
-        terms.append(f"CASE WHEN {_contains(scope, literal)} THEN ({cut}) div {len(literal.encode())} ELSE 0L END")
-    return " + ".join(terms)
-
-
-def plain_patterns(patterns: list[str]) -> list[str]:
-    return [pattern for pattern in patterns if ".*" not in pattern]
+def _listed(values) -> str:
+    return ", ".join(map(_quoted, values))
 
 
 @dataclass(frozen=True)
@@ -146,94 +128,196 @@ class Gap:
     tails: tuple[str, ...]
 
     @property
-    def first(self) -> str:
-        return re.sub(r"\W+", "_", f"first_{self.scope}_{self.head}")
+    def touching(self) -> bool:
+        """Head and tail can share characters, so that the order of their starts does not settle the matter."""
+        return any(
+            tail in self.head or any(self.head.endswith(tail[:n]) for n in range(1, len(tail))) for tail in self.tails
+        )
 
-    @property
-    def last(self) -> str:
-        return re.sub(r"\W+", "_", f"last_{self.scope}_{self.head}_{'_'.join(self.tails)}")
-
-    def message_columns(self) -> dict[str, str]:
-        """Twice the position, shifted so that first < last holds exactly when head comes before tail."""
-        head = _contains(self.scope, self.head)
-        tails = " OR ".join(_contains(self.scope, tail) for tail in self.tails)
-        start = f"instr({self.scope}, {quoted(self.head)}) + {len(self.head)}"
-        within = " OR ".join(f"locate({quoted(tail)}, {self.scope}, {start}) > 0" for tail in self.tails)
-        return {
-            self.first: f"CASE WHEN {head} THEN 2L * sequence_number + 1 END",
-            self.last: f"CASE WHEN {tails} THEN 2L * sequence_number"
-            f" + CASE WHEN {head} AND ({within}) THEN 2 ELSE 0 END END",
-        }
-
-    def hit(self) -> str:
-        return f"CASE WHEN {self.first} < {self.last} THEN 1 ELSE 0 END"
-
-
-def _gap(scope: str, pattern: str) -> Gap:
-    head, _, tail = pattern.partition(".*")
-    return Gap(scope, head, tuple(_alternatives(tail)))
-
-
-def _mask(scope: str, words: list[str]) -> str:
-    """Which words occur, as bits of one integer."""
-    bits = [f"CASE WHEN {_contains(scope, word)} THEN {1 << n}L ELSE 0L END" for n, word in enumerate(words)]
-    return " | ".join(bits)
-
-
-def message_features() -> dict[str, str]:
-    """Per-message SQL; expects ``sequence_number`` and lower-cased ``transcript`` and ``customer`` text."""
-    features: dict[str, str] = {}
-    for (scope, family), patterns in FAMILIES.items():
-        counts = [plain_count(scope, pattern) for pattern in plain_patterns(patterns)]
-        if counts:
-            features[f"plain_{family}"] = " + ".join(counts)
-        for gap in family_gaps(family):
-            features.update(gap.message_columns())
-    features["transcript_words"] = _mask("transcript", TRANSCRIPT_WORDS)
-    features["issue_words"] = _mask("customer", ISSUE_WORDS)
-    return features
-
-
-def combine(name: str, feature: str) -> Column:
-    """How a feature of a conversation follows from the features of its messages."""
-    if name.startswith("first_"):
-        merged = "min"
-    elif name.startswith("last_"):
-        merged = "max"
-    elif name.endswith("_words"):
-        merged = "bit_or"
+
+def plain_patterns(patterns: list[str]) -> list[str]:
+    return [pattern for pattern in patterns if ".*" not in pattern]
+
+
+def _gaps(scope: str, patterns: list[str]) -> list[Gap]:
+    split = [pattern.partition(".*") for pattern in patterns if ".*" in pattern]
+    return [Gap(scope, head, tuple(_alternatives(tail))) for head, _, tail in split]
+
+
+def _overlaps_itself(literal: str) -> bool:
+    return any(literal.endswith(literal[:n]) for n in range(1, len(literal)))
+
+
+@functools.cache
+def vocabulary(scope: str) -> tuple[str, ...]:
+    """Every literal the rules look for in a scope."""
+    found = set(TRANSCRIPT_WORDS if scope == "transcript" else ISSUE_WORDS)
+    for (where, _), patterns in FAMILIES.items():
+        if where == scope:
+            found.update(literal for pattern in plain_patterns(patterns) for literal in _alternatives(pattern))
+            for gap in _gaps(scope, patterns):
+                found.update([gap.head, *gap.tails])
+    return tuple(sorted(found))
+
+
+def _prefix_tree(words) -> str:
+    """A regular expression for the longest of ``words`` that starts here."""
+    branches: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            branches.setdefault(word[0], []).append(word[1:])
+    if not branches:
+        return ""
+    tree = "|".join(first + _prefix_tree(rest) for first, rest in sorted(branches.items()))
+    if "" in words:
+        return f"(?:{tree})?"
+    return tree if len(branches) == 1 else f"(?:{tree})"
+
+
+def _term(scope: str, literal: str) -> str:
+    return f"{scope[0]}:{literal}"
+
+
+def _scan(scope: str) -> str:
+    """Literals of one message in order of their start; of several with the same start, the longest."""
+    pattern = _quoted(f"(?=({_prefix_tree(vocabulary(scope))}))")
+    place = f"CAST(sequence_number AS BIGINT) * {1 << 32}L + place"
+    return (
+        f"transform(regexp_extract_all({scope}, {pattern}, 1), (literal, place) ->"
+        f" named_struct('term', concat('{scope[0]}:', literal), 'n', 1D, 'at', {place}))"
+    )
+
+
+def _separate_counts() -> dict[str, tuple[str, str]]:
+    """Literals that can overlap themselves are counted apart, by how much shorter the text gets without them."""
+    counted = {}
+    for (scope, _), patterns in FAMILIES.items():
+        for literal in {text for pattern in plain_patterns(patterns) for text in _alternatives(pattern)}:
+            if _overlaps_itself(literal):
+                cut = f"octet_length({scope}) - octet_length(replace({scope}, {_quoted(literal)}, ''))"
+                counted[f"#{_term(scope, literal)}"] = (
+                    f"contains({scope}, {_quoted(literal)})",
+                    f"named_struct('term', {_quoted('#' + _term(scope, literal))},"
+                    f" 'n', CAST(({cut}) div {len(literal.encode())} AS DOUBLE), 'at', CAST(NULL AS BIGINT))",
+                )
+    return counted
+
+
+def _separate_gaps() -> dict[str, tuple[str, str]]:
+    """Places for touching gaps: twice the message number, shifted so that first < last holds exactly on a match."""
+    placed = {}
+    for (scope, _), patterns in FAMILIES.items():
+        for gap in _gaps(scope, patterns):
+            if gap.touching:
+                head = f"contains({scope}, {_quoted(gap.head)})"
+                start = f"instr({scope}, {_quoted(gap.head)}) + {len(gap.head)}"
+                tails = " OR ".join(f"contains({scope}, {_quoted(tail)})" for tail in gap.tails)
+                within = " OR ".join(f"locate({_quoted(tail)}, {scope}, {start}) > 0" for tail in gap.tails)
+                first, last = _separate_terms(gap)
+                double = "CAST(sequence_number AS BIGINT) * 2"
+                placed[first] = (head, f"named_struct('term', {_quoted(first)}, 'n', 0D, 'at', {double} + 1)")
+                placed[last] = (
+                    tails,
+                    f"named_struct('term', {_quoted(last)}, 'n', 0D,"
+                    f" 'at', {double} + CASE WHEN {head} AND ({within}) THEN 2 ELSE 0 END)",
+                )
+    return placed
+
+
+def _separate_terms(gap: Gap) -> tuple[str, str]:
+    key = f"{_term(gap.scope, gap.head)}~{'~'.join(gap.tails)}"
+    return f"#first {key}", f"#last {key}"
+
+
+def message_terms() -> Column:
+    """Terms of one message as structs (term, n, at); expects ``sequence_number`` and lower-cased ``transcript`` and
+    ``customer`` text."""
+    separate = {**_separate_counts(), **_separate_gaps()}
+    extra = ", ".join(f"CASE WHEN {test} THEN {entry} END" for test, entry in separate.values())
+    return F.expr(f"concat({_scan('transcript')}, {_scan('customer')}, array_compact(array({extra})))")
+
+
+def measure(name: str, amount: Column) -> Column:
+    """A number per message, to be added up as a term of its own."""
+    return F.struct(
+        F.lit(f"#{name}").alias("term"), amount.cast("double").alias("n"), F.lit(None).cast("bigint").alias("at")
+    )
+
+
+def amount(name: str) -> Column:
+    return F.expr(f"coalesce(try_element_at(terms, '#{name}').n, 0D)")
+
+
+def _terms_with(scope: str, literal: str) -> list[str]:
+    """Terms whose occurrence is an occurrence of the literal: the longest literal found has it as a prefix."""
+    return [_term(scope, found) for found in vocabulary(scope) if found.startswith(literal)]
+
+
+def _hit(gap: Gap) -> str:
+    if gap.touching:
+        first, last = ([term] for term in _separate_terms(gap))
     else:
-        merged = "sum"
-    return F.expr(f"{merged}({feature}) AS {name}")
+        first = _terms_with(gap.scope, gap.head)
+        last = [term for tail in gap.tails for term in _terms_with(gap.scope, tail)]
 
+    def place(side: str, pick: str, terms: list[str]) -> str:
+        places = [f"try_element_at(terms, {_quoted(term)}).{side}" for term in terms]
+        return places[0] if len(places) == 1 else f"{pick}({', '.join(places)})"
 
-def _scope(family: str) -> str:
-    return next(scope for scope, name in FAMILIES if name == family)
+    return f"CASE WHEN {place('first', 'least', first)} < {place('last', 'greatest', last)} THEN 1 ELSE 0 END"
 
 
-def family_gaps(family: str) -> list[Gap]:
-    scope = _scope(family)
-    return [_gap(scope, pattern) for pattern in FAMILIES[scope, family] if ".*" in pattern]
+def _family(name: str) -> tuple[str, list[str]]:
+    return next((scope, patterns) for (scope, family), patterns in FAMILIES.items() if family == name)
 
 
 def gap_hits(family: str) -> list[Column]:
-    return [F.expr(gap.hit()) for gap in family_gaps(family)]
+    return [F.expr(_hit(gap)) for gap in _gaps(*_family(family))]
 
 
-def _hits(family: str) -> str:
-    plain = [f"plain_{family}"] if plain_patterns(FAMILIES[_scope(family), family]) else ["0L"]
-    return " + ".join(plain + [gap.hit() for gap in family_gaps(family)])
+def family_hits(family: str) -> Column:
+    """Hits of all patterns of a family in a conversation."""
+    scope, patterns = _family(family)
+    weights: dict[str, int] = {}
+    for pattern in plain_patterns(patterns):
+        for literal in _alternatives(pattern):
+            separate = _overlaps_itself(literal)
+            for term in [f"#{_term(scope, literal)}"] if separate else _terms_with(scope, literal):
+                weights[term] = weights.get(term, 0) + 1
+    parts = [_hit(gap) for gap in _gaps(scope, patterns)]
+    for weight in sorted(set(weights.values())):
+        terms = _listed(term for term, each in weights.items() if each == weight)
+        counted = f"CASE WHEN entry.key IN ({terms}) THEN entry.value.n ELSE 0D END"
+        parts.append(f"{weight} * aggregate(map_entries(terms), 0D, (total, entry) -> total + {counted})")
+    return F.expr(f"CAST({' + '.join(parts)} AS BIGINT)")
 
 
-def family_hits(family: str) -> Column:
-    return F.expr(f"CAST({_hits(family)} AS BIGINT)")
+def _occurs(scope: str, words) -> str:
+    terms = [term for word in words for term in _terms_with(scope, word)]
+    return f"arrays_overlap(map_keys(terms), array({_listed(terms)}))"
+
+
+def said(*words: str) -> Column:
+    """Any of the words occurs in the transcript, also inside longer words."""
+    return F.expr(_occurs("transcript", words))
+
+
+def words_said(words: list[str]) -> Column:
+    """How many of the words occur in the transcript."""
+    return F.expr(" + ".join(f"CAST({_occurs('transcript', [word])} AS INT)" for word in words))
+
+
+def issues_named(limit: int) -> Column:
+    """The first issue words, in list order, that the customer uses."""
+    named = ", ".join(f"CASE WHEN {_occurs('customer', [word])} THEN {_quoted(word)} END" for word in ISSUE_WORDS)
+    return F.expr(f"slice(array_compact(array({named})), 1, {limit})")
 
 
 def best_label(prefix: str, labels: list[str]) -> tuple[Column, Column]:
-    """Label with the most hits (first declared wins a tie) and its share of all hits plus one."""
-    scores = [f"CAST({_hits(f'{prefix}_{label}')} AS BIGINT)" for label in labels]
+    """Label with the highest ``{prefix}_{label}`` column (first declared wins a tie) and its share of all plus one."""
+    scores = [f"{prefix}_{label}" for label in labels]
     ranked = ", ".join(
-        f"named_struct('score', {score}, 'place', {-order}, 'label', {quoted(label)})"
+        f"named_struct('score', {score}, 'place', {-order}, 'label', {_quoted(label)})"
         for order, (score, label) in enumerate(zip(scores, labels))
     )
     best = f"array_max(array({ranked}))"

@@ -16,32 +16,47 @@ MAX_ISSUES = 3
 
 
 def conversation_features(line_rows: DataFrame) -> DataFrame:
-    """Rule, word and valence features per conversation, from ``(conversation_id, sequence_number, line)``.
+    """Message counts, summed valence and rule terms per conversation, from ``(conversation_id, sequence_number, line)``.
 
-    Lines are single-line text, as cleaning leaves them. All aggregates combine before the shuffle.
+    Lines are single-line text, as cleaning leaves them. Each message yields its terms; they are counted per
+    conversation and term, partly before the shuffle, and then put side by side. The second step gathers no more
+    entries per conversation than the rules have literals.
     """
     per_message = line_rows.select(
         "conversation_id",
         "sequence_number",
         F.lower("line").alias("transcript"),
-        F.size(transcripts.pieces(F.col("line"))).alias("piece_count"),
+        F.size(transcripts.pieces(F.col("line"))).alias("pieces"),
         transcripts.customer_pieces(F.col("line")).alias("fragments"),
     ).select(
         "conversation_id",
         "sequence_number",
         "transcript",
-        "piece_count",
-        F.size("fragments").alias("customer_messages"),
+        "pieces",
+        F.size("fragments").alias("heard"),
         F.lower(F.concat_ws(" ", "fragments")).alias("customer"),
     )
-    # The features are arguments of the aggregates, not a projection below them: with the valence function among them
-    # Spark compiles this wide stage as many small methods, where one whole-stage method would be too big for the JIT.
-    return per_message.groupBy("conversation_id").agg(
-        F.count("*").alias("message_count"),
-        F.sum("piece_count").alias("piece_count"),
-        F.sum("customer_messages").alias("customer_messages"),
-        F.sum(sentiment.valence_sum(F.col("customer"))).alias("valence"),
-        *[rules.combine(name, feature) for name, feature in rules.message_features().items()],
+    measures = F.array(
+        rules.measure("messages", F.lit(1)),
+        rules.measure("pieces", F.col("pieces")),
+        rules.measure("heard", F.col("heard")),
+        rules.measure("valence", sentiment.valence_sum(F.col("customer"))),
+    )
+    entry = F.struct("term", F.struct("n", "first", "last"))
+    return (
+        per_message.select("conversation_id", F.inline(F.concat(measures, rules.message_terms())))
+        .groupBy("conversation_id", "term")
+        .agg(F.sum("n").alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+        .groupBy("conversation_id")
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("terms"))
+        .select(
+            "conversation_id",
+            rules.amount("messages").cast("bigint").alias("message_count"),
+            rules.amount("pieces").cast("bigint").alias("piece_count"),
+            rules.amount("heard").cast("bigint").alias("customer_messages"),
+            rules.amount("valence").alias("valence"),
+            "terms",
+        )
     )
 
 
@@ -77,9 +92,13 @@ def _urgency(features: DataFrame) -> DataFrame:
 
 
 def _rule_labels(features: DataFrame) -> DataFrame:
-    nature, nature_confidence = rules.best_label("nature", list(rules.NATURE_PATTERNS))
-    behaviour, behaviour_confidence = rules.best_label("behaviour", list(rules.BEHAVIOUR_PATTERNS))
-    return features.withColumns(
+    families = {"nature": list(rules.NATURE_PATTERNS), "behaviour": list(rules.BEHAVIOUR_PATTERNS)}
+    scored = features.withColumns(
+        {f"{kind}_{label}": rules.family_hits(f"{kind}_{label}") for kind, labels in families.items() for label in labels}
+    )
+    nature, nature_confidence = rules.best_label("nature", families["nature"])
+    behaviour, behaviour_confidence = rules.best_label("behaviour", families["behaviour"])
+    return scored.withColumns(
         {
             "nature_of_request": nature,
             "nature_confidence": nature_confidence,
@@ -98,10 +117,6 @@ def _sentiment(features: DataFrame) -> DataFrame:
     )
 
 
-def _said(*words: str) -> Column:
-    return F.expr(f"(transcript_words & {sum(1 << rules.TRANSCRIPT_WORDS.index(word) for word in words)}L) != 0")
-
-
 def _tags() -> Column:
     def labelled(name: str, suffix: str) -> Column:
         return F.concat(F.col(name), F.lit(suffix))
@@ -110,10 +125,10 @@ def _tags() -> Column:
         F.when(F.col("nature_of_request") != "general", labelled("nature_of_request", "_issue")),
         F.when(F.col("customer_sentiment") != "neutral", labelled("customer_sentiment", "_customer")),
         F.when(F.col("urgency_level").isin("critical", "high"), labelled("urgency_level", "_urgency")),
-        F.when(_said("escalat"), F.lit("escalation")),
-        F.when(_said("first", "new", "never"), F.lit("first_time_customer")),
-        F.when(_said("again", "before", "previous"), F.lit("repeat_customer")),
-        F.when(_said("thank", "appreciate"), F.lit("polite_customer")),
+        F.when(rules.said("escalat"), F.lit("escalation")),
+        F.when(rules.said("first", "new", "never"), F.lit("first_time_customer")),
+        F.when(rules.said("again", "before", "previous"), F.lit("repeat_customer")),
+        F.when(rules.said("thank", "appreciate"), F.lit("polite_customer")),
     ]
     return F.slice(F.array_compact(F.array(*candidates)), 1, MAX_TAGS)
 
@@ -121,7 +136,7 @@ def _tags() -> Column:
 def _conversation_type() -> Column:
     return (
         F.when(F.col("piece_count") <= 2, F.lit("simple_inquiry"))
-        .when(_said("escalat", "manager"), F.lit("escalation"))
+        .when(rules.said("escalat", "manager"), F.lit("escalation"))
         .when(F.col("piece_count") > 6, F.lit("complex_issue"))
         .otherwise(F.lit("follow_up"))
     )
@@ -134,17 +149,8 @@ def _summary() -> Column:
     return F.concat(F.lit("Customer's "), F.col("nature_of_request"), ending)
 
 
-def _key_issues() -> Column:
-    words = ", ".join(rules.quoted(word) for word in rules.ISSUE_WORDS)
-    return F.expr(f"slice(filter(array({words}), (word, n) -> (issue_words & shiftleft(1L, n)) != 0), 1, {MAX_ISSUES})")
-
-
 def _agent_performance() -> Column:
-    def present(words: list[str]) -> Column:
-        mask = sum(1 << rules.TRANSCRIPT_WORDS.index(word) for word in words)
-        return F.expr(f"bit_count(transcript_words & {mask}L)")
-
-    good, poor = present(rules.GOOD_AGENT_WORDS), present(rules.POOR_AGENT_WORDS)
+    good, poor = F.col("good_words"), F.col("poor_words")
     return F.when((good > poor) & (good > 0), F.lit("good")).when(poor > good, F.lit("poor")).otherwise(F.lit("fair"))
 
 
@@ -191,12 +197,18 @@ def assess(features: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         labelled.transform(_resolution)
         .transform(_urgency)
         .transform(_sentiment)
+        .withColumns(
+            {
+                "good_words": rules.words_said(rules.GOOD_AGENT_WORDS),
+                "poor_words": rules.words_said(rules.POOR_AGENT_WORDS),
+            }
+        )
         .withColumns(
             {
                 "tags": _tags(),
                 "conversation_type": _conversation_type(),
                 "resolution_summary": _summary(),
-                "key_issues": _key_issues(),
+                "key_issues": rules.issues_named(MAX_ISSUES),
                 "agent_performance": _agent_performance(),
                 "needs_llm": _needs_llm(),
             }
