@@ -978,8 +978,10 @@ def n8_turn_valence(spark, sf_dir):
     customer = F.when(F.col("is_customer"), F.lower("message_text")).otherwise(F.lit(""))
     return (
         staged(spark, sf_dir)
-        .turns.groupBy("conversation_id")
-        .agg(F.round(F.sum(sentiment.valence_sum(customer)), 4).alias("valence"))
+        .turns.withColumn("words", sentiment.tokens(customer))
+        .withColumn("valence", sentiment.valence_sum(F.col("words")))
+        .groupBy("conversation_id")
+        .agg(F.round(F.sum("valence"), 4).alias("valence"))
     )
 
 

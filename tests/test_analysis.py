@@ -221,7 +221,9 @@ def test_valence(spark):
         "": 0.0, "nothing here": 0.0,
     }
     rows = spark.createDataFrame([(body, value) for body, value in cases.items()], "body STRING, value DOUBLE")
-    for row in rows.withColumn("got", sentiment.valence_sum(F.col("body"))).collect():
+    for row in rows.withColumn("words", sentiment.tokens(F.col("body"))).withColumn(
+        "got", sentiment.valence_sum(F.col("words"))
+    ).collect():
         assert row.got == pytest.approx(row.value), row.body
 
 

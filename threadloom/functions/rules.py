@@ -168,10 +168,20 @@ def _prefix_tree(words) -> str:
             branches.setdefault(word[0], []).append(word[1:])
     if not branches:
         return ""
-    tree = "|".join(first + _prefix_tree(rest) for first, rest in sorted(branches.items()))
-    if "" in words:
-        return f"(?:{tree})?"
-    return tree if len(branches) == 1 else f"(?:{tree})"
+    tree = _choice([(first, first + _prefix_tree(rest)) for first, rest in sorted(branches.items())])
+    return f"(?:{tree})?" if "" in words else tree
+
+
+def _choice(branches: list[tuple[str, str]]) -> str:
+    """Alternatives by first letter, halved behind letter tests so that a miss costs a few steps, not one per letter."""
+    if len(branches) == 1:
+        return branches[0][1]
+    if len(branches) <= 3:
+        return f"(?:{'|'.join(tree for _, tree in branches)})"
+    middle = len(branches) // 2
+    halves = branches[:middle], branches[middle:]
+    tests = ["".join(letter for letter, _ in half) for half in halves]
+    return "(?:" + "|".join(f"(?=[{test}]){_choice(half)}" for test, half in zip(tests, halves)) + ")"
 
 
 def _term(scope: str, literal: str) -> str:
@@ -229,18 +239,21 @@ def _separate_terms(gap: Gap) -> tuple[str, str]:
     return f"#first {key}", f"#last {key}"
 
 
-def message_terms() -> Column:
-    """Terms of one message as structs (term, n, at); expects ``sequence_number`` and lower-cased ``transcript`` and
-    ``customer`` text."""
-    separate = {**_separate_counts(), **_separate_gaps()}
-    extra = ", ".join(f"CASE WHEN {test} THEN {entry} END" for test, entry in separate.values())
-    return F.expr(f"concat({_scan('transcript')}, {_scan('customer')}, array_compact(array({extra})))")
+def measure(name: str, amount: Column, given: Column | None = None) -> Column:
+    """A number per message, to be added up as a term of its own; left out where ``given`` does not hold."""
+    entry = F.struct(
+        F.lit(f"#{name}").alias("term"), amount.cast("double").alias("n"), F.lit(None).cast("bigint").alias("at")
+    )
+    return entry if given is None else F.when(given, entry)
 
 
-def measure(name: str, amount: Column) -> Column:
-    """A number per message, to be added up as a term of its own."""
-    return F.struct(
-        F.lit(f"#{name}").alias("term"), amount.cast("double").alias("n"), F.lit(None).cast("bigint").alias("at")
+def message_terms(*measures: Column) -> Column:
+    """Terms of one message as structs (term, n, at), after the given measures; expects ``sequence_number`` and
+    lower-cased ``transcript`` and ``customer`` text."""
+    separate = {**_separate_counts(), **_separate_gaps()}
+    extra = [F.expr(f"CASE WHEN {test} THEN {entry} END") for test, entry in separate.values()]
+    return F.concat(
+        F.array_compact(F.array(*measures, *extra)), F.expr(_scan("transcript")), F.expr(_scan("customer"))
     )
 
 

@@ -77,23 +77,30 @@ def tokens(lowered: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
 
 
-def valence_sum(lowered: Column, valences: Mapping[str, float] = VALENCES) -> Column:
-    """Summed valence of one message; boosters and negators act within three words before a valued word."""
-    words = tokens(lowered)
+def valence_sum(words: Column, valences: Mapping[str, float] = VALENCES) -> Column:
+    """Summed valence of one message; boosters and negators act within three words before a valued word.
+
+    ``words`` must be a stored column holding ``tokens``: it is read for every valued word. Set tests come before the
+    map lookups: most words carry no valence and go no further.
+    """
     valued, boosts = _mapping(valences), _mapping(BOOSTERS)
-    negators = F.array(*map(F.lit, NEGATORS))
-    known = list(valences)  # a set test: most words carry no valence and go no further
-
-    def word_valence(word: Column, at: Column) -> Column:
-        base = F.try_element_at(valued, word)
-        push = F.lit(0.0)
-        for distance, weight in enumerate(DISTANCE_WEIGHTS, 1):
-            push = push + F.coalesce(F.try_element_at(boosts, F.get(words, at - distance)), F.lit(0.0)) * weight
-        before = F.slice(words, F.greatest(at - 2, F.lit(1)), F.least(at, F.lit(3)))
-        factor = F.when(F.arrays_overlap(before, negators), F.lit(NEGATION)).otherwise(F.lit(1.0))
-        return F.when(word.isin(known), (base + F.signum(base) * push) * factor).otherwise(F.lit(0.0))
-
-    return F.aggregate(F.transform(words, word_valence), F.lit(0.0), lambda total, value: total + value)
+
+    def entry(word: Column, at: Column) -> Column:
+        known = F.when(word.isin(list(valences)), F.try_element_at(valued, word))
+        return F.struct(known.alias("base"), at.alias("at"))
+
+    def valence(found: Column) -> Column:
+        before = [F.get(words, found["at"] - distance) for distance in range(1, len(DISTANCE_WEIGHTS) + 1)]
+        push, negated = F.lit(0.0), F.lit(False)
+        for word, weight in zip(before, DISTANCE_WEIGHTS):
+            boost = F.when(word.isin(list(BOOSTERS)), F.try_element_at(boosts, word)).otherwise(F.lit(0.0))
+            push = push + boost * weight
+            negated = negated | F.coalesce(word.isin(NEGATORS), F.lit(False))
+        factor = F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0))
+        return (found["base"] + F.signum(found["base"]) * push) * factor
+
+    found = F.filter(F.transform(words, entry), lambda each: each["base"].isNotNull())
+    return F.aggregate(found, F.lit(0.0), lambda total, each: total + valence(each))
 
 
 def compound(total: Column) -> Column:

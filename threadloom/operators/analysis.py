@@ -36,15 +36,18 @@ def conversation_features(line_rows: DataFrame) -> DataFrame:
         F.size("fragments").alias("heard"),
         F.lower(F.concat_ws(" ", "fragments")).alias("customer"),
     )
-    measures = F.array(
+    per_message = per_message.withColumn("words", sentiment.tokens(F.col("customer"))).withColumn(
+        "valence", sentiment.valence_sum(F.col("words"))
+    )
+    terms = rules.message_terms(
         rules.measure("messages", F.lit(1)),
-        rules.measure("pieces", F.col("pieces")),
-        rules.measure("heard", F.col("heard")),
-        rules.measure("valence", sentiment.valence_sum(F.col("customer"))),
+        rules.measure("more_pieces", F.col("pieces") - 1, F.col("pieces") > 1),
+        rules.measure("heard", F.col("heard"), F.col("heard") > 0),
+        rules.measure("valence", F.col("valence"), F.col("valence") != 0),
     )
     entry = F.struct("term", F.struct("n", "first", "last"))
     return (
-        per_message.select("conversation_id", F.inline(F.concat(measures, rules.message_terms())))
+        per_message.select("conversation_id", F.inline(terms))
         .groupBy("conversation_id", "term")
         .agg(F.sum("n").alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
         .groupBy("conversation_id")
@@ -52,7 +55,7 @@ def conversation_features(line_rows: DataFrame) -> DataFrame:
         .select(
             "conversation_id",
             rules.amount("messages").cast("bigint").alias("message_count"),
-            rules.amount("pieces").cast("bigint").alias("piece_count"),
+            (rules.amount("messages") + rules.amount("more_pieces")).cast("bigint").alias("piece_count"),
             rules.amount("heard").cast("bigint").alias("customer_messages"),
             rules.amount("valence").alias("valence"),
             "terms",
