@@ -70,5 +70,6 @@ def test_messages_are_shuffled_once(spark, grouped_of):
 
 def test_analysed_messages(spark, grouped_of):
     analysis, grouped, _, _ = setting(spark, grouped_of)
-    joined = context.analysed_messages(analysis, grouped)
-    assert joined.count() == 9 and joined.where(F.col("is_resolved")).count() == 2
+    for hot_rows in (1_000_000, 2):
+        joined = context.analysed_messages(analysis.where("conversation_id != 3"), grouped, hot_rows)
+        assert joined.count() == 7 and joined.where(F.col("is_resolved")).count() == 2

@@ -63,6 +63,8 @@ def test_random_graphs(messages_of, seed, hot_rows):
             parent = None
         elif kind < 0.55:
             parent = "7"  # one message answered by a third of all others
+        elif kind < 0.7:
+            parent = "missing"  # many replies to a message that is not there
         else:
             parent = str(draw.randrange(420))
         rows.append((str(n), parent))
@@ -96,11 +98,13 @@ def test_partitioning_does_not_matter(messages_of):
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
 
-def test_parent_lookup_and_orphans(messages_of):
-    messages = messages_of([("a", None), ("b", "a"), ("c", "zz")])
-    found = {row.tweet_id: row.parent_author_id for row in threads.parents(messages).collect()}
-    assert found == {"b": "c1", "c": None}
-    assert [row.tweet_id for row in threads.orphans(messages).collect()] == ["c"]
+@pytest.mark.parametrize("hot_rows", [scale.HOT_ROWS, 1])
+def test_parent_lookup_and_orphans(messages_of, hot_rows):
+    rows = [("a", None), ("b", "a"), ("c", "zz"), ("d", "a"), ("e", "a"), ("f", "zz"), ("g", "b")]
+    messages = messages_of(rows)
+    found = {row.tweet_id: row.parent_author_id for row in threads.parents(messages, hot_rows).collect()}
+    assert found == {"b": "c1", "c": None, "d": "c1", "e": "c1", "f": None, "g": "c1"}
+    assert sorted(row.tweet_id for row in threads.orphans(messages, hot_rows).collect()) == ["c", "f"]
 
 
 def test_nested_parts(grouped_of):
@@ -124,16 +128,17 @@ def test_ordered_index(spark):
 def test_lookup_spreads_missing_and_hot_keys(spark):
     probe = spark.range(900).select(
         F.col("id").cast("string").alias("n"),
-        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.when(F.col("id") < 500, "hot").otherwise("gone")).otherwise(F.col("id").cast("string")).alias("key"),
     )
     build = spark.range(900).select(F.col("id").cast("string").alias("key"), (F.col("id") * 2).alias("twice")).union(
         spark.createDataFrame([("hot", -1)], "key STRING, twice BIGINT")
     )
     hot = scale.hot_keys(probe, "key", 900, 100)
-    assert [row.key for row in hot.collect()] == ["hot"]
+    assert sorted(row.key for row in hot.collect()) == ["gone", "hot"]
     for chosen in (None, hot):
         rows = scale.lookup(probe, build, "key", "n", chosen).collect()
         assert len(rows) == 900
         for row in rows:
             number = int(row.n)
-            assert row.twice == (None if number % 3 == 0 else -1 if number % 3 == 1 else number * 2)
+            popular = -1 if number < 500 else None
+            assert row.twice == (None if number % 3 == 0 else popular if number % 3 == 1 else number * 2)

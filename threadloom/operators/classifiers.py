@@ -195,12 +195,14 @@ def predict(texts: DataFrame, model: Model, label: str, confidence: str) -> Data
     cluster adds numbers cannot change it; equal scores give the alphabetically first label.
     """
     labels = range(len(model.labels))
-    terms = F.broadcast(model.terms)  # at most max_features rows
+    # The term table has at most max_features rows. It is joined twice: first only to keep known terms, so that the
+    # count runs over plain numbers, then to weigh the counted rows.
     counts = (
         texts.select("conversation_id", F.explode(_tokens(F.col("text"))).alias("term"))
-        .join(terms, "term")
+        .join(F.broadcast(model.terms.select("term")), "term", "left_semi")
         .groupBy("conversation_id", "term")
-        .agg(F.count("*").alias("uses"), F.first("idf").alias("idf"), F.first("weights").alias("weights"))
+        .agg(F.count("*").alias("uses"))
+        .join(F.broadcast(model.terms), "term")
         .withColumn("weight", F.col("uses") * F.col("idf"))
     )
     sums = counts.groupBy("conversation_id").agg(

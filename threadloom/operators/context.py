@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import clock_text
 from threadloom.operators.analysis import unresolved
+from threadloom.operators.scale import HOT_ROWS, lookup
 from threadloom.operators.threads import PART_MESSAGES, with_part
 
 HISTORY_SEPARATOR = " ### "
@@ -22,9 +23,15 @@ _ANALYSIS_FIELDS = [
 ]
 
 
-def analysed_messages(analysis: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Each message with the analysis of its conversation; adaptive execution splits a hot conversation."""
-    return grouped.join(analysis.select(*_ANALYSIS_FIELDS), "conversation_id")
+def analysed_messages(analysis: DataFrame, grouped: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each message with the analysis of its conversation.
+
+    Positions are dense, so a conversation above ``hot_rows`` messages is one that has a message at that position.
+    """
+    fields = analysis.select(*_ANALYSIS_FIELDS).withColumn("analysed", F.lit(True))
+    hot = grouped.where(F.col("sequence_number") == hot_rows).select("conversation_id")
+    joined = lookup(grouped, fields, "conversation_id", "tweet_id", hot)
+    return joined.where(F.col("analysed").isNotNull()).drop("analysed")
 
 
 def conversation_edges(grouped: DataFrame) -> DataFrame:

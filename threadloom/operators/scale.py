@@ -48,9 +48,9 @@ def hot_keys(probe: DataFrame, key: str, rows: int, hot_rows: int = HOT_ROWS) ->
 def lookup(probe: DataFrame, build: DataFrame, key: str, spread: str, hot: DataFrame | None = None) -> DataFrame:
     """Left-join ``probe`` to ``build`` (one row per ``key``), adding the other build columns.
 
-    Rows whose key is null, or listed in ``hot``, are placed by the ``spread`` column instead of the key,
-    so neither missing keys nor one popular key pile up in a single task. Hot keys are answered by a broadcast of
-    their build rows; ``hot`` must be bounded, as ``hot_keys`` guarantees.
+    Rows whose key is null, or listed in ``hot``, are placed by a hash of the ``spread`` column instead of the key, so
+    neither missing keys nor one popular key pile up in a single task. Keys are text or BIGINT. Hot keys, whether or not they have a build row, are
+    answered by a broadcast; ``hot`` must be bounded, as ``hot_keys`` guarantees.
     """
     payload = [name for name in build.columns if name != key]
     packed = build.select(F.col(key).alias("_key"), F.struct(*payload).alias("_found"))
@@ -58,14 +58,17 @@ def lookup(probe: DataFrame, build: DataFrame, key: str, spread: str, hot: DataF
     pending = F.col(key).isNotNull()
     columns = probe.columns
     if hot is not None:
-        answered = packed.join(F.broadcast(hot.select(F.col(key).alias("_key"))), "_key").select(
+        wanted = hot.select(F.col(key).alias("_key"))
+        known = packed.join(F.broadcast(wanted), "_key", "left_semi")
+        answered = wanted.join(F.broadcast(known), "_key", "left").select(
             F.col("_key").alias("_hot_key"), F.col("_found").alias("_hot_found")
         )
-        probe = probe.join(F.broadcast(answered), F.col(key) == F.col("_hot_key"), "left").drop("_hot_key")
+        probe = probe.join(F.broadcast(answered), F.col(key) == F.col("_hot_key"), "left")
         answers.insert(0, F.col("_hot_found"))
-        pending = pending & F.col("_hot_found").isNull()
+        pending = pending & F.col("_hot_key").isNull()
+    elsewhere = F.xxhash64(spread).cast(dict(probe.dtypes)[key])
     placed = probe.withColumn("_pending", pending).withColumn(
-        "_at", F.when(F.col("_pending"), F.col(key)).otherwise(F.col(spread))
+        "_at", F.when(F.col("_pending"), F.col(key)).otherwise(elsewhere)
     )
     joined = placed.join(packed, (F.col("_at") == F.col("_key")) & F.col("_pending"), "left")
     return joined.withColumn("_answer", F.coalesce(*answers)).select(

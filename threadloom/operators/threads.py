@@ -6,7 +6,7 @@ only among messages that have replies; a message without replies takes the root
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from threadloom.operators.scale import HOT_ROWS, checkpointed, hot_keys, hot_threshold, lookup, ordered_index
@@ -23,7 +23,13 @@ def edges(messages: DataFrame) -> DataFrame:
     return messages.select("tweet_id", F.when(linked, parent).alias("parent_id"), "created_at")
 
 
-def parents(messages: DataFrame) -> DataFrame:
+def _popular_parents(replied: DataFrame, hot_rows: int) -> DataFrame:
+    """Parent ids with very many replies, counted in the same plan; at most rows / hot_rows of them."""
+    counted = replied.groupBy("in_response_to_tweet_id").agg(F.count("*").alias("replies"))
+    return counted.where(F.col("replies") > hot_rows).select("in_response_to_tweet_id")
+
+
+def parents(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each reply with the record of the message it answers (null when that message is absent)."""
     found = messages.select(
         F.col("tweet_id").alias("in_response_to_tweet_id"),
@@ -31,33 +37,36 @@ def parents(messages: DataFrame) -> DataFrame:
         F.col("created_at").alias("parent_created_at"),
     )
     replied = messages.where(F.col("in_response_to_tweet_id") != "")
-    return lookup(replied, found, "in_response_to_tweet_id", "tweet_id")
+    return lookup(replied, found, "in_response_to_tweet_id", "tweet_id", _popular_parents(replied, hot_rows))
 
 
-def orphans(messages: DataFrame) -> DataFrame:
+def orphans(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Replies whose parent is not in the data."""
-    known = messages.select(F.col("tweet_id").alias("in_response_to_tweet_id"))
-    return messages.where(F.col("in_response_to_tweet_id") != "").join(known, "in_response_to_tweet_id", "left_anti")
+    known = messages.select(F.col("tweet_id").alias("in_response_to_tweet_id"), F.lit(True).alias("known"))
+    replied = messages.where(F.col("in_response_to_tweet_id") != "")
+    found = lookup(replied, known, "in_response_to_tweet_id", "tweet_id", _popular_parents(replied, hot_rows))
+    return found.where(F.col("known").isNull()).drop("known")
 
 
 def _progress() -> dict[str, Column]:
     return {"finished": F.count_if("settled"), "open": F.count_if(~F.col("settled"))}
 
 
-def _roots_of_parents(links: DataFrame, hot_rows: int) -> tuple[DataFrame, int, int]:
-    """``(node, root_id, replies)`` for every message with replies, plus the reply total and the largest count."""
-    referenced = links.where(F.col("parent_id").isNotNull()).groupBy("parent_id").agg(F.count("*").alias("replies"))
-    nodes, seen = checkpointed(
-        links.join(referenced.withColumnRenamed("parent_id", "node"), F.col("tweet_id") == F.col("node")).select(
-            "node", "parent_id", "replies"
-        ),
-        total=F.sum("replies"),
-        largest=F.max("replies"),
+def _roots_of_parents(links: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """``(node, root_id)`` for every message with replies, and the parent ids with very many replies, if any."""
+    replies = links.where(F.col("parent_id").isNotNull()).groupBy("parent_id").agg(F.count("*").alias("replies"))
+    seen = Observation()
+    counted = replies.observe(seen, F.sum("replies").alias("total"), F.max("replies").alias("largest"))
+    nodes, _ = checkpointed(
+        links.join(counted.select(F.col("parent_id").alias("node")), F.col("tweet_id") == F.col("node")).select(
+            "node", "parent_id"
+        )
     )
-    threshold = hot_threshold(seen["total"], hot_rows)
+    threshold = hot_threshold(seen.get["total"] or 0, hot_rows)
     hot = None
-    if seen["largest"] > threshold:
-        hot = nodes.where(F.col("replies") > threshold).select(F.col("node").alias("parent_id"))
+    if (seen.get["largest"] or 0) > threshold:
+        # Counted over all replies, so that a popular parent missing from the data is among them.
+        hot, _ = checkpointed(replies.where(F.col("replies") > threshold).select("parent_id"))
     exists = nodes.select(F.col("node").alias("parent_id"), F.lit(True).alias("linked"))
     state, counts = checkpointed(
         lookup(nodes, exists, "parent_id", "node", hot).select(
@@ -74,9 +83,9 @@ def _roots_of_parents(links: DataFrame, hot_rows: int) -> tuple[DataFrame, int,
         targets = done.unionByName(active).select(
             F.col("node").alias("pointer"), F.col("pointer").alias("next"), F.col("settled").alias("reached")
         )
-        hot = hot_keys(active, "pointer", counts["open"], hot_rows)
+        busy = hot_keys(active, "pointer", counts["open"], hot_rows)
         state, counts = checkpointed(
-            lookup(active, targets, "pointer", "node", hot).select(
+            lookup(active, targets, "pointer", "node", busy).select(
                 "node", F.col("next").alias("pointer"), F.col("reached").alias("settled")
             ),
             **_progress(),
@@ -87,7 +96,7 @@ def _roots_of_parents(links: DataFrame, hot_rows: int) -> tuple[DataFrame, int,
     if counts["open"]:
         ring = nodes.join(active.select("node"), "node", "left_semi").select("node", "parent_id")
         roots = roots.unionByName(_cycle_roots(ring, counts["open"], hot_rows))
-    return nodes.join(roots, "node").select("node", "root_id", "replies"), seen["total"], seen["largest"]
+    return roots, hot
 
 
 def _cycle_roots(ring: DataFrame, rows: int, hot_rows: int) -> DataFrame:
@@ -110,11 +119,7 @@ def _cycle_roots(ring: DataFrame, rows: int, hot_rows: int) -> DataFrame:
 def thread_roots(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(tweet_id, created_at, root_id)``: the thread each message belongs to."""
     links, _ = checkpointed(edges(messages))
-    known, total, largest = _roots_of_parents(links, hot_rows)
-    hot = None
-    threshold = hot_threshold(total, hot_rows)
-    if largest > threshold:
-        hot = known.where(F.col("replies") > threshold).select(F.col("node").alias("parent_id"))
+    known, hot = _roots_of_parents(links, hot_rows)
     answers = known.select(F.col("node").alias("parent_id"), "root_id")
     return lookup(links, answers, "parent_id", "tweet_id", hot).select(
         "tweet_id", "created_at", F.coalesce("root_id", "tweet_id").alias("root_id")
