@@ -956,14 +956,14 @@ for _name, _fields, _sql in [
 def n6_nature_classifier(spark, sf_dir):
     model = classifiers.fit_naive_bayes(classifiers.examples(spark, classifiers.NATURE_EXAMPLES))
     texts = classifiers.customer_texts(transcripts.lines(staged(spark, sf_dir).grouped))
-    return classifiers.predict(texts, model, "nature_of_request", "nature_confidence")
+    return classifiers.predict(texts, (model, "nature_of_request", "nature_confidence"))
 
 
 @query("n7_behaviour_classifier")
 def n7_behaviour_classifier(spark, sf_dir):
     model = classifiers.fit_logistic(classifiers.examples(spark, classifiers.BEHAVIOUR_EXAMPLES))
     texts = classifiers.customer_texts(transcripts.lines(staged(spark, sf_dir).grouped))
-    return classifiers.predict(texts, model, "customer_behavior", "behavior_confidence")
+    return classifiers.predict(texts, (model, "customer_behavior", "behavior_confidence"))
 
 
 @query(

@@ -52,7 +52,7 @@ def test_naive_bayes(spark, texts):
     masses = np.array([sum(vector(text) for text, y in rows if y == label) + 1 for label in labels])
     shares = np.log(masses / masses.sum(axis=1, keepdims=True))
     prior = np.log([sum(y == label for _, y in rows) / len(rows) for label in labels])
-    got = {row.conversation_id: row for row in classifiers.predict(texts, model, "label", "sure").collect()}
+    got = {row.conversation_id: row for row in classifiers.predict(texts, (model, "label", "sure")).collect()}
     for number, parts in TEXTS.items():
         chances = softmax(prior + shares @ vector(" ".join(parts)))
         assert got[number].sure == pytest.approx(chances.max(), abs=1e-6)
@@ -74,7 +74,7 @@ def test_logistic_reaches_the_optimum(spark, texts):
     # Gradient of (sum of log losses + half the squared weights) vanishes at the optimum.
     assert np.abs((p - y).T @ x + matrix).max() < 1e-4
     assert np.abs((p - y).sum(axis=0)).max() < 1e-4
-    got = {row.conversation_id: row for row in classifiers.predict(texts, model, "label", "sure").collect()}
+    got = {row.conversation_id: row for row in classifiers.predict(texts, (model, "label", "sure")).collect()}
     for number, parts in TEXTS.items():
         chances = softmax(matrix @ vector(" ".join(parts)) + intercepts)
         assert got[number].sure == pytest.approx(chances.max(), abs=1e-6)

@@ -1,6 +1,6 @@
 """Text classifiers over TF-IDF weights: multinomial naive Bayes and logistic regression.
 
-A fitted model is a small table of term weights plus one intercept per label. Scoring never builds a vector per
+A fitted model is a small stored table of term weights plus one intercept per label. Scoring never builds a vector per
 conversation: term counts, norms and label scores are sums, so they combine before each shuffle.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import WORD
+from threadloom.operators.scale import checkpointed
 from threadloom.operators.transcripts import customer_pieces
 
 TOKEN = WORD + "{2,}"
@@ -134,7 +135,8 @@ def fit_naive_bayes(
         for n in range(len(labels))
     ]
     priors = tuple(math.log(count / rows) for _, count in counted)
-    return Model(tuple(labels), priors, per_term.select("term", "idf", F.array(*shares).alias("weights")))
+    terms, _ = checkpointed(per_term.select("term", "idf", F.array(*shares).alias("weights")))
+    return Model(tuple(labels), priors, terms)
 
 
 def fit_logistic(
@@ -188,42 +190,66 @@ def fit_logistic(
         weighted.unpersist()
 
 
-def predict(texts: DataFrame, model: Model, label: str, confidence: str) -> DataFrame:
-    """``(conversation_id, label, confidence)`` from ``(conversation_id, text)`` rows, several per conversation.
+def _weights(models: Sequence[Model]) -> DataFrame:
+    """All terms of the models with each model's idf and weights, and an empty term that marks every text."""
+    spark = models[0].terms.sparkSession
+    table = spark.range(1).select(F.lit("").alias("term"))
+    for model in models:
+        table = table.unionByName(model.terms.select("term"))
+    table = table.distinct()
+    for number, model in enumerate(models):
+        entry = F.struct("idf", "weights").alias(f"model{number}")
+        table = table.join(model.terms.select("term", entry), "term", "left")
+    return checkpointed(table)[0]
 
-    The weights are rounded off at the ninth decimal before the best label is taken, so the order in which a
-    cluster adds numbers cannot change it; equal scores give the alphabetically first label.
+
+def predict(texts: DataFrame, *wanted: tuple[Model, str, str]) -> DataFrame:
+    """Predictions of ``wanted`` models, given as (model, label column, confidence column), per conversation.
+
+    ``texts`` has (conversation_id, text) rows, several per conversation; all models share one pass over them. Scores
+    are rounded off at the ninth decimal before the best label is taken, so the order in which a cluster adds
+    numbers cannot change it; equal scores give the alphabetically first label.
     """
-    labels = range(len(model.labels))
-    # The term table has at most max_features rows. It is joined twice: first only to keep known terms, so that the
-    # count runs over plain numbers, then to weigh the counted rows.
+    models = [model for model, _, _ in wanted]
+    table = _weights(models)  # at most the sum of the models' max_features, plus one row
+    # Joined twice: first only to keep known terms, so that the count runs over plain numbers, then for the weights.
+    marked = F.concat(F.array(F.lit("")), _tokens(F.col("text")))
     counts = (
-        texts.select("conversation_id", F.explode(_tokens(F.col("text"))).alias("term"))
-        .join(F.broadcast(model.terms.select("term")), "term", "left_semi")
+        texts.select("conversation_id", F.explode(marked).alias("term"))
+        .join(F.broadcast(table.select("term")), "term", "left_semi")
         .groupBy("conversation_id", "term")
         .agg(F.count("*").alias("uses"))
-        .join(F.broadcast(model.terms), "term")
-        .withColumn("weight", F.col("uses") * F.col("idf"))
-    )
-    sums = counts.groupBy("conversation_id").agg(
-        F.sum(F.col("weight") * F.col("weight")).alias("squares"),
-        *[F.sum(F.col("weight") * F.get("weights", F.lit(n))).alias(f"dot{n}") for n in labels],
-    )
-    known = texts.select("conversation_id").distinct().join(sums, "conversation_id", "left")
-    scores = [
-        F.round(F.lit(model.intercepts[n]) + F.coalesce(F.col(f"dot{n}") / F.sqrt("squares"), F.lit(0.0)), 9)
-        for n in labels
-    ]
-    scored = known.select("conversation_id", *[score.alias(f"s{n}") for n, score in enumerate(scores)])
-    ranked = [
-        F.struct(F.col(f"s{n}").alias("score"), F.lit(-n).alias("order"), F.lit(name).alias("label"))
-        for n, name in enumerate(model.labels)
-    ]
-    best = F.array_max(F.array(*ranked))
-    odds = functools.reduce(
-        lambda total, each: total + each, [F.exp(F.col(f"s{n}") - best["score"]) for n in labels]
+        .join(F.broadcast(table), "term")
     )
-    return scored.select("conversation_id", best["label"].alias(label), (1 / odds).alias(confidence))
+    totals = []
+    for number, model in enumerate(models):
+        weight = F.col("uses") * F.col(f"model{number}.idf")
+        totals.append(F.sum(weight * weight).alias(f"squares{number}"))
+        for n in range(len(model.labels)):
+            share = F.get(F.col(f"model{number}.weights"), F.lit(n))
+            totals.append(F.sum(weight * share).alias(f"dot{number}_{n}"))
+    scored = counts.groupBy("conversation_id").agg(*totals)
+    chosen = []
+    for number, (model, label, confidence) in enumerate(wanted):
+        norm = F.sqrt(f"squares{number}")
+        names = [f"score{number}_{n}" for n in range(len(model.labels))]
+        scored = scored.withColumns(
+            {
+                name: F.round(
+                    F.lit(model.intercepts[n]) + F.coalesce(F.col(f"dot{number}_{n}") / norm, F.lit(0.0)), 9
+                )
+                for n, name in enumerate(names)
+            }
+        )
+        ranked = [
+            F.struct(F.col(name).alias("score"), F.lit(-n).alias("order"), F.lit(text).alias("label"))
+            for n, (name, text) in enumerate(zip(names, model.labels))
+        ]
+        scored = scored.withColumn(f"best{number}", F.array_max(F.array(*ranked)))
+        best = F.col(f"best{number}")
+        odds = functools.reduce(lambda total, each: total + each, [F.exp(F.col(name) - best["score"]) for name in names])
+        chosen += [best["label"].alias(label), (1 / odds).alias(confidence)]
+    return scored.select("conversation_id", *chosen)
 
 
 def customer_texts(line_rows: DataFrame) -> DataFrame:
@@ -235,9 +261,10 @@ def customer_texts(line_rows: DataFrame) -> DataFrame:
 
 def classify(line_rows: DataFrame, nature: Model, behaviour: Model) -> DataFrame:
     """Both predictions per conversation, in the shape ``assess`` takes as labels."""
-    texts = customer_texts(line_rows)
-    return predict(texts, nature, "nature_of_request", "nature_confidence").join(
-        predict(texts, behaviour, "customer_behavior", "behavior_confidence"), "conversation_id"
+    return predict(
+        customer_texts(line_rows),
+        (nature, "nature_of_request", "nature_confidence"),
+        (behaviour, "customer_behavior", "behavior_confidence"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_id, clean_text, parse_time
@@ -80,15 +80,16 @@ def drop_empty(messages: DataFrame) -> DataFrame:
     return messages.where(F.length("text") > 0)
 
 
-def clean_messages(raw: DataFrame) -> DataFrame:
-    """The whole cleaning step. Time order is a property of sinks, so no global sort happens here."""
-    return (
-        raw.transform(normalise_types)
-        .transform(usable)
-        .transform(clean_texts)
-        .transform(drop_duplicates)
-        .transform(drop_empty)
-    )
+def clean_messages(raw: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """The whole cleaning step. Time order is a property of sinks, so no global sort happens here.
+
+    ``watch`` receives the number of rejected rows as ``rejected`` when the result is computed.
+    """
+    typed = normalise_types(raw)
+    if watch is not None:
+        reason = _reject_reason(F.col("tweet_id"), F.col("created_at"))
+        typed = typed.observe(watch, F.count_if(reason.isNotNull()).alias("rejected"))
+    return typed.transform(usable).transform(clean_texts).transform(drop_duplicates).transform(drop_empty)
 
 
 def in_time_order(messages: DataFrame) -> DataFrame:

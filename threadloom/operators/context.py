@@ -73,7 +73,7 @@ def customer_context(analysis: DataFrame, grouped: DataFrame, cohorts: DataFrame
 
 def per_part(rows: DataFrame, total: str = "total_messages", part_messages: int = PART_MESSAGES) -> DataFrame:
     """Repeat a conversation's row for each part of its messages."""
-    last = F.floor((F.col(total) - 1) / part_messages).cast("int")
+    last = F.expr(f"CAST(({total} - 1) DIV {part_messages} AS INT)")
     return rows.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
 
 

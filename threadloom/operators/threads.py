@@ -185,7 +185,7 @@ def group_messages(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 def with_part(grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
     """Add the part of its conversation a message falls into; an ordinary conversation is all part 0."""
-    return grouped.withColumn("part", F.floor(F.col("sequence_number") / part_messages).cast("int"))
+    return grouped.withColumn("part", F.expr(f"CAST(sequence_number DIV {part_messages} AS INT)"))
 
 
 def nested_conversations(grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.operators import analysis as analysing
@@ -16,8 +16,12 @@ from threadloom.sources import files
 def ingest(spark: SparkSession, csv_path: str, folder: str, *, multiline: bool = True) -> DataFrame:
     """Read, clean and store messages, rebuild and store conversations; returns the run summary."""
     raw = files.read_messages_csv(spark, csv_path, multiline)
-    files.write_table(cleaning.rejects(raw), folder, files.REJECTS)
-    messages = files.store_messages(cleaning.clean_messages(raw), folder)
+    watch = Observation()
+    messages = files.store_messages(cleaning.clean_messages(raw, watch), folder)
+    rejects = cleaning.rejects(raw)
+    if not watch.get["rejected"]:
+        rejects = spark.createDataFrame([], rejects.schema)  # nothing to find: no second scan of the feed
+    files.write_table(rejects, folder, files.REJECTS)
     grouped = files.store_grouped(threads.group_messages(messages.drop("created_timestamp")), folder)
     return stats.ingest_summary(messages, grouped)
 
