@@ -87,3 +87,16 @@ def test_limit_and_classifier_choice(spark, run, tmp_path):
     with pytest.raises(ValueError):
         stages.assess_conversations(files.read_table(spark, folder, files.GROUPED), classifier="guess")
     assert analysing.unresolved(files.read_table(spark, folder, files.ANALYSIS)).count() == 1
+
+
+@pytest.mark.parametrize("rows, rejected", [(FEED[:1], 0), ([FEED[0], FEED[7]], 1), ([FEED[0], FEED[4]], 0)])
+def test_feeds_without_conversations(spark, tmp_path, rows, rejected):
+    feed, tables = tmp_path / "feed.csv", str(tmp_path / "tables")
+    with open(feed, "w", newline="", encoding="utf-8") as out:
+        csv.writer(out).writerows(rows)
+    summaries = jobs.run_all(
+        spark, str(feed), tables, str(tmp_path / "export"), "2024-02-01 10:00:00", classifier="rules"
+    )
+    assert [summary.collect() for summary in summaries][0][0].conversations_created == 0
+    assert files.read_table(spark, tables, files.REJECTS).count() == rejected
+    assert not (tmp_path / "export").exists()

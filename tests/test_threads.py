@@ -142,3 +142,10 @@ def test_lookup_spreads_missing_and_hot_keys(spark):
             number = int(row.n)
             popular = -1 if number < 500 else None
             assert row.twice == (None if number % 3 == 0 else popular if number % 3 == 1 else number * 2)
+
+
+@pytest.mark.parametrize("rows", [[], [("a", None)], [("a", None), ("b", "gone")]])
+def test_nothing_to_group(messages_of, rows):
+    messages = messages_of(rows)
+    assert threads.thread_roots(messages).count() == len(rows)
+    assert threads.group_messages(messages).count() == 0

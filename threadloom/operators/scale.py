@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.session import ensure_checkpoint_dir
@@ -23,13 +23,13 @@ def hot_threshold(rows: int, hot_rows: int = HOT_ROWS) -> int:
 
 
 def checkpointed(df: DataFrame, **counters: Column) -> tuple[DataFrame, dict[str, int]]:
-    """Reliable checkpoint, with aggregates observed during the same pass."""
+    """Reliable checkpoint, with aggregates over the stored rows."""
     ensure_checkpoint_dir(df.sparkSession)
+    saved = df.checkpoint()
     if not counters:
-        return df.checkpoint(), {}
-    seen = Observation()
-    saved = df.observe(seen, *[value.alias(name) for name, value in counters.items()]).checkpoint()
-    return saved, {name: value or 0 for name, value in seen.get.items()}
+        return saved, {}
+    counted = saved.agg(*[value.alias(name) for name, value in counters.items()]).first()
+    return saved, {name: counted[name] or 0 for name in counters}
 
 
 def hot_keys(probe: DataFrame, key: str, rows: int, hot_rows: int = HOT_ROWS) -> DataFrame | None:

@@ -6,7 +6,7 @@ only among messages that have replies; a message without replies takes the root
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.operators.scale import HOT_ROWS, checkpointed, hot_keys, hot_threshold, lookup, ordered_index
@@ -54,19 +54,18 @@ def _progress() -> dict[str, Column]:
 
 def _roots_of_parents(links: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """``(node, root_id)`` for every message with replies, and the parent ids with very many replies, if any."""
-    replies = links.where(F.col("parent_id").isNotNull()).groupBy("parent_id").agg(F.count("*").alias("replies"))
-    seen = Observation()
-    counted = replies.observe(seen, F.sum("replies").alias("total"), F.max("replies").alias("largest"))
+    counted = links.where(F.col("parent_id").isNotNull()).groupBy("parent_id").agg(F.count("*").alias("replies"))
+    replies, extent = checkpointed(counted, total=F.sum("replies"), largest=F.max("replies"))
+    threshold = hot_threshold(extent["total"], hot_rows)
+    hot = None
+    if extent["largest"] > threshold:
+        # Counted over all replies, so that a popular parent missing from the data is among them.
+        hot = replies.where(F.col("replies") > threshold).select("parent_id")
     nodes, _ = checkpointed(
-        links.join(counted.select(F.col("parent_id").alias("node")), F.col("tweet_id") == F.col("node")).select(
+        links.join(replies.select(F.col("parent_id").alias("node")), F.col("tweet_id") == F.col("node")).select(
             "node", "parent_id"
         )
     )
-    threshold = hot_threshold(seen.get["total"] or 0, hot_rows)
-    hot = None
-    if (seen.get["largest"] or 0) > threshold:
-        # Counted over all replies, so that a popular parent missing from the data is among them.
-        hot, _ = checkpointed(replies.where(F.col("replies") > threshold).select("parent_id"))
     exists = nodes.select(F.col("node").alias("parent_id"), F.lit(True).alias("linked"))
     state, counts = checkpointed(
         lookup(nodes, exists, "parent_id", "node", hot).select(
