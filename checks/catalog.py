@@ -469,6 +469,19 @@ def r6_sequence_numbers(spark, sf_dir):
     return threads.sequence_numbers(stage.roots, stage.conversations)
 
 
+@query("r1_roots_with_popular_parents", upto("reach", "SELECT tweet_id, root_id FROM reach"))
+def r1_roots_with_popular_parents(spark, sf_dir):
+    """The same threads when every message with two replies counts as popular."""
+    return threads.thread_roots(staged(spark, sf_dir).messages, hot_rows=1).select("tweet_id", "root_id")
+
+
+@query("r6_positions_across_ranges", upto("grouped", "SELECT tweet_id, conversation_id, sequence_number FROM grouped"))
+def r6_positions_across_ranges(spark, sf_dir):
+    """The same positions when every conversation of five or more messages is ranked across range partitions."""
+    stage = staged(spark, sf_dir)
+    return threads.sequence_numbers(stage.roots, stage.conversations, hot_rows=4)
+
+
 @query("r6_grouped_messages", upto("grouped", f"SELECT {GROUPED_SQL} FROM grouped"))
 def r6_grouped_messages(spark, sf_dir):
     return threads.group_messages(staged(spark, sf_dir).messages).select(*GROUPED_COLUMNS)
@@ -556,6 +569,19 @@ def j6_parent_lookup(spark, sf_dir):
     )
 
 
+@query(
+    "j6_popular_parents",
+    upto(
+        "clean",
+        """SELECT c.tweet_id, p.author_id AS parent_author_id FROM clean c
+    LEFT JOIN clean p ON p.tweet_id = c.in_response_to_tweet_id WHERE c.in_response_to_tweet_id <> ''""",
+    ),
+)
+def j6_popular_parents(spark, sf_dir):
+    """The same lookup when every parent with two replies is answered by the broadcast."""
+    return threads.parents(staged(spark, sf_dir).messages, hot_rows=1).select("tweet_id", "parent_author_id")
+
+
 # Aggregations
 
 TRANSCRIPT_SQL = f"""SELECT conversation_id, full_conversation, message_count, {clock('start_time')} AS start_time,
@@ -567,6 +593,20 @@ def a1_transcripts(spark, sf_dir):
     return transcripts.transcripts(staged(spark, sf_dir).grouped).drop("part")
 
 
+@query(
+    "a1_transcripts_in_parts",
+    upto(
+        "grouped",
+        f"""SELECT conversation_id, sequence_number // 2 AS part, string_agg(CASE WHEN is_customer THEN 'CUSTOMER: '
+        ELSE 'AGENT: ' END || author_id || ': ' || message_text, ' | ' ORDER BY sequence_number) AS full_conversation,
+    count(*) AS message_count, {clock('min(created_at)')} AS start_time, {clock('max(created_at)')} AS end_time
+    FROM grouped GROUP BY conversation_id, sequence_number // 2""",
+    ),
+)
+def a1_transcripts_in_parts(spark, sf_dir):
+    return transcripts.transcripts(staged(spark, sf_dir).grouped, part_messages=2)
+
+
 @query("a1_turn_transcripts", turns("transcripts", TRANSCRIPT_SQL))
 def a1_turn_transcripts(spark, sf_dir):
     return transcripts.transcripts(staged(spark, sf_dir).turns).drop("part")
@@ -669,6 +709,23 @@ def a9_context_fanout(spark, sf_dir):
 CHANNELS_SQL = "SELECT channel, count(*) AS recommendations FROM ruled GROUP BY channel"
 
 
+@query(
+    "a9_history_in_parts",
+    upto(
+        "assessed",
+        f"""SELECT conversation_id, sequence_number // 2 AS part, string_agg({clock('created_at')} || ' | ' || author_id
+        || ': ' || message_text, ' ### ' ORDER BY sequence_number) AS chat_history
+    FROM grouped JOIN assessed USING (conversation_id) WHERE NOT is_resolved
+    GROUP BY conversation_id, sequence_number // 2""",
+    ),
+)
+def a9_history_in_parts(spark, sf_dir):
+    stage = staged(spark, sf_dir)
+    return context.with_history(stage.context, stage.grouped, part_messages=2).select(
+        "conversation_id", "part", "chat_history"
+    )
+
+
 @query("a10_channel_distribution", upto("ruled", CHANNELS_SQL))
 def a10_channel_distribution(spark, sf_dir):
     return recommend.channel_distribution(recommend.rule_recommendations(staged(spark, sf_dir).context, AS_OF))
@@ -706,6 +763,11 @@ def a12_behaviour_summary(spark, sf_dir):
     return stages.behaviour_summary(stage.assessed, stage.cohort_tables[0])
 
 
+@query("a12_action_summary", upto("ruled", "SELECT count(*) AS recommendations_generated FROM ruled"))
+def a12_action_summary(spark, sf_dir):
+    return stages.action_summary(recommend.rule_recommendations(staged(spark, sf_dir).context, AS_OF))
+
+
 # Rankings and selections
 
 

@@ -79,6 +79,10 @@ def next_actions(
     )
 
 
+def action_summary(recommendations: DataFrame) -> DataFrame:
+    return recommendations.agg(F.count("*").alias("recommendations_generated"))
+
+
 def with_chat_history(
     recommendations: DataFrame, grouped: DataFrame, *, fanout: bool = False, part_messages: int = PART_MESSAGES
 ) -> DataFrame:
