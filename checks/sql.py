@@ -367,31 +367,75 @@ def turns(last: str, select: str) -> str:
     return "WITH " + ",\n".join([source] + [chain[n] for n in names[: names.index(last) + 1]]) + "\n" + select
 
 
-def naive_bayes(select: str) -> str:
-    """Training and scoring of the nature classifier in SQL."""
+def _weighted_examples(examples) -> str:
+    """CTEs up to L2-normalised TF-IDF weights of the training sentences."""
     stop = "(" + ", ".join(map(text, classifiers.STOP_WORDS)) + ")"
-    rows = ", ".join(f"({n}, {text(t)}, {text(y)})" for n, (t, y) in enumerate(classifiers.NATURE_EXAMPLES))
-    extra = f"""training(doc, body, label) AS (VALUES {rows}),
+    rows = ", ".join(f"({n}, {text(t)}, {text(y)})" for n, (t, y) in enumerate(examples))
+    return f"""training(doc, body, label) AS (VALUES {rows}),
 uses AS (SELECT doc, label, term, count(*) AS n FROM (SELECT doc, label,
     unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM training)
     WHERE term NOT IN {stop} GROUP BY ALL),
 idfs AS (SELECT term, ln((1.0 + (SELECT count(*) FROM training)) / (1 + count(*))) + 1 AS idf FROM uses GROUP BY term),
-weights AS (SELECT label, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc)) AS w
+weights AS (SELECT doc, label, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc)) AS w
     FROM uses JOIN idfs USING (term)),
-labels AS (SELECT label, ln(count(*) * 1.0 / (SELECT count(*) FROM training)) AS prior FROM training GROUP BY label),
-grid AS (SELECT label, term, coalesce(sum(w), 0) + 1 AS mass FROM labels CROSS JOIN idfs LEFT JOIN weights
-    USING (label, term) GROUP BY label, term),
-shares AS (SELECT label, term, ln(mass / sum(mass) OVER (PARTITION BY label)) AS share FROM grid),
 spoken_terms AS (SELECT conversation_id, term, count(*) * any_value(idf) AS x FROM (SELECT conversation_id,
     unnest(regexp_extract_all(lower(array_to_string(customer_list, ' ')), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM heard)
     JOIN idfs USING (term) GROUP BY conversation_id, term),
-norms AS (SELECT conversation_id, sqrt(sum(x * x)) AS norm FROM spoken_terms GROUP BY conversation_id),
-dots AS (SELECT conversation_id, label, sum(x * share) / any_value(norm) AS dot FROM spoken_terms JOIN norms
+norms AS (SELECT conversation_id, sqrt(sum(x * x)) AS norm FROM spoken_terms GROUP BY conversation_id)"""
+
+
+def _predicted(label: str, confidence_name: str) -> str:
+    """CTEs from (label, prior) and (label, term, share) to the best label and its probability."""
+    return f"""dots AS (SELECT conversation_id, label, sum(x * share) / any_value(norm) AS dot FROM spoken_terms JOIN norms
     USING (conversation_id) JOIN shares USING (term) GROUP BY conversation_id, label),
-joint AS (SELECT h.conversation_id, l.label, round(prior + coalesce(dot, 0), 9) AS score FROM heard h CROSS JOIN labels l
+joint AS (SELECT h.conversation_id, l.label, prior + coalesce(dot, 0) AS score FROM heard h CROSS JOIN labels l
     LEFT JOIN dots d ON d.conversation_id = h.conversation_id AND d.label = l.label WHERE len(customer_list) > 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY score DESC, label) AS place,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY round(score, 6) DESC, label) AS place,
     sum(exp(score)) OVER (PARTITION BY conversation_id) AS mass FROM joint),
-predicted AS (SELECT conversation_id, label AS nature_of_request, exp(score) / mass AS nature_confidence
-    FROM ranked WHERE place = 1)"""
-    return upto("heard", select, extra)
+predicted AS (SELECT conversation_id, label AS {label}, exp(score) / mass AS {confidence_name} FROM ranked WHERE place = 1)"""
+
+
+def naive_bayes(select: str) -> str:
+    """Training and scoring of the nature classifier in SQL."""
+    fitted = """labels AS (SELECT label, ln(count(*) * 1.0 / (SELECT count(*) FROM training)) AS prior FROM training GROUP BY label),
+grid AS (SELECT label, term, coalesce(sum(w), 0) + 1 AS mass FROM labels CROSS JOIN idfs LEFT JOIN weights
+    USING (label, term) GROUP BY label, term),
+shares AS (SELECT label, term, ln(mass / sum(mass) OVER (PARTITION BY label)) AS share FROM grid)"""
+    parts = [_weighted_examples(classifiers.NATURE_EXAMPLES), fitted]
+    return upto("heard", select, *parts, _predicted("nature_of_request", "nature_confidence"))
+
+
+def logistic(select: str, steps: int = 800, rate: float = 0.1) -> str:
+    """Training of the behaviour classifier by gradient descent in a recursive query, and scoring.
+
+    The term weights stay a combination of the training rows, so a step moves one number per row and label, using the
+    inner products of the rows, and one intercept per label.
+    """
+    rows, labels = len(classifiers.BEHAVIOUR_EXAMPLES), sorted({label for _, label in classifiers.BEHAVIOUR_EXAMPLES})
+    docs, codes = f"range(1, {rows + 1})", f"range(1, {len(labels) + 1})"
+    fitted = f"""names(code, label) AS (VALUES {', '.join(f'({n}, {text(name)})' for n, name in enumerate(labels, 1))}),
+products AS (SELECT i.doc AS i, j.doc AS j, coalesce(sum(a.w * b.w), 0) AS k FROM training i CROSS JOIN training j
+    LEFT JOIN weights a ON a.doc = i.doc LEFT JOIN weights b ON b.doc = j.doc AND b.term = a.term
+    GROUP BY i.doc, j.doc),
+kernel AS (SELECT list(r ORDER BY i) AS k FROM (SELECT i, list(k ORDER BY j) AS r FROM products GROUP BY i)),
+targets AS (SELECT list(r ORDER BY doc) AS y FROM (SELECT doc,
+    list(CASE WHEN t.label = n.label THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END ORDER BY code) AS r
+    FROM training t CROSS JOIN names n GROUP BY doc)),
+fit(step, a, b) AS (SELECT 0, list_transform(y, lambda r: list_transform(r, lambda v: v * 0)),
+    list_transform({codes}, lambda c: CAST(0 AS DOUBLE)) FROM targets
+    UNION ALL
+    SELECT step + 1, list_transform({docs}, lambda i: list_transform({codes},
+            lambda c: a[i][c] - CAST({rate} AS DOUBLE) * (p[i][c] - y[i][c] + a[i][c]))),
+        list_transform({codes}, lambda c: b[c] - CAST({rate} AS DOUBLE)
+            * list_sum(list_transform({docs}, lambda i: p[i][c] - y[i][c])))
+    FROM (SELECT *, list_transform(s, lambda r: list_transform(r,
+            lambda v: exp(v) / list_sum(list_transform(r, lambda u: exp(u))))) AS p
+        FROM (SELECT step, a, b, y, list_transform({docs}, lambda i: list_transform({codes},
+                lambda c: b[c] + list_sum(list_transform({docs}, lambda j: k[i][j] * a[j][c])))) AS s
+            FROM fit, kernel, targets WHERE step < {steps}))),
+fitted AS (SELECT a, b FROM fit WHERE step = {steps}),
+labels AS (SELECT label, b[code] AS prior FROM names, fitted),
+shares AS (SELECT n.label, w.term, sum(a[w.doc + 1][n.code] * w.w) AS share FROM weights w CROSS JOIN names n CROSS JOIN
+    fitted GROUP BY n.label, w.term)"""
+    parts = [_weighted_examples(classifiers.BEHAVIOUR_EXAMPLES), fitted]
+    return upto("heard", select, *parts, _predicted("customer_behavior", "behavior_confidence"))

@@ -206,9 +206,9 @@ def _weights(models: Sequence[Model]) -> DataFrame:
 def predict(texts: DataFrame, *wanted: tuple[Model, str, str]) -> DataFrame:
     """Predictions of ``wanted`` models, given as (model, label column, confidence column), per conversation.
 
-    ``texts`` has (conversation_id, text) rows, several per conversation; all models share one pass over them. Scores
-    are rounded off at the ninth decimal before the best label is taken, so the order in which a cluster adds
-    numbers cannot change it; equal scores give the alphabetically first label.
+    ``texts`` has (conversation_id, text) rows, several per conversation; all models share one pass over them. The best
+    label is taken from scores rounded to six decimals, which neither the order of additions nor the last steps of
+    an iterative fit can change; equal scores give the alphabetically first label.
     """
     models = [model for model, _, _ in wanted]
     table = _weights(models)  # at most the sum of the models' max_features, plus one row
@@ -235,14 +235,17 @@ def predict(texts: DataFrame, *wanted: tuple[Model, str, str]) -> DataFrame:
         names = [f"score{number}_{n}" for n in range(len(model.labels))]
         scored = scored.withColumns(
             {
-                name: F.round(
-                    F.lit(model.intercepts[n]) + F.coalesce(F.col(f"dot{number}_{n}") / norm, F.lit(0.0)), 9
-                )
+                name: F.lit(model.intercepts[n]) + F.coalesce(F.col(f"dot{number}_{n}") / norm, F.lit(0.0))
                 for n, name in enumerate(names)
             }
         )
         ranked = [
-            F.struct(F.col(name).alias("score"), F.lit(-n).alias("order"), F.lit(text).alias("label"))
+            F.struct(
+                F.round(name, 6).alias("rounded"),
+                F.lit(-n).alias("order"),
+                F.lit(text).alias("label"),
+                F.col(name).alias("score"),
+            )
             for n, (name, text) in enumerate(zip(names, model.labels))
         ]
         scored = scored.withColumn(f"best{number}", F.array_max(F.array(*ranked)))
