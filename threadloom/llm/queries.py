@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import decontamination, quality_rules, toxicity
+from threadloom.llm import decontamination, near_duplicates, packing, quality_rules, token_store, toxicity
 from threadloom.llm.common import table
 
 
@@ -22,10 +22,25 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.report(table(spark, sf_dir, "documents"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.report(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op5_token_store": op5_token_store,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_packing": op10_packing,
 }
 
 _WORD = "'[^\\x20\\x09-\\x0D]+'"
