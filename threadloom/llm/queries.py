@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import decontamination, near_duplicates, packing, quality_rules, token_store, toxicity
+from threadloom.llm import decontamination, lattice_lm, near_duplicates, packing, quality_rules, token_store, toxicity
 from threadloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.report(table(spark, sf_dir, "documents"))
 
 
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.report(table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.report(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op5_token_store": op5_token_store,
+    "op8_lattice_lm": op8_lattice_lm,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
 }
