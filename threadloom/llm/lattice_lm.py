@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from threadloom.llm import common, subwords
 
 ROUNDS = 3
-CLASSES = 4
+CLASSES = 6
 #: Training documents that the classes are found on, and the hashed words that stand for a document there.
 SAMPLE_DOCS = 2000
 BUCKETS = 4096

@@ -6,14 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import decontamination, lattice_lm, near_duplicates, packing, quality_rules, token_store, toxicity
+from threadloom.llm import (
+    decontamination,
+    html_text,
+    lattice_lm,
+    near_duplicates,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    token_store,
+    toxicity,
+)
 from threadloom.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.report(table(spark, sf_dir, "documents"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(table(spark, sf_dir, "pages"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.report(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -22,10 +49,6 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.report(table(spark, sf_dir, "documents"))
-
-
 def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.report(table(spark, sf_dir, "documents"))
 
@@ -39,16 +62,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_quality_rules": op4_quality_rules,
-    "op6_decontamination": op6_decontamination,
-    "op7_toxicity": op7_toxicity,
-    "op5_token_store": op5_token_store,
-    "op8_lattice_lm": op8_lattice_lm,
-    "op9_near_duplicates": op9_near_duplicates,
-    "op10_packing": op10_packing,
+    query.__name__: query
+    for query in (
+        op1_token_counts,
+        op2_html_text,
+        op3_quality_classifier,
+        op4_quality_rules,
+        op5_token_store,
+        op6_decontamination,
+        op7_toxicity,
+        op8_lattice_lm,
+        op9_near_duplicates,
+        op10_packing,
+    )
 }
 
-_WORD = "'[^\\x20\\x09-\\x0D]+'"
-
 #: Statements for those that SQL can express; learnt models, compression and packing are tested by other means.
 ORACLES: dict[str, str] = {}
