@@ -47,6 +47,8 @@ HOT = 300_000
 COUNTED = 200_000
 #: Bytes of words that one recursion handles side by side.
 LATTICE_BYTES = 200_000
+#: Words of more bytes are handled one by one.
+LONG_WORD = 400
 #: Uses that every piece has besides the expected ones, so that none becomes impossible.
 PRIOR = 0.01
 _BASE = np.uint64(1099511628211)
@@ -128,9 +130,12 @@ class Lattice:
         alpha = np.empty(total + len(words))  # one more position a word than it has bytes
         first = begins + np.arange(len(words))
         alpha[first] = 0.0
-        low = 0
+        if lengths[-1] > LONG_WORD:
+            for begin, start, length in zip(begins, first, lengths):
+                self._along(alpha[start : start + length + 1], table[:, begin : begin + length], 1)
+            return alpha, table, lengths, begins, first
         for t in range(int(lengths[-1])):
-            low = int(np.searchsorted(lengths, t, side="right"))  # words that have a byte at t
+            low = int(np.searchsorted(lengths, t, side="right"))  # from here on, words have a byte at t
             here, place = begins[low:] + t, first[low:] + t + 1
             best = alpha[place - 1] + self.logs[table[0, here]]
             for k in range(1, min(t + 1, len(arcs))):
@@ -141,6 +146,20 @@ class Lattice:
             alpha[place] = best
         return alpha, table, lengths, begins, first
 
+    def _along(self, values: np.ndarray, table: np.ndarray, step: int) -> None:
+        """The recursion of one long word, by position; all lengths of a piece side by side. step -1: from the right."""
+        length = table.shape[1]
+        lengths = np.arange(len(table))
+        for t in range(1, length + 1) if step > 0 else range(length - 1, -1, -1):
+            if step > 0:
+                reach = lengths[: min(t, len(table))]
+                x = values[t - 1 - reach] + self.logs[table[reach, t - 1]]
+            else:
+                reach = lengths[: min(length - t, len(table))]
+                x = values[t + 1 + reach] + self.logs[table[reach, t + reach]]
+            most = x.max()
+            values[t] = most + np.log(np.exp(x - most).sum())
+
     def batches(self, words: list[bytes]) -> Iterator[np.ndarray]:
         """Numbers of words of like length, so many that a recursion handles them side by side."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -150,6 +169,8 @@ class Lattice:
         while low < len(order):
             done = ends[low - 1] if low else 0
             high = max(low + 1, int(np.searchsorted(ends, done + LATTICE_BYTES, side="right")))
+            long = int(np.searchsorted(lengths[order], LONG_WORD, side="left"))
+            high = min(high, long) if low < long else high  # long words are handled apart
             yield order[low:high]
             low = high
 
@@ -168,7 +189,10 @@ class Lattice:
             alpha, table, lengths, begins, first = self.forward([words[k] for k in chosen])
             beta = np.full(len(alpha), -np.inf)
             beta[first + lengths] = 0.0
-            for t in range(int(lengths[-1]) - 1, -1, -1):  # from position t + 1 back to where its pieces begin
+            if lengths[-1] > LONG_WORD:
+                for begin, start, length in zip(begins, first, lengths):
+                    self._along(beta[start : start + length + 1], table[:, begin : begin + length], -1)
+            for t in [] if lengths[-1] > LONG_WORD else range(int(lengths[-1]) - 1, -1, -1):  # from position t + 1 back to where its pieces begin
                 low = int(np.searchsorted(lengths, t, side="right"))
                 here, place = begins[low:] + t, first[low:] + t + 1
                 for k in range(min(t + 1, len(table))):

@@ -14,7 +14,7 @@ members of other components. So all pairs that share LEAST values of a path take
 the threshold is in none of the trees with probability (1 - 0.75 ** 3) ** 16 = 0.00016, one of similarity 0.8 with 0.00001.
 
 Defined results: texts without words are linked with nothing; fewer than five words are one shingle; rows with the same id and
-text are copies of each other; a row without an id is in no component and not kept; empty tables give empty results.
+text are copies of each other; a row without an id is in no component and kept; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -393,7 +393,7 @@ def labelled(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return labelled(docs).withColumn("kept", kept)
 
 

@@ -14,6 +14,7 @@ from threadloom.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    reference_sql,
     token_counts,
     token_store,
     toxicity,
@@ -78,4 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Statements for those that SQL can express; learnt models, compression and packing are tested by other means.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": reference_sql.QUALITY_RULES,
+    "op6_decontamination": reference_sql.DECONTAMINATION,
+    "op9_near_duplicates": reference_sql.NEAR_DUPLICATES,
+}
