@@ -590,7 +590,7 @@ TRANSCRIPT_SQL = f"""SELECT conversation_id, full_conversation, message_count, {
 
 @query("a1_transcripts", upto("transcripts", TRANSCRIPT_SQL))
 def a1_transcripts(spark, sf_dir):
-    return transcripts.transcripts(staged(spark, sf_dir).grouped).drop("part")
+    return transcripts.transcripts(staged(spark, sf_dir).grouped)
 
 
 @query(
@@ -604,12 +604,12 @@ def a1_transcripts(spark, sf_dir):
     ),
 )
 def a1_transcripts_in_parts(spark, sf_dir):
-    return transcripts.transcripts(staged(spark, sf_dir).grouped, part_messages=2)
+    return transcripts.transcript_parts(staged(spark, sf_dir).grouped, 2)
 
 
 @query("a1_turn_transcripts", turns("transcripts", TRANSCRIPT_SQL))
 def a1_turn_transcripts(spark, sf_dir):
-    return transcripts.transcripts(staged(spark, sf_dir).turns).drop("part")
+    return transcripts.transcripts(staged(spark, sf_dir).turns)
 
 
 @query("a2_conversation_stats", upto("grouped", f"SELECT {STATS_SQL} FROM grouped GROUP BY conversation_id"))
@@ -685,7 +685,7 @@ CONTEXT_SQL = f"""SELECT conversation_id, is_resolved, array_to_string(tags, ','
 def a9_customer_context(spark, sf_dir):
     stage = staged(spark, sf_dir)
     made = context.customer_context(stage.assessed, stage.grouped, *stage.cohort_tables)
-    return context.with_history(made, stage.grouped).drop("part", "cohort_count")
+    return context.with_history(made, stage.grouped).drop("cohort_count")
 
 
 @query(
@@ -710,20 +710,17 @@ CHANNELS_SQL = "SELECT channel, count(*) AS recommendations FROM ruled GROUP BY
 
 
 @query(
-    "a9_history_in_parts",
-    upto(
-        "assessed",
-        f"""SELECT conversation_id, sequence_number // 2 AS part, string_agg({clock('created_at')} || ' | ' || author_id
-        || ': ' || message_text, ' ### ' ORDER BY sequence_number) AS chat_history
-    FROM grouped JOIN assessed USING (conversation_id) WHERE NOT is_resolved
-    GROUP BY conversation_id, sequence_number // 2""",
-    ),
+    "a9_history_in_blocks",
+    upto("context", "SELECT conversation_id, chat_history FROM context"),
 )
-def a9_history_in_parts(spark, sf_dir):
+def a9_history_in_blocks(spark, sf_dir):
     stage = staged(spark, sf_dir)
-    return context.with_history(stage.context, stage.grouped, part_messages=2).select(
-        "conversation_id", "part", "chat_history"
-    )
+    return context.with_history(stage.context, stage.grouped, block_messages=2).select("conversation_id", "chat_history")
+
+
+@query("a1_transcripts_in_blocks", upto("transcripts", TRANSCRIPT_SQL))
+def a1_transcripts_in_blocks(spark, sf_dir):
+    return transcripts.transcripts(staged(spark, sf_dir).grouped, block_messages=2)
 
 
 @query("a10_channel_distribution", upto("ruled", CHANNELS_SQL))
@@ -848,7 +845,7 @@ def w6_sample_per_cohort(spark, sf_dir):
     ),
 )
 def w7_first_in_text_order(spark, sf_dir):
-    return transcripts.first_transcripts(staged(spark, sf_dir).grouped, 100, "text").drop("part")
+    return transcripts.first_transcripts(staged(spark, sf_dir).grouped, 100, "text")
 
 
 @query(
@@ -1139,6 +1136,22 @@ def n18_transcript_analysis(spark, sf_dir):
     return analysis.analyse_transcripts(given).select("conversation_id", *RECORD_COLUMNS)
 
 
+@query("n18_transcript_part_analysis", upto("assessed", f"SELECT {RECORD_SQL} FROM assessed"))
+def n18_transcript_part_analysis(spark, sf_dir):
+    parts = transcripts.transcript_parts(staged(spark, sf_dir).grouped, 2)
+    return analysis.analyse_transcripts(parts).select("conversation_id", *RECORD_COLUMNS)
+
+
+@query("n16_repeated_replies", upto("assessed", f"SELECT {RECORD_SQL} FROM merged", _MERGED_SQL))
+def n16_repeated_replies(spark, sf_dir):
+    """Every reply twice, and an unreadable one beside each readable one."""
+    stage = staged(spark, sf_dir)
+    rows = analysis_replies(stage)
+    cut_off = rows.where("conversation_id % 7 IN (0, 1, 2, 3)").withColumn("response_text", F.lit('{"tags": ['))
+    parsed = model_exchange.parse_analysis_replies(rows.unionByName(cut_off).unionByName(rows))
+    return model_exchange.merge_replies(stage.assessed, parsed).select("conversation_id", *RECORD_COLUMNS)
+
+
 @query("n19_batch_analysis", upto("cohorts", BEHAVIOUR_SQL))
 def n19_batch_analysis(spark, sf_dir):
     folder = scratch(spark, "tables")
@@ -1272,7 +1285,30 @@ def l6_attach_context(spark, sf_dir):
     stage = staged(spark, sf_dir)
     read = model_exchange.read_recommendation_replies(recommendation_replies(stage))
     with_text = context.with_history(stage.context, stage.grouped)
-    return model_exchange.attach_context(model_exchange.usable_replies(read), with_text).drop("part")
+    return model_exchange.attach_context(model_exchange.usable_replies(read), with_text)
+
+
+def repeated_replies(stage: Staged) -> DataFrame:
+    """The replies, each twice, and a malformed and a channel-less one beside it."""
+    rows = recommendation_replies(stage)
+    bad = [rows.withColumn("response_text", F.lit(text)) for text in ("{", '{"message": "Hello"}')]
+    return rows.unionByName(bad[0]).unionByName(rows).unionByName(bad[1])
+
+
+@query(
+    "l6_repeated_replies",
+    upto(
+        "context",
+        """SELECT conversation_id, channel, send_time, message, reasoning, issue_status, customer_id, chat_history
+    FROM read_replies WHERE reject_reason IS NULL""",
+        _REPLIES_SQL,
+    ),
+)
+def l6_repeated_replies(spark, sf_dir):
+    stage = staged(spark, sf_dir)
+    read = model_exchange.read_recommendation_replies(repeated_replies(stage))
+    usable = read.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return model_exchange.attach_context(usable, context.with_history(stage.context, stage.grouped, block_messages=2))
 
 
 # Next best action
@@ -1303,6 +1339,24 @@ def b2_decide(spark, sf_dir):
     return chosen.select(*RULED_SQL.split(", "))
 
 
+@query(
+    "b2_repeated_replies",
+    upto(
+        "ruled",
+        """SELECT r.conversation_id, r.customer_id, coalesce(p.channel, r.channel) AS channel,
+    coalesce(p.send_time, r.send_time) AS send_time, coalesce(p.message, r.message) AS message,
+    coalesce(p.reasoning, r.reasoning) AS reasoning, coalesce(p.issue_status, r.issue_status) AS issue_status
+    FROM ruled r LEFT JOIN (SELECT * FROM read_replies WHERE reject_reason IS NULL) p USING (conversation_id)""",
+        _REPLIES_SQL,
+    ),
+)
+def b2_repeated_replies(spark, sf_dir):
+    stage = staged(spark, sf_dir)
+    read = model_exchange.read_recommendation_replies(repeated_replies(stage))
+    every = read.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return recommend.decide(stage.context, AS_OF, every).select(*RULED_SQL.split(", "))
+
+
 @query(
     "b3_channel_limits",
     upto(

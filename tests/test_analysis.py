@@ -166,7 +166,7 @@ def test_features_equal_whole_transcript_counts(spark, grouped_of):
 
 def test_parts_and_transcript_input(grouped_of):
     grouped = grouped_of({1: [(n % 2 == 0, f"message {n} bug") for n in range(9)], 2: [customer("hi"), agent("ho")]})
-    parts = transcripts.transcripts(grouped, part_messages=4).orderBy("conversation_id", "part").collect()
+    parts = transcripts.transcript_parts(grouped, 4).orderBy("conversation_id", "part").collect()
     assert [(row.conversation_id, row.part, row.message_count) for row in parts] == [
         (1, 0, 4), (1, 1, 4), (1, 2, 1), (2, 0, 2),
     ]
@@ -178,6 +178,28 @@ def test_parts_and_transcript_input(grouped_of):
         for row in analysis.analyse_transcripts(transcripts.transcripts(grouped)).collect()
     }
     assert read == direct
+    blocks = {row.conversation_id: row.full_conversation for row in transcripts.transcripts(grouped, 2).collect()}
+    assert blocks == whole
+
+
+def test_patterns_span_parts(grouped_of):
+    texts = ["my issue here", "a", "b", "c", "it is closed", "now"]
+    grouped = grouped_of({1: [(n % 2 == 0, body) for n, body in enumerate(texts)]})
+    direct = assessed(grouped)
+    for size in (1, 2, 4):
+        parts = analysis.analyse_transcripts(transcripts.transcript_parts(grouped, size))
+        assert {row.conversation_id: row for row in parts.collect()} == direct
+
+
+def test_one_row_at_any_length(spark):
+    rows = spark.range(5001).select(
+        F.lit(1).cast("bigint").alias("conversation_id"), F.lit("c").alias("author_id"), F.lit(True).alias("is_customer"),
+        F.concat(F.lit("m"), "id").alias("message_text"), F.timestamp_seconds("id").alias("created_at"),
+        F.col("id").cast("int").alias("sequence_number"),
+    )
+    row = transcripts.transcripts(rows).collect()
+    assert len(row) == 1 and row[0].message_count == 5001
+    assert row[0].full_conversation == " | ".join(f"CUSTOMER: c: m{n}" for n in range(5001))
 
 
 def test_terms_combine_before_the_shuffle(grouped_of):

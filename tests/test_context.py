@@ -44,16 +44,13 @@ def test_fanout(spark, grouped_of):
     assert rows[1].total_messages == 3
 
 
-def test_history_in_parts_is_whole(spark, grouped_of):
+def test_history_from_blocks_is_whole(spark, grouped_of):
     analysis, grouped, cohorts, members = setting(spark, grouped_of)
     made = context.customer_context(analysis, grouped, cohorts, members)
-    whole = {row.conversation_id: row.chat_history for row in context.with_history(made, grouped).collect()}
-    parts = context.with_history(made, grouped, part_messages=2).orderBy("conversation_id", "part").collect()
-    joined = {}
-    for row in parts:
-        joined.setdefault(row.conversation_id, []).append(row.chat_history)
-    assert {key: " ### ".join(value) for key, value in joined.items()} == whole
-    assert len(joined[1]) == 2
+    for fanout in (False, True):
+        whole = context.with_history(made, grouped, fanout=fanout).orderBy("conversation_id").collect()
+        blocks = context.with_history(made, grouped, fanout=fanout, block_messages=2).orderBy("conversation_id").collect()
+        assert blocks == whole
 
 
 def test_messages_are_shuffled_once(spark, grouped_of):

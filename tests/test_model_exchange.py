@@ -94,9 +94,9 @@ def test_decide_prefers_replies(spark):
 def test_requests_hold_the_whole_text(spark, grouped_of):
     grouped = grouped_of({1: [(True, f"word{n}") for n in range(7)], 2: [(False, "only agent")]})
     made = analysis.analyse(grouped)
-    prompts = model_exchange.analysis_requests(made, grouped, part_messages=3).orderBy("part").collect()
-    assert [(row.conversation_id, row.part) for row in prompts] == [(1, 0), (1, 1), (1, 2)]
-    assert all(f"word{n}" in prompts[n // 3].prompt for n in range(7)) and "key_issues" in prompts[0].prompt
+    prompts = model_exchange.analysis_requests(made, grouped, block_messages=3).collect()
+    assert [row.conversation_id for row in prompts] == [1]
+    assert all(f"word{n}" in prompts[0].prompt for n in range(7)) and "key_issues" in prompts[0].prompt
     none = spark.createDataFrame([], "cohort_id BIGINT, cohort_name STRING")
     members = spark.createDataFrame([], "conversation_id BIGINT, cohort_id BIGINT")
     known = context.with_history(context.customer_context(made, grouped, none, members), grouped)

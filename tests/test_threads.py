@@ -107,11 +107,11 @@ def test_parent_lookup_and_orphans(messages_of, hot_rows):
     assert sorted(row.tweet_id for row in threads.orphans(messages, hot_rows).collect()) == ["c", "f"]
 
 
-def test_nested_parts(grouped_of):
+def test_nested_blocks(grouped_of):
     grouped = grouped_of({1: [(True, f"m{n}") for n in range(7)], 2: [(True, "x"), (False, "y")]})
-    nested = threads.nested_conversations(grouped, part_messages=3).orderBy("conversation_id", "part").collect()
-    assert [(row.conversation_id, row.part, [m.message_text for m in row.messages]) for row in nested] == [
-        (1, 0, ["m0", "m1", "m2"]), (1, 1, ["m3", "m4", "m5"]), (1, 2, ["m6"]), (2, 0, ["x", "y"]),
+    nested = threads.nested_conversations(grouped, block_messages=3).orderBy("conversation_id").collect()
+    assert [(row.conversation_id, [m.message_text for m in row.messages]) for row in nested] == [
+        (1, [f"m{n}" for n in range(7)]), (2, ["x", "y"]),
     ]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import clock_text
 from threadloom.operators.analysis import unresolved
 from threadloom.operators.scale import HOT_ROWS, lookup
-from threadloom.operators.threads import PART_MESSAGES, with_part
+from threadloom.operators.threads import BLOCK_MESSAGES, joined_lines
 
 HISTORY_SEPARATOR = " ### "
 _ANALYSIS_FIELDS = [
@@ -71,46 +71,32 @@ def customer_context(analysis: DataFrame, grouped: DataFrame, cohorts: DataFrame
     )
 
 
-def per_part(rows: DataFrame, total: str = "total_messages", part_messages: int = PART_MESSAGES) -> DataFrame:
-    """Repeat a conversation's row for each part of its messages."""
-    last = F.expr(f"CAST(({total} - 1) DIV {part_messages} AS INT)")
-    return rows.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
-
-
 def with_history(
-    context: DataFrame, grouped: DataFrame, *, fanout: bool = False, part_messages: int = PART_MESSAGES
+    context: DataFrame, grouped: DataFrame, *, fanout: bool = False, block_messages: int = BLOCK_MESSAGES
 ) -> DataFrame:
-    """Add the chat history, one row per conversation and part.
+    """Add the chat history, one row per conversation of any length.
 
-    Messages are shuffled once, by (conversation, part); the semi join, the aggregate and the final join share that
-    partitioning, and no task holds more than one part. ``fanout`` repeats each message, and the cohort names, once
-    per cohort and message.
+    Messages are shuffled once, by conversation: the join that keeps the wanted ones, both steps of putting their
+    lines together, and the final join share that partitioning. ``fanout`` repeats each message, and the cohort names,
+    once per cohort and message.
     """
-    wanted = per_part(context, part_messages=part_messages)
-    keys = ["conversation_id", "part"]
     copies = F.greatest(F.col("cohort_count"), F.lit(1)).cast("int")
     line = F.concat(
         clock_text(F.col("created_at")), F.lit(" | "), F.col("author_id"), F.lit(": "), F.col("message_text")
     )
-    history = (
-        with_part(grouped, part_messages)
-        .join(wanted.select(*keys, copies.alias("copies")), keys)
-        .withColumn("line", F.array_join(F.array_repeat(line, F.col("copies")), HISTORY_SEPARATOR) if fanout else line)
-        .groupBy(*keys)
-        .agg(
-            F.expr(f"listagg(line, '{HISTORY_SEPARATOR}') WITHIN GROUP (ORDER BY sequence_number)").alias(
-                "chat_history"
-            ),
-            F.count("*").alias("part_size"),
-        )
+    lines = grouped.join(context.select("conversation_id", copies.alias("copies")), "conversation_id").select(
+        "conversation_id",
+        "sequence_number",
+        (F.array_join(F.array_repeat(line, F.col("copies")), HISTORY_SEPARATOR) if fanout else line).alias("line"),
     )
-    joined = wanted.join(history, keys)
+    history = joined_lines(lines, HISTORY_SEPARATOR, block_messages).withColumnRenamed("text", "chat_history")
+    joined = context.join(history, "conversation_id")
     if fanout:
         joined = joined.withColumn(
             "customer_cohorts",
             F.when(
                 F.col("cohort_count") > 0,
-                F.array_join(F.array_repeat("customer_cohorts", F.col("part_size").cast("int")), "; "),
+                F.array_join(F.array_repeat("customer_cohorts", F.col("lines").cast("int")), "; "),
             ),
         )
-    return joined.drop("part_size")
+    return joined.drop("lines")

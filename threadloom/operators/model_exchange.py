@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import strip
-from threadloom.operators.context import HISTORY_SEPARATOR, per_part
+from threadloom.operators.context import HISTORY_SEPARATOR
 from threadloom.operators.recommend import CHANNELS, STATUSES
-from threadloom.operators.threads import PART_MESSAGES
+from threadloom.operators.threads import BLOCK_MESSAGES
 from threadloom.operators.transcripts import transcripts
 from threadloom.schemas import RECORD_COLUMNS
 
@@ -63,18 +63,24 @@ def _render(template: str, **parts: Column) -> Column:
     return F.concat(*pieces, F.lit(rest))
 
 
-def analysis_requests(assessed: DataFrame, grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
-    """A prompt for every conversation flagged ``needs_llm``, one per part of its transcript."""
-    keys = ["conversation_id", "part"]
-    flagged = per_part(
-        assessed.where("needs_llm").select("conversation_id", "message_count"), "message_count", part_messages
-    )
-    texts = transcripts(grouped, part_messages).select(*keys, "full_conversation")
-    return texts.join(flagged.select(*keys), keys).select(
-        *keys, _render(ANALYSIS_INSTRUCTIONS, conversation=F.col("full_conversation")).alias("prompt")
+def analysis_requests(assessed: DataFrame, grouped: DataFrame, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
+    """A prompt for every conversation flagged ``needs_llm``, with its whole transcript."""
+    flagged = assessed.where("needs_llm").select("conversation_id")
+    texts = transcripts(grouped.join(flagged, "conversation_id", "left_semi"), block_messages)
+    return texts.select(
+        "conversation_id", _render(ANALYSIS_INSTRUCTIONS, conversation=F.col("full_conversation")).alias("prompt")
     )
 
 
+def one_reply(replies: DataFrame, last_choice: Column | None = None) -> DataFrame:
+    """One row per conversation: rows for which ``last_choice`` holds only if there is no other, then the smallest in
+    the order of the columns. A minimum, so copies combine before the shuffle."""
+    names = [name for name in replies.columns if name != "conversation_id"]
+    kept = replies.withColumn("_last", F.lit(False) if last_choice is None else F.coalesce(last_choice, F.lit(False)))
+    best = kept.groupBy("conversation_id").agg(F.min(F.struct("_last", *names)).alias("best"))
+    return best.select("conversation_id", *[F.col("best")[name].alias(name) for name in names])
+
+
 def unfence(text: Column) -> Column:
     """The text without surrounding whitespace and code fence."""
     opened = F.regexp_replace(strip(text), r"^(?:```json)?(?:```)?", "")
@@ -140,7 +146,8 @@ def merge_replies(assessed: DataFrame, parsed: DataFrame) -> DataFrame:
     """Assessment with the model's tags, summary, issues and agent rating where a reply was asked for and came.
 
     Everything else stays with the rules and classifiers. A reply that could not be read still overrides the tags;
-    only a missing reply leaves the record as it is.
+    only a missing reply leaves the record as it is. Of several replies for a conversation one counts: a readable one
+    if there is one, of these the smallest in the order of the four fields.
     """
     taken = ["tags", "resolution_summary", "key_issues", "agent_performance"]
     answered = F.col("needs_llm") & F.col("answer").isNotNull()
@@ -154,7 +161,10 @@ def merge_replies(assessed: DataFrame, parsed: DataFrame) -> DataFrame:
         name: F.when(answered, F.coalesce(F.col("answer")[name], otherwise[name])).otherwise(F.col(name))
         for name in taken
     }
-    answers = parsed.select("conversation_id", F.struct(*taken).alias("answer"))
+    failed = F.array_contains("tags", "gemini_analysis_failed")
+    answers = one_reply(parsed.select("conversation_id", *taken), failed).select(
+        "conversation_id", F.struct(*taken).alias("answer")
+    )
     return assessed.join(answers, "conversation_id", "left").withColumns(merged).drop("answer")
 
 
@@ -180,7 +190,6 @@ def recommendation_requests(context: DataFrame) -> DataFrame:
     history = F.replace("chat_history", F.lit(HISTORY_SEPARATOR), F.lit("\n---\n"))
     return context.select(
         "conversation_id",
-        "part",
         _render(RECOMMENDATION_INSTRUCTIONS, facts=facts, history=history).alias("prompt"),
     )
 
@@ -207,7 +216,8 @@ def read_recommendation_replies(replies: DataFrame) -> DataFrame:
 
 
 def usable_replies(read: DataFrame) -> DataFrame:
-    return read.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    """One usable reply per conversation; of several, the smallest in the order of its fields."""
+    return one_reply(read.where(F.col("reject_reason").isNull()).drop("reject_reason"))
 
 
 def reply_rejects(read: DataFrame) -> DataFrame:
@@ -215,7 +225,7 @@ def reply_rejects(read: DataFrame) -> DataFrame:
 
 
 def attach_context(recommendations: DataFrame, context: DataFrame) -> DataFrame:
-    """Usable replies with the customer and the chat history, one row per part of the history."""
-    return recommendations.join(
-        context.select("customer_id", "conversation_id", "part", "chat_history"), "conversation_id"
+    """Usable replies, one per conversation, with the customer and the chat history."""
+    return one_reply(recommendations).join(
+        context.select("customer_id", "conversation_id", "chat_history"), "conversation_id"
     )

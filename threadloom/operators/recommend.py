@@ -209,11 +209,14 @@ def rejected(optimised: DataFrame) -> DataFrame:
 
 
 def decide(context: DataFrame, as_of: dt.datetime | str, replies: DataFrame | None = None, *, rules: bool = True):
-    """One recommendation per conversation: the accepted model reply, else the rule-based one if ``rules``."""
+    """One recommendation per conversation: the accepted model reply, else the rule-based one if ``rules``.
+
+    Of several replies for a conversation the smallest in the order of its fields counts.
+    """
     if replies is None:
         return rule_recommendations(context, as_of)
     fields = ["channel", "send_time", "message", "reasoning", "issue_status"]
-    offered = replies.select("conversation_id", F.struct(*fields).alias("reply"))
+    offered = replies.groupBy("conversation_id").agg(F.min(F.struct(*fields)).alias("reply"))
     if not rules:
         joined = context.join(offered, "conversation_id")
         return joined.select(*context.columns, "reply.*")

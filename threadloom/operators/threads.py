@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from threadloom.operators.scale import HOT_ROWS, checkpointed, hot_keys, hot_threshold, lookup, ordered_index
 from threadloom.schemas import GROUPED_COLUMNS
 
-# A conversation is handled in parts of this many messages wherever its text is put together.
-PART_MESSAGES = 5_000
+# Text of a conversation is put together from blocks of this many messages; only inside, results do not depend on it.
+BLOCK_MESSAGES = 5_000
 
 
 def edges(messages: DataFrame) -> DataFrame:
@@ -182,16 +182,33 @@ def group_messages(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def with_part(grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
-    """Add the part of its conversation a message falls into; an ordinary conversation is all part 0."""
+def with_part(grouped: DataFrame, part_messages: int) -> DataFrame:
+    """Add the part of its conversation a message falls into."""
     return grouped.withColumn("part", F.expr(f"CAST(sequence_number DIV {part_messages} AS INT)"))
 
 
-def nested_conversations(grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
-    """Conversations as ordered arrays of message records, one row per part."""
+def nested_conversations(grouped: DataFrame, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
+    """Conversations as ordered arrays of message records, one row each."""
     record = F.struct("sequence_number", *[name for name in GROUPED_COLUMNS[1:] if name != "sequence_number"])
-    return (
-        with_part(grouped, part_messages)
+    blocks = (
+        with_part(grouped.repartition("conversation_id"), block_messages)
         .groupBy("conversation_id", "part")
-        .agg(F.array_sort(F.collect_list(record)).alias("messages"))
+        .agg(F.array_sort(F.collect_list(record)).alias("block"))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("part", "block")))
+    return blocks.groupBy("conversation_id").agg(F.flatten(F.transform(ordered, lambda x: x["block"])).alias("messages"))
+
+
+def joined_lines(lines: DataFrame, separator: str, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
+    """One ``text`` per conversation from rows ``(conversation_id, sequence_number, line)``, and its number of lines.
+
+    Blocks of lines are joined first and then the blocks, so what is sorted at a time is bounded and only the finished
+    text, which the result itself holds, comes together in one place. Both steps share the rows' one partitioning.
+    """
+    blocks = with_part(lines, block_messages).groupBy("conversation_id", "part").agg(
+        F.expr(f"listagg(line, '{separator}') WITHIN GROUP (ORDER BY sequence_number)").alias("block"),
+        F.count("*").alias("n"),
+    )
+    return blocks.groupBy("conversation_id").agg(
+        F.expr(f"listagg(block, '{separator}') WITHIN GROUP (ORDER BY part)").alias("text"), F.sum("n").alias("lines")
     )

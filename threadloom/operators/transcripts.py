@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.operators.threads import PART_MESSAGES, with_part
+from threadloom.operators.threads import BLOCK_MESSAGES, with_part
 
 SEPARATOR = " | "
 SEPARATOR_PATTERN = r" \| "
@@ -24,13 +24,8 @@ def lines(grouped: DataFrame) -> DataFrame:
     )
 
 
-def transcripts(grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
-    """Transcript, message count and time span, one row per conversation and part.
-
-    A conversation longer than ``part_messages`` comes out as several consecutive parts, so that no task ever
-    holds more than one part; every other conversation is a single row with part 0.
-    """
-    labelled = with_part(grouped, part_messages).withColumn(
+def _blocks(grouped: DataFrame, messages: int) -> DataFrame:
+    labelled = with_part(grouped, messages).withColumn(
         "line", F.concat(role_label(), F.col("author_id"), F.lit(": "), F.col("message_text"))
     )
     return labelled.groupBy("conversation_id", "part").agg(
@@ -41,6 +36,28 @@ def transcripts(grouped: DataFrame, part_messages: int = PART_MESSAGES) -> DataF
     )
 
 
+def transcripts(grouped: DataFrame, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
+    """Transcript, message count and time span, one row per conversation of any length.
+
+    Messages are shuffled once. Their lines are joined in blocks, and the blocks to the whole.
+    """
+    return (
+        _blocks(grouped.repartition("conversation_id"), block_messages)
+        .groupBy("conversation_id")
+        .agg(
+            F.expr(f"listagg(full_conversation, '{SEPARATOR}') WITHIN GROUP (ORDER BY part)").alias("full_conversation"),
+            F.sum("message_count").alias("message_count"),
+            F.min("start_time").alias("start_time"),
+            F.max("end_time").alias("end_time"),
+        )
+    )
+
+
+def transcript_parts(grouped: DataFrame, part_messages: int) -> DataFrame:
+    """Transcripts cut into parts of ``part_messages`` messages, a row for each (conversation_id, part)."""
+    return _blocks(grouped, part_messages)
+
+
 def first_transcripts(grouped: DataFrame, limit: int, id_order: str = "number") -> DataFrame:
     """Transcripts of the first ``limit`` conversations, ids compared as numbers or as text."""
     key = F.col("conversation_id").cast("string") if id_order == "text" else F.col("conversation_id")
@@ -49,10 +66,18 @@ def first_transcripts(grouped: DataFrame, limit: int, id_order: str = "number")
 
 
 def lines_of_transcripts(texts: DataFrame, text: str = "full_conversation") -> DataFrame:
-    """Pieces of given transcripts, in the shape ``lines`` produces."""
-    return texts.select(
-        "conversation_id", F.posexplode(F.split(text, SEPARATOR_PATTERN)).alias("sequence_number", "line")
-    )
+    """Pieces of given transcripts, in the shape ``lines`` produces.
+
+    With a column ``part``, the rows of a conversation are parts of its transcript and positions continue across them.
+    """
+    cut = texts.withColumn("_pieces", F.split(text, SEPARATOR_PATTERN))
+    earlier = F.lit(0)
+    if "part" in texts.columns:
+        before = Window.partitionBy("conversation_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        cut = cut.select("conversation_id", "_pieces", F.coalesce(F.sum(F.size("_pieces")).over(before), F.lit(0)).alias("_at"))
+        earlier = F.col("_at")
+    placed = cut.select("conversation_id", earlier.alias("_at"), F.posexplode("_pieces").alias("_place", "line"))
+    return placed.select("conversation_id", (F.col("_at") + F.col("_place")).cast("int").alias("sequence_number"), "line")
 
 
 def pieces(line: Column) -> Column:

@@ -77,7 +77,7 @@ def next_best_actions(
     )
     stored = files.write_table(actions.recommendations, folder, files.RECOMMENDATIONS)
     files.write_table(actions.rejects, folder, files.RECOMMENDATION_REJECTS)
-    exported = stages.with_chat_history(stored, grouped, fanout=fanout).orderBy("conversation_id", "part")
+    exported = stages.with_chat_history(stored, grouped, fanout=fanout).orderBy("conversation_id")
     files.write_recommendations_csv(exported, csv_path)
     return recommend.channel_distribution(stored)
 

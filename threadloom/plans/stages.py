@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from threadloom.operators import analysis as analysing
 from threadloom.operators import classifiers, cohorts, context, model_exchange, recommend, transcripts
 from threadloom.operators.scale import checkpointed
-from threadloom.operators.threads import PART_MESSAGES
+from threadloom.operators.threads import BLOCK_MESSAGES
 
 
 def assess_conversations(
@@ -84,9 +84,9 @@ def action_summary(recommendations: DataFrame) -> DataFrame:
 
 
 def with_chat_history(
-    recommendations: DataFrame, grouped: DataFrame, *, fanout: bool = False, part_messages: int = PART_MESSAGES
+    recommendations: DataFrame, grouped: DataFrame, *, fanout: bool = False, block_messages: int = BLOCK_MESSAGES
 ) -> DataFrame:
-    return context.with_history(recommendations, grouped, fanout=fanout, part_messages=part_messages)
+    return context.with_history(recommendations, grouped, fanout=fanout, block_messages=block_messages)
 
 
 def cohort_tables(analysis: DataFrame) -> tuple[DataFrame, DataFrame]:

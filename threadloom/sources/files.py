@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.operators.analysis import upsert
 from threadloom.operators.recommend import export_history
 from threadloom.operators.scale import checkpointed
-from threadloom.operators.threads import PART_MESSAGES, with_part
+from threadloom.operators.threads import BLOCK_MESSAGES, with_part
 from threadloom.schemas import RAW_CSV, RECOMMENDATION_COLUMNS
 
 RAW = "raw_messages"
@@ -56,14 +56,14 @@ def store_messages(messages: DataFrame, folder: str) -> DataFrame:
     return write_table(messages.withColumn("created_timestamp", F.current_timestamp()), folder, RAW)
 
 
-def store_grouped(grouped: DataFrame, folder: str, part_messages: int = PART_MESSAGES) -> DataFrame:
+def store_grouped(grouped: DataFrame, folder: str, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
     """The grouped message table, rows of a conversation together and in order.
 
     Clustering by (conversation, part) bounds what one task writes. Readers profit: partial aggregates by conversation
     leave almost one row per conversation to shuffle.
     """
     clustered = (
-        with_part(grouped, part_messages)
+        with_part(grouped, block_messages)
         .repartition("conversation_id", "part")
         .sortWithinPartitions("conversation_id", "sequence_number")
         .drop("part")
