@@ -266,14 +266,13 @@ def document_messages(spark, sf_dir):
 @query(
     "c1_normalise_types",
     f"""SELECT {clean_id('tweet_id')} AS tweet_id, author_id, coalesce(quality = 1, true) AS inbound,
-    '2017-10-31 22:10:47' AS created_at, length(coalesce(CASE WHEN lang <> 'fr' THEN text END, '')) AS chars,
+    '2017-10-31 22:10:47' AS created_at, coalesce(CASE WHEN lang <> 'fr' THEN text END, '') AS text,
     {clean_id('tweet_id')} || ',' || CAST(CAST({clean_id('tweet_id')} AS BIGINT) + 1 AS VARCHAR) AS response_tweet_id,
     CAST(CAST({clean_id('tweet_id')} AS BIGINT) * 10 AS VARCHAR) AS in_response_to_tweet_id
     FROM ({_DOCUMENT_MESSAGES_SQL})""",
 )
 def c1_normalise_types(spark, sf_dir):
-    typed = cleaning.normalise_types(document_messages(spark, sf_dir))
-    return typed.withColumn("chars", F.length("text")).drop("text")
+    return cleaning.normalise_types(document_messages(spark, sf_dir))
 
 
 @query(
@@ -831,7 +830,7 @@ def w5_common_tags(spark, sf_dir):
 )
 def w6_sample_per_cohort(spark, sf_dir):
     stage = staged(spark, sf_dir)
-    report = cohorts.cohort_report(stage.assessed, *stage.cohort_tables)
+    report = cohorts.cohort_report(*stage.cohort_tables)
     return report.select("cohort_name", F.col("sample_conversations").alias("sample"))
 
 
@@ -923,7 +922,7 @@ def k4_cohort_members(spark, sf_dir):
 )
 def k5_cohort_report(spark, sf_dir):
     stage = staged(spark, sf_dir)
-    return cohorts.cohort_report(stage.assessed, *stage.cohort_tables).select(
+    return cohorts.cohort_report(*stage.cohort_tables).select(
         "cohort_id", "cohort_name", "conversation_count", "actual_count", "sample_conversations"
     )
 
@@ -1207,8 +1206,12 @@ def l3_parse_analysis_replies(spark, sf_dir):
     "l4_recommendation_requests",
     upto(
         "context",
-        "SELECT conversation_id, replace(chat_history, ' ### ', chr(10) || '---' || chr(10)) AS history,"
-        " 'Customer: ' || customer_id AS first_fact FROM context",
+        f"""SELECT conversation_id, replace(chat_history, ' ### ', chr(10) || '---' || chr(10)) AS history,
+    concat_ws(chr(10), 'Customer: ' || customer_id, 'Conversation: ' || conversation_id, 'Nature of request: '
+        || nature_of_request, 'Sentiment: ' || customer_sentiment, 'Urgency: ' || urgency_level, 'Conversation type: '
+        || conversation_type, 'Behavior: ' || customer_behavior, 'Cohorts: ' || coalesce(customer_cohorts, 'none'),
+        'Tags: ' || array_to_string(tags, ', '), 'Latest message: ' || latest_message, 'Messages: ' || total_messages,
+        'Last interaction: ' || {clock('latest_interaction')}) AS facts FROM context""",
     ),
 )
 def l4_recommendation_requests(spark, sf_dir):
@@ -1221,7 +1224,7 @@ def l4_recommendation_requests(spark, sf_dir):
     return prompts.select(
         "conversation_id",
         history.alias("history"),
-        F.split_part(F.replace(facts, F.lit(start), F.lit("")), F.lit("\n"), F.lit(1)).alias("first_fact"),
+        F.replace(facts, F.lit(start), F.lit("")).alias("facts"),
     )
 
 
@@ -1321,6 +1324,74 @@ def b1_rule_recommendations(spark, sf_dir):
     return recommend.rule_recommendations(staged(spark, sf_dir).context, AS_OF).select(*RULED_SQL.split(", "))
 
 
+def varied(rows: DataFrame) -> DataFrame:
+    """Rows with labels set by conversation id, so that combinations occur which the texts do not produce."""
+
+    def one_of(step: int, *values: str) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), ((F.col("conversation_id") / step).cast("int") % len(values) + 1).cast("int"))
+
+    return rows.withColumns(
+        {
+            "urgency_level": one_of(1, "critical", "high", "medium", "low"),
+            "customer_sentiment": one_of(4, "frustrated", "angry", "neutral", "technical", "positive"),
+            "customer_behavior": one_of(3, "technical", "polite", "impatient", "cooperative", "angry"),
+            "nature_of_request": one_of(2, "billing", "technical", "account", "general"),
+            "conversation_type": one_of(5, "escalation", "follow_up"),
+            "is_resolved": F.col("conversation_id") % 3 == 0,
+        }
+    )
+
+
+_VARIED_SQL = """(SELECT * REPLACE (
+    ['critical', 'high', 'medium', 'low'][conversation_id % 4 + 1] AS urgency_level,
+    ['frustrated', 'angry', 'neutral', 'technical', 'positive'][conversation_id // 4 % 5 + 1] AS customer_sentiment,
+    ['technical', 'polite', 'impatient', 'cooperative', 'angry'][conversation_id // 3 % 5 + 1] AS customer_behavior,
+    ['billing', 'technical', 'account', 'general'][conversation_id // 2 % 4 + 1] AS nature_of_request,
+    ['escalation', 'follow_up'][conversation_id // 5 % 2 + 1] AS conversation_type,
+    conversation_id % 3 = 0 AS is_resolved) FROM {})"""
+
+
+@query(
+    "b1_every_branch",
+    upto(
+        "context",
+        f"""SELECT conversation_id, CASE WHEN urgency_level IN ('critical', 'high') OR customer_sentiment IN ('frustrated', 'angry')
+        THEN 'scheduling_phone_call' WHEN customer_sentiment = 'technical' OR customer_behavior = 'technical'
+        THEN 'email_reply' ELSE 'twitter_dm_reply' END AS channel,
+    CASE WHEN urgency_level IN ('critical', 'high') OR customer_sentiment IN ('frustrated', 'angry') THEN
+        'Phone call recommended due to ' || urgency_level || ' urgency and ' || customer_sentiment
+        || ' sentiment requiring immediate personal attention.'
+    WHEN customer_sentiment = 'technical' OR customer_behavior = 'technical' THEN
+        'Email selected for technical customer requiring detailed written solution and documentation.'
+    ELSE 'Twitter DM chosen for quick acknowledgment of ' || urgency_level || ' priority ' || nature_of_request
+        || ' issue.' END AS reasoning FROM {_VARIED_SQL.format("context")}""",
+    ),
+)
+def b1_every_branch(spark, sf_dir):
+    chosen = recommend.rule_recommendations(varied(staged(spark, sf_dir).context), AS_OF)
+    return chosen.select("conversation_id", "channel", "reasoning")
+
+
+@query(
+    "k2_every_rule_cohort",
+    upto(
+        "assessed",
+        f"""SELECT conversation_id, unnest(list_filter([
+        CASE WHEN nature_of_request = 'billing' AND customer_sentiment IN ('negative', 'frustrated') THEN 0 END,
+        CASE WHEN nature_of_request = 'technical' AND customer_behavior = 'technical' THEN 1 END,
+        CASE WHEN urgency_level IN ('high', 'critical') AND NOT is_resolved THEN 2 END,
+        CASE WHEN customer_sentiment IN ('positive', 'satisfied') AND is_resolved THEN 3 END,
+        CASE WHEN customer_behavior IN ('impatient', 'angry') THEN 4 END,
+        CASE WHEN nature_of_request = 'account' THEN 5 END,
+        CASE WHEN conversation_type = 'escalation' AND urgency_level IN ('high', 'critical') THEN 6 END,
+        CASE WHEN customer_behavior IN ('polite', 'cooperative') AND nature_of_request = 'general' THEN 7 END
+    ], lambda x: x IS NOT NULL))::BIGINT AS position FROM {_VARIED_SQL.format("assessed")}""",
+    ),
+)
+def k2_every_rule_cohort(spark, sf_dir):
+    return cohorts.rule_members(varied(staged(spark, sf_dir).assessed))
+
+
 @query(
     "b2_decide",
     upto(
@@ -1407,22 +1478,35 @@ def b4_send_time(spark, sf_dir):
     return timed.select("conversation_id", "channel", "send_time")
 
 
-for _clock, _soon in (("2024-02-02 06:10:11", "2024-02-02 09:00:00"), ("2024-02-02 19:45:11", "2024-02-03 09:00:00")):
-    _moved = _soon if _soon < "2024-02-03" else "2024-02-05 09:00:00"
+# The clock, the time for urgent cases, and that for urgent e-mails (which never go out on a weekend).
+_URGENT = {
+    "before_opening": ("2024-02-02 06:10:11", "2024-02-02T09:00:00Z", "2024-02-02T09:00:00Z"),
+    "in_office_hours": ("2024-02-01 11:20:33", "2024-02-01T12:20:33Z", "2024-02-01T12:20:33Z"),
+    "after_closing": ("2024-01-31 19:45:11", "2024-02-01T09:00:00Z", "2024-02-01T09:00:00Z"),
+    "on_friday_evening": ("2024-02-02 18:00:00", "2024-02-03T09:00:00Z", "2024-02-05T09:00:00Z"),
+    "on_a_weekend": ("2024-02-03 10:00:07", "2024-02-03T11:00:07Z", "2024-02-05T09:00:07Z"),
+}
+for _case, (_clock, _soon, _mail) in _URGENT.items():
 
     @query(
-        "b4_urgent_before_opening" if _soon == "2024-02-02 09:00:00" else "b4_urgent_after_closing",
+        f"b4_urgent_{_case}",
         upto(
-            "context",
-            f"""SELECT conversation_id, CASE WHEN conversation_id % 2 = 0
-    THEN strftime(TIMESTAMP '{_moved}', '%Y-%m-%dT%H:%M:%SZ') ELSE strftime(TIMESTAMP '{_soon}', '%Y-%m-%dT%H:%M:%SZ')
-    END AS send_time FROM context WHERE urgency_level IN ('critical', 'high')""",
+            "assessed",
+            f"""SELECT conversation_id, CASE WHEN conversation_id % 3 = 0 THEN '{_mail}' ELSE '{_soon}' END AS send_time
+    FROM assessed""",
         ),
     )
     def b4_urgent(spark, sf_dir, as_of=_clock):
-        urgent = staged(spark, sf_dir).context.where(F.col("urgency_level").isin("critical", "high"))
-        channel = F.when(F.col("conversation_id") % 2 == 0, "email_reply").otherwise("scheduling_phone_call")
-        rows = urgent.select("conversation_id", "urgency_level", channel.alias("channel"), F.lit(as_of).alias("send_time"))
+        number = F.col("conversation_id")
+        rows = staged(spark, sf_dir).assessed.select(
+            "conversation_id",
+            F.when(number % 2 == 0, "critical").otherwise("high").alias("urgency_level"),
+            F.when(number % 3 == 0, "email_reply")
+            .when(number % 3 == 1, "scheduling_phone_call")
+            .otherwise("twitter_dm_reply")
+            .alias("channel"),
+            F.lit("2024-02-02T12:00:00Z").alias("send_time"),
+        )
         return recommend.with_send_time(rows, as_of).select("conversation_id", "send_time")
 
 
@@ -1510,6 +1594,37 @@ def e1_ingest(spark, sf_dir):
     return jobs.ingest(spark, _feed(spark, sf_dir), scratch(spark, "tables"))
 
 
+@query("e1_ingested_messages", upto("grouped", f"SELECT {GROUPED_SQL} FROM grouped"))
+def e1_ingested_messages(spark, sf_dir):
+    folder = scratch(spark, "tables")
+    jobs.ingest(spark, _feed(spark, sf_dir), folder)
+    return files.read_table(spark, folder, files.GROUPED)
+
+
+@query(
+    "e1_rejected_rows",
+    upto(
+        "raw",
+        """SELECT text, CASE WHEN e % 2 = 0 THEN 'missing_message_id' ELSE 'bad_created_at' END AS reject_reason,
+    CASE WHEN e % 2 = 0 THEN NULL ELSE 'some day' END AS day
+    FROM (SELECT *, CAST(CAST(tweet_id AS DOUBLE) AS BIGINT) AS e FROM raw) WHERE e % 7 = 0""",
+    ),
+)
+def e1_rejected_rows(spark, sf_dir):
+    """Every seventh row of the feed loses its id or its time; ingesting the others still gives the rejects as they came."""
+    path, folder = scratch(spark, "feed"), scratch(spark, "tables")
+    raw = adapter.raw_messages(spark, sf_dir)
+    number = F.col("tweet_id").cast("double").cast("bigint")
+    spoiled = raw.withColumn(
+        "created_at", F.when((number % 7 == 0) & (number % 2 == 1), F.lit("some day")).otherwise(F.col("created_at").cast("string"))
+    ).withColumn("tweet_id", F.when((number % 14 == 0), F.lit(" ")).otherwise(F.col("tweet_id")))
+    spoiled.write.option("header", True).option("escape", '"').csv(path)
+    jobs.ingest(spark, path, folder)
+    return files.read_table(spark, folder, files.REJECTS).select(
+        "text", "reject_reason", F.when(F.col("created_at") == "some day", F.col("created_at")).alias("day")
+    )
+
+
 @query("e2_behaviour", upto("assessed", f"SELECT {RECORD_SQL} FROM assessed"))
 def e2_behaviour(spark, sf_dir):
     folder = scratch(spark, "tables")
@@ -1534,6 +1649,15 @@ def e2_behaviour_with_classifiers(spark, sf_dir):
     return assessed.select("conversation_id", *RECORD_COLUMNS)
 
 
+@query("e2_behaviour_by_default", ORACLES["e2_behaviour_with_classifiers"])
+def e2_behaviour_by_default(spark, sf_dir):
+    """The job as it runs without any setting, from the stored messages to the stored analysis."""
+    folder = scratch(spark, "tables")
+    files.store_grouped(staged(spark, sf_dir).grouped, folder)
+    jobs.behaviour(spark, folder)
+    return files.read_table(spark, folder, files.ANALYSIS).select("conversation_id", *RECORD_COLUMNS)
+
+
 @query("e2_behaviour_with_replies", upto("assessed", f"SELECT {RECORD_SQL} FROM merged", _MERGED_SQL))
 def e2_behaviour_with_replies(spark, sf_dir):
     stage = staged(spark, sf_dir)
@@ -1550,6 +1674,16 @@ def e3_next_best_actions(spark, sf_dir):
     return jobs.next_best_actions(spark, folder, scratch(spark, "export"), AS_OF)
 
 
+@query("e3_exported_actions", _ACTIONS_SQL)
+def e3_exported_actions(spark, sf_dir):
+    stage, folder, out = staged(spark, sf_dir), scratch(spark, "tables"), scratch(spark, "export")
+    files.store_grouped(stage.grouped, folder)
+    files.write_table(analysis.records(stage.assessed), folder, files.ANALYSIS)
+    files.store_cohorts(*stage.cohort_tables, folder)
+    jobs.next_best_actions(spark, folder, out, AS_OF)
+    return files.read_recommendations_csv(spark, out).select(*RECOMMENDATION_COLUMNS)
+
+
 @query("e4_full_run", _ACTIONS_SQL)
 def e4_full_run(spark, sf_dir):
     """From message CSV to recommendation CSV."""

@@ -73,3 +73,20 @@ def test_duplicates_are_combined_before_the_shuffle(spark, raw):
     plan = cleaning.drop_duplicates(cleaning.normalise_types(copies))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
     assert cleaning.drop_duplicates(cleaning.normalise_types(copies)).agg(F.max("text")).first()[0] == "hi"
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_their_own_are_not_combined(spark, raw, grouped_of):
+    """Sorted aggregates touch repeated keys only, and unresolved conversations are chosen below the aggregate."""
+    from threadloom.operators import analysis, context
+
+    plan = _plan(cleaning.clean_messages(raw.checkpoint()))
+    assert plan.count("SortAggregate") <= 2 and "LeftAnti" in plan and "LeftSemi" in plan
+    assert "SortAggregate" not in _plan(context.conversation_edges(grouped_of({1: [(True, "x"), (False, "y")]})))
+    stored = spark.createDataFrame([(1, "a"), (2, "b")], "conversation_id BIGINT, note STRING")
+    fresh = spark.createDataFrame([(2, "c"), (3, "d"), (3, "e")], "conversation_id BIGINT, note STRING")
+    merged = analysis.upsert(stored, fresh)
+    assert sorted(tuple(row) for row in merged.collect()) == [(1, "a"), (2, "c"), (3, "e")]

@@ -57,7 +57,7 @@ def test_no_analysis_no_cohorts(spark):
 def test_report_keeps_empty_cohorts(spark, analysis):
     made, members = cohorts.build_cohorts(analysis)
     extra = spark.createDataFrame([(99, "Empty", "", "{}", 0)], made.schema)
-    report = cohorts.cohort_report(analysis, made.unionByName(extra), members).collect()
+    report = cohorts.cohort_report(made.unionByName(extra), members).collect()
     assert report[0].cohort_name == "Tag: Billing Issue" and report[0].sample_conversations == [1, 2, 3]
     empty = next(row for row in report if row.cohort_id == 99)
     assert empty.actual_count == 0 and empty.sample_conversations == []

@@ -21,5 +21,10 @@ def test_query(spark, connection, name):
         assert result.count() > 0
 
 
+def test_no_query_is_empty(spark):
+    empty = [name for name, run in catalog.QUERIES.items() if name.startswith(("b", "k", "e")) and run(spark, SF_DIR).isEmpty()]
+    assert empty == []
+
+
 def test_every_reference_statement_has_a_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import rules, sentiment
 from threadloom.operators import transcripts
+from threadloom.operators.scale import one_per_key
 from threadloom.schemas import RECORD_COLUMNS
 
 LOW_CONFIDENCE = 0.6
 MAX_TAGS = 5
 MAX_ISSUES = 3
 
-
+# Texts that appear in the output.
+SUMMARY_START = "Customer's "
+SUMMARY_RESOLVED = " issue was successfully resolved"
+SUMMARY_OPEN = " issue remains unresolved"
+# End of fixed values.
 
 def conversation_features(line_rows: DataFrame) -> DataFrame:
     """Message counts, summed valence and rule terms per conversation, from ``(conversation_id, sequence_number, line)``.
@@ -146,10 +151,8 @@ def _conversation_type() -> Column:
 
 
 def _summary() -> Column:
-    ending = F.when(F.col("is_resolved"), F.lit(" issue was successfully resolved")).otherwise(
-        F.lit(" issue remains unresolved")
-    )
-    return F.concat(F.lit("Customer's "), F.col("nature_of_request"), ending)
+    ending = F.when(F.col("is_resolved"), F.lit(SUMMARY_RESOLVED)).otherwise(F.lit(SUMMARY_OPEN))
+    return F.concat(F.lit(SUMMARY_START), F.col("nature_of_request"), ending)
 
 
 def _agent_performance() -> Column:
@@ -275,11 +278,11 @@ def with_defaults(partial: DataFrame) -> DataFrame:
 
 
 def upsert(stored: DataFrame, fresh: DataFrame, key: str = "conversation_id") -> DataFrame:
-    """Stored rows replaced by fresh ones with the same key; a maximum, so versions combine before the shuffle."""
+    """Stored rows, with one row per key, replaced by fresh ones of the same key; of fresh rows with one key the largest
+    counts. Stored rows are filtered, not combined."""
     names = [name for name in stored.columns if name != key]
-    both = stored.withColumn("_version", F.lit(0)).unionByName(fresh.withColumn("_version", F.lit(1)))
-    newest = both.groupBy(key).agg(F.max(F.struct("_version", *names)).alias("row"))
-    return newest.select(key, *[F.col("row")[name].alias(name) for name in names])
+    kept = stored.join(fresh.select(key).distinct(), key, "left_anti").select(key, *names)
+    return kept.unionByName(one_per_key(fresh, key, names, F.max))
 
 
 def resolution_counts(analysis: DataFrame) -> DataFrame:

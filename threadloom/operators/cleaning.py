@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_id, clean_text, parse_time
+from threadloom.operators.scale import one_per_key
 
 _MESSAGE_COLUMNS = [
     "tweet_id",
@@ -30,7 +31,7 @@ def _moment(column_type: str):
     return parse_time(F.col("created_at"))
 
 
-def normalise_types(raw: DataFrame) -> DataFrame:
+def normalise_types(raw: DataFrame, *also: str) -> DataFrame:
     """Typed columns; ids on both sides of a reply go through the same normaliser so that they match."""
     kinds = dict(raw.dtypes)
     return raw.select(
@@ -41,6 +42,7 @@ def normalise_types(raw: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         clean_id(F.col("response_tweet_id").cast("string")).alias("response_tweet_id"),
         clean_id(F.col("in_response_to_tweet_id").cast("string")).alias("in_response_to_tweet_id"),
+        *also,
     )
 
 
@@ -54,42 +56,46 @@ def usable(typed: DataFrame) -> DataFrame:
     return typed.where(_reject_reason(F.col("tweet_id"), F.col("created_at")).isNull())
 
 
+def sorted_out(raw: DataFrame) -> DataFrame:
+    """Every raw row typed, with ``reject_reason`` (null for messages) and, for the others, the raw row itself."""
+    kept = raw.withColumn("raw", F.struct(*raw.columns))
+    typed = normalise_types(kept, "raw")
+    reason = _reject_reason(F.col("tweet_id"), F.col("created_at"))
+    return typed.withColumn("reject_reason", reason).withColumn("raw", F.when(F.col("reject_reason").isNotNull(), F.col("raw")))
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """Of sorted-out rows, those that cannot become messages, as they came and with the reason."""
+    return rows.where(F.col("reject_reason").isNotNull()).select("raw.*", "reject_reason")
+
+
 def rejects(raw: DataFrame) -> DataFrame:
     """Raw rows that cannot become messages, with the reason."""
-    reason = _reject_reason(
-        clean_id(F.col("tweet_id").cast("string")), _moment(dict(raw.dtypes)["created_at"])
-    )
-    return raw.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+    return rejected(sorted_out(raw))
 
 
 def clean_texts(messages: DataFrame) -> DataFrame:
     return messages.withColumn("text", clean_text(F.col("text")))
 
 
-def drop_duplicates(messages: DataFrame) -> DataFrame:
-    """One row per message id: the earliest, ties broken by content.
-
-    A minimum, not a ranking: copies are combined before the shuffle, so an id with very many copies is no hot spot.
-    """
+def drop_duplicates(messages: DataFrame, then=None) -> DataFrame:
+    """One row per message id: the earliest, ties broken by content. ``then`` prepares the texts on the way."""
     rest = ["created_at", "author_id", "inbound", "text", "response_tweet_id", "in_response_to_tweet_id"]
-    first = messages.groupBy("tweet_id").agg(F.min(F.struct(*rest)).alias("first"))
-    return first.select("tweet_id", "first.*").select(*_MESSAGE_COLUMNS)
+    return one_per_key(messages, "tweet_id", rest, then=then).select(*_MESSAGE_COLUMNS)
 
 
 def drop_empty(messages: DataFrame) -> DataFrame:
     return messages.where(F.length("text") > 0)
 
 
-def clean_messages(raw: DataFrame, watch: Observation | None = None) -> DataFrame:
-    """The whole cleaning step. Time order is a property of sinks, so no global sort happens here.
+def cleaned(typed: DataFrame) -> DataFrame:
+    """Typed messages with clean texts, one per id, without empty ones."""
+    return drop_duplicates(typed, clean_texts).transform(drop_empty)
+
 
-    ``watch`` receives the number of rejected rows as ``rejected`` when the result is computed.
-    """
-    typed = normalise_types(raw)
-    if watch is not None:
-        reason = _reject_reason(F.col("tweet_id"), F.col("created_at"))
-        typed = typed.observe(watch, F.count_if(reason.isNotNull()).alias("rejected"))
-    return typed.transform(usable).transform(clean_texts).transform(drop_duplicates).transform(drop_empty)
+def clean_messages(raw: DataFrame) -> DataFrame:
+    """The whole cleaning step. Time order is a property of sinks, so no global sort happens here."""
+    return cleaned(usable(normalise_types(raw)))
 
 
 def in_time_order(messages: DataFrame) -> DataFrame:

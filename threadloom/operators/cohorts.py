@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import title_case
 from threadloom.operators.analysis import tag_counts
+from threadloom.operators.scale import checkpointed
 
 # Names, descriptions and criteria appear in the output; the order gives the cohort ids.
 RULE_COHORTS = [
@@ -55,6 +56,7 @@ RULE_COHORTS = [
         "criteria": {"customer_behavior": ["polite", "cooperative"], "nature_of_request": "general"},
     },
 ]
+# End of fixed values.
 COMMON_TAGS = 10
 MIN_TAG_SIZE = 3
 
@@ -97,7 +99,7 @@ def build_cohorts(analysis: DataFrame, definitions: Sequence[Mapping] = RULE_COH
     """``(cohorts, members)``: rule cohorts first, then tag cohorts; empty cohorts do not appear.
 
     Ids are dense from 1 over (kind, position), so a rerun gives the same ids. ``analysis`` is read several times and
-    should be a stored table.
+    should be a stored table. The cohorts, at most one a definition and common tag, are stored before members join them.
     """
     found = (
         rule_members(analysis, definitions)
@@ -129,6 +131,7 @@ def build_cohorts(analysis: DataFrame, definitions: Sequence[Mapping] = RULE_COH
             "position",
         )
     )
+    cohorts, _ = checkpointed(cohorts)
     members = found.join(F.broadcast(cohorts.select("cohort_id", "kind", "position")), ["kind", "position"]).select(
         "conversation_id", "cohort_id"
     )
@@ -145,21 +148,28 @@ def cohort_summary(cohorts: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def cohort_samples(analysis: DataFrame, members: DataFrame, per_cohort: int = 3) -> DataFrame:
+def _sampled_members(members: DataFrame, per_cohort: int) -> DataFrame:
     """The first conversations of each cohort. Spark limits the ranking per task before the shuffle."""
     in_cohort = Window.partitionBy("cohort_id").orderBy("conversation_id")
-    sample = (
-        members.withColumn("rank", F.row_number().over(in_cohort)).where(F.col("rank") <= per_cohort).drop("rank")
-    )
+    return members.withColumn("rank", F.row_number().over(in_cohort)).where(F.col("rank") <= per_cohort).drop("rank")
+
+
+def cohort_samples(analysis: DataFrame, members: DataFrame, per_cohort: int = 3) -> DataFrame:
+    """The first conversations of each cohort with two of their fields.
+
+    The sample holds at most ``per_cohort`` rows for each cohort, and there are at most as many cohorts as definitions
+    and common tags, so it is sent to the analysis rather than the other way round.
+    """
+    sample = F.broadcast(_sampled_members(members, per_cohort))
     return analysis.join(sample, "conversation_id").select(
         "cohort_id", "conversation_id", "customer_sentiment", "nature_of_request"
     )
 
 
-def cohort_report(analysis: DataFrame, cohorts: DataFrame, members: DataFrame) -> DataFrame:
+def cohort_report(cohorts: DataFrame, members: DataFrame, per_cohort: int = 3) -> DataFrame:
     """Summary with the sample conversation ids of each cohort."""
     samples = (
-        cohort_samples(analysis, members)
+        _sampled_members(members, per_cohort)
         .groupBy("cohort_id")
         .agg(F.array_sort(F.collect_list("conversation_id")).alias("sample_conversations"))
     )

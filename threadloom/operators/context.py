@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import clock_text
 from threadloom.operators.analysis import unresolved
-from threadloom.operators.scale import HOT_ROWS, lookup
+from threadloom.operators.scale import HOT_ROWS, hot_threshold, lookup
 from threadloom.operators.threads import BLOCK_MESSAGES, joined_lines
 
 HISTORY_SEPARATOR = " ### "
@@ -26,10 +26,12 @@ _ANALYSIS_FIELDS = [
 def analysed_messages(analysis: DataFrame, grouped: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each message with the analysis of its conversation.
 
-    Positions are dense, so a conversation above ``hot_rows`` messages is one that has a message at that position.
+    Positions are dense, so a conversation above the hot threshold is one that has a message at that position. The
+    threshold rises with the table, which bounds how many there can be.
     """
     fields = analysis.select(*_ANALYSIS_FIELDS).withColumn("analysed", F.lit(True))
-    hot = grouped.where(F.col("sequence_number") == hot_rows).select("conversation_id")
+    threshold = hot_threshold(grouped.count(), hot_rows)
+    hot = grouped.where(F.col("sequence_number") == threshold).select("conversation_id")
     joined = lookup(grouped, fields, "conversation_id", "tweet_id", hot)
     return joined.where(F.col("analysed").isNotNull()).drop("analysed")
 
@@ -37,15 +39,23 @@ def analysed_messages(analysis: DataFrame, grouped: DataFrame, hot_rows: int = H
 def conversation_edges(grouped: DataFrame) -> DataFrame:
     """First customer, latest message and time, and message count per conversation.
 
-    Message ids are unique in the grouped table, so a plain count is the count of distinct messages.
+    Message ids are unique in the grouped table, so a plain count is the count of distinct messages. Only positions are
+    aggregated; the two messages are then fetched by position, so no texts are sorted or combined.
     """
     from_customer = F.when(F.col("is_customer"), F.col("sequence_number"))
-    return grouped.groupBy("conversation_id").agg(
-        F.min_by("author_id", from_customer).alias("customer_id"),
-        F.max_by("message_text", "sequence_number").alias("latest_message"),
+    edges = grouped.groupBy("conversation_id").agg(
+        F.min(from_customer).alias("first_customer"),
+        F.max("sequence_number").alias("last"),
         F.max("created_at").alias("latest_interaction"),
         F.count("*").alias("total_messages"),
     )
+    customers = grouped.select("conversation_id", F.col("sequence_number").alias("first_customer"), F.col("author_id").alias("customer_id"))
+    latest = grouped.select("conversation_id", F.col("sequence_number").alias("last"), F.col("message_text").alias("latest_message"))
+    return (
+        edges.join(customers, ["conversation_id", "first_customer"], "left")
+        .join(latest, ["conversation_id", "last"])
+        .select("conversation_id", "customer_id", "latest_message", "latest_interaction", "total_messages")
+    )
 
 
 def cohort_names(cohorts: DataFrame, members: DataFrame) -> DataFrame:
@@ -60,12 +70,13 @@ def cohort_names(cohorts: DataFrame, members: DataFrame) -> DataFrame:
 def customer_context(analysis: DataFrame, grouped: DataFrame, cohorts: DataFrame, members: DataFrame) -> DataFrame:
     """One row per unresolved conversation: analysis fields, customer, latest message, cohorts, message count.
 
-    The chat history, the only wide part, is joined by ``with_history`` where it is needed.
+    Messages of other conversations are left out before anything is aggregated. The chat history, the only wide part,
+    is joined by ``with_history`` where it is needed.
     """
+    asked = unresolved(analysis).select(*_ANALYSIS_FIELDS)
+    messages = grouped.join(asked.select("conversation_id"), "conversation_id", "left_semi")
     return (
-        unresolved(analysis)
-        .select(*_ANALYSIS_FIELDS)
-        .join(conversation_edges(grouped), "conversation_id")
+        asked.join(conversation_edges(messages), "conversation_id")
         .join(cohort_names(cohorts, members), "conversation_id", "left")
         .withColumn("cohort_count", F.coalesce("cohort_count", F.lit(0).cast("bigint")))
     )

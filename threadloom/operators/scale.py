@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +32,26 @@ def checkpointed(df: DataFrame, **counters: Column) -> tuple[DataFrame, dict[str
     return saved, {name: counted[name] or 0 for name in counters}
 
 
+def one_per_key(
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    pick: Callable[[Column], Column] = F.min,
+    then: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """One row per ``key``: the smallest (or what ``pick`` finds) in ``order``, which names all other columns.
+
+    Keys are counted on their own first. Rows with a key of their own pass through, without being sorted or combined; only
+    repeated ones meet in an aggregate, which combines copies before the shuffle, so a key with very many is no hot spot.
+    ``then`` is applied to the rows once it is known which of the two they are; it must keep the columns.
+    """
+    then = then or (lambda df: df)
+    repeated = rows.groupBy(key).agg(F.count("*").alias("_copies")).where("_copies > 1").select(key)
+    several = then(rows.join(repeated, key, "left_semi")).groupBy(key).agg(pick(F.struct(*order)).alias("_best"))
+    chosen = several.select(key, *[F.col("_best")[name].alias(name) for name in order])
+    return then(rows.join(repeated, key, "left_anti")).select(key, *order).unionByName(chosen)
+
+
 def hot_keys(probe: DataFrame, key: str, rows: int, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys of ``probe`` above the hot threshold (at most MAX_HOT_KEYS), or None when there cannot be any."""
     if rows <= hot_rows:

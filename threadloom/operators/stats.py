@@ -61,13 +61,13 @@ def messages_of(grouped: DataFrame, selected: DataFrame) -> DataFrame:
 
 
 def conversations_with_messages(grouped: DataFrame, limit: int = 10, order_by: str = "row") -> DataFrame:
-    chosen = F.broadcast(select_conversations(grouped, limit, order_by))
+    chosen = select_conversations(grouped, limit, order_by)
     return messages_of(grouped, chosen).orderBy("conversation_id", "sequence_number")
 
 
 def conversation_overview(grouped: DataFrame, limit: int = 10, order_by: str = "row") -> DataFrame:
     """Display figures for the selected conversations."""
-    chosen = F.broadcast(select_conversations(grouped, limit, order_by))
+    chosen = select_conversations(grouped, limit, order_by)
     return conversation_stats(messages_of(grouped, chosen)).orderBy("conversation_id")
 
 

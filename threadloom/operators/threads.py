@@ -23,10 +23,14 @@ def edges(messages: DataFrame) -> DataFrame:
     return messages.select("tweet_id", F.when(linked, parent).alias("parent_id"), "created_at")
 
 
-def _popular_parents(replied: DataFrame, hot_rows: int) -> DataFrame:
-    """Parent ids with very many replies, counted in the same plan; at most rows / hot_rows of them."""
+def _popular_parents(replied: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Parent ids with very many replies, if any. The threshold rises with the table, so there are few of them."""
     counted = replied.groupBy("in_response_to_tweet_id").agg(F.count("*").alias("replies"))
-    return counted.where(F.col("replies") > hot_rows).select("in_response_to_tweet_id")
+    replies, extent = checkpointed(counted, total=F.sum("replies"), largest=F.max("replies"))
+    threshold = hot_threshold(extent["total"], hot_rows)
+    if extent["largest"] <= threshold:
+        return None
+    return replies.where(F.col("replies") > threshold).select("in_response_to_tweet_id")
 
 
 def parents(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

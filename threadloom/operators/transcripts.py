@@ -62,7 +62,7 @@ def first_transcripts(grouped: DataFrame, limit: int, id_order: str = "number")
     """Transcripts of the first ``limit`` conversations, ids compared as numbers or as text."""
     key = F.col("conversation_id").cast("string") if id_order == "text" else F.col("conversation_id")
     chosen = grouped.select("conversation_id").distinct().orderBy(key).limit(limit)
-    return transcripts(grouped.join(F.broadcast(chosen), "conversation_id", "left_semi"))
+    return transcripts(grouped.join(chosen, "conversation_id", "left_semi"))
 
 
 def lines_of_transcripts(texts: DataFrame, text: str = "full_conversation") -> DataFrame:

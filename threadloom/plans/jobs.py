@@ -4,37 +4,27 @@ from __future__ import annotations
 
 import datetime as dt
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.operators import analysis as analysing
 from threadloom.operators import cleaning, recommend, stats, threads
+from threadloom.operators.scale import checkpointed
 from threadloom.plans import stages
 from threadloom.sources import files
 
 
-def ingest(spark: SparkSession, csv_path: str, folder: str, *, multiline: bool = True) -> DataFrame:
+def ingest(spark: SparkSession, csv_path: str, folder: str, *, multiline: bool | None = None) -> DataFrame:
     """Read, clean and store messages, rebuild and store conversations; returns the run summary."""
-    raw = files.read_messages_csv(spark, csv_path, multiline)
-    watch = Observation()
-    messages = files.store_messages(cleaning.clean_messages(raw, watch), folder)
-    rejects = cleaning.rejects(raw)
-    if not _rejected(watch):
-        rejects = spark.createDataFrame([], rejects.schema)  # nothing to find: no second scan of the feed
-    files.write_table(rejects, folder, files.REJECTS)
+    # The feed is parsed once; messages and rejects both come from the stored rows.
+    rows, _ = checkpointed(cleaning.sorted_out(files.read_messages_csv(spark, csv_path, multiline)))
+    files.write_table(cleaning.rejected(rows), folder, files.REJECTS)
+    typed = rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw")
+    messages = files.store_messages(cleaning.cleaned(typed), folder)
     grouped = files.store_grouped(threads.group_messages(messages.drop("created_timestamp")), folder)
     return stats.ingest_summary(messages, grouped)
 
 
-def _rejected(watch: Observation) -> bool:
-    """Whether rows were rejected; taken for granted when adaptive execution dropped the count with an empty result."""
-    try:
-        return watch.get["rejected"] > 0
-    except Py4JJavaError:
-        return True
-
-
 def behaviour(
     spark: SparkSession,
     folder: str,
@@ -51,7 +41,7 @@ def behaviour(
         key = F.col("conversation_id")
         chosen = grouped.select("conversation_id").distinct()
         chosen = chosen.orderBy(key.cast("string") if id_order == "text" else key).limit(limit)
-        grouped = stats.messages_of(grouped, F.broadcast(chosen))
+        grouped = stats.messages_of(grouped, chosen)
     assessed = stages.assess_conversations(grouped, classifier=classifier, models=models, replies=replies)
     analysis = files.write_table(analysing.records(assessed), folder, files.ANALYSIS)
     cohorts, _ = files.store_cohorts(*stages.cohort_tables(analysis), folder)

@@ -21,12 +21,20 @@ RECOMMENDATIONS = "recommendations"
 RECOMMENDATION_REJECTS = "recommendation_rejects"
 
 
-def read_messages_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def quoted_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of the feed goes over a line end: only then has a line an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
+def read_messages_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """Raw messages, all columns as text.
 
-    Quoted texts may hold line breaks, so a file is read by one task unless ``multiline`` is off; deliver a large
-    feed as many files.
+    Where no quoted text goes over a line end, files are split and read by many tasks. That is looked up first, in one parallel pass over the lines,
+    unless ``multiline`` says it; a feed with such texts is read by one task per file, so deliver it as many files.
     """
+    if multiline is None:
+        multiline = quoted_line_breaks(spark, path)
     return (
         spark.read.schema(RAW_CSV)
         .option("header", True)
