@@ -1,7 +1,9 @@
 """Lexicon sentiment: word valences, negation and intensity, as column expressions.
 
 The normalisation, negation and intensity factors are the published ones for rule-based social-media sentiment
-(Hutto & Gilbert, 2014). The valence list is an own, short one for support talk; pass another mapping to replace it.
+(Hutto & Gilbert, 2014). The valence list is a short selection of words of support talk; its values are of the size, and
+many of them the same, as in the lexicon published with that paper. Pass another mapping to replace it. Emphasis by
+exclamation marks, capitals, a turn after "but" and emoji have no part in the score.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Word lists and weights.
 VALENCES = {
     # praise and relief
     "good": 1.9, "great": 3.1, "excellent": 2.7, "awesome": 3.1, "amazing": 2.8, "perfect": 2.7, "fantastic": 2.6,
@@ -66,6 +69,8 @@ NEGATION = -0.74
 DISTANCE_WEIGHTS = [1.0, 0.95, 0.9]
 NORMALISATION = 15.0
 
+# End of fixed values.
+
 TOKEN = r"[\p{L}']+"
 
 

@@ -19,6 +19,10 @@ BUSINESS_START, BUSINESS_END = 9, 18
 EMAIL_SIGNATURE = "\n\nBest regards,\nCustomer Support Team"
 CALL_OFFER = " We'd like to schedule a quick call to resolve this personally."
 CALL_TIME = " Please let us know your preferred time."
+PHONE_REASON = ("Phone call recommended due to ", " urgency and ", " sentiment requiring immediate personal attention.")
+MAIL_REASON = "Email selected for technical customer requiring detailed written solution and documentation."
+REPLY_REASON = ("Twitter DM chosen for quick acknowledgment of ", " priority ", " issue.")
+APOLOGY = ("Hi! We're sorry for the inconvenience. Let us help resolve your ", " issue.")
 # End of fixed values.
 
 REQUIRED = ["customer_id", "channel", "send_time", "message", "reasoning", "issue_status"]
@@ -57,25 +61,18 @@ def rule_recommendations(context: DataFrame, as_of: dt.datetime | str) -> DataFr
     def choose(phone: Column, mail: Column, reply: Column) -> Column:
         return F.when(personal, phone).when(written, mail).otherwise(reply)
 
-    phone_reason = F.concat(
-        F.lit("Phone call recommended due to "),
-        urgency,
-        F.lit(" urgency and "),
-        mood,
-        F.lit(" sentiment requiring immediate personal attention."),
-    )
-    mail_reason = F.lit("Email selected for technical customer requiring detailed written solution and documentation.")
-    reply_reason = F.concat(
-        F.lit("Twitter DM chosen for quick acknowledgment of "), urgency, F.lit(" priority "), nature, F.lit(" issue.")
-    )
+    def filled(texts: tuple[str, ...], *values: Column) -> Column:
+        return F.concat(F.lit(texts[0]), *[part for value, text in zip(values, texts[1:]) for part in (value, F.lit(text))])
+
+    phone_reason = filled(PHONE_REASON, urgency, mood)
+    mail_reason = F.lit(MAIL_REASON)
+    reply_reason = filled(REPLY_REASON, urgency, nature)
     pending = F.lit("pending_customer_reply")
     return context.withColumns(
         {
             "channel": choose(*[F.lit(n) for n in ("scheduling_phone_call", "email_reply", "twitter_dm_reply")]),
             "send_time": iso_text(moment(as_of) + _hours(2)),
-            "message": F.concat(
-                F.lit("Hi! We're sorry for the inconvenience. Let us help resolve your "), nature, F.lit(" issue.")
-            ),
+            "message": filled(APOLOGY, nature),
             "reasoning": choose(phone_reason, mail_reason, reply_reason),
             "issue_status": choose(pending, pending, F.lit("resolved")),
         }

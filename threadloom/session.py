@@ -17,6 +17,7 @@ def build_session(app_name: str = "threadloom", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():
