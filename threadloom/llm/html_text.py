@@ -5,7 +5,9 @@ text's length by the number of tags since the line before. A Gaussian smooths th
 paragraph shares in its neighbours' weight, and two clusters of the smoothed ratios give the threshold above which lines are
 content. Content lines select a region: the article element that holds most of their text, or the smallest element that
 holds most of it. What the region holds is the main text, except elements that say by their name, class, id or role that they are
-something else: navigation, headers and footers of the page, sidebars, notices, adverts, forms, comments.
+something else: navigation, headers and footers of the page, sidebars, notices, adverts, forms, comments. An element that
+says so but holds a heading or article and most of the page's text, such as a page-wide form or a wrapper named after its sidebar, is believed only
+about what is not in its content.
 
 Pages are independent: one pass, no shuffle. Defined results: null, empty and text-free pages have an empty text; a
 page is never cut; repeated pages give repeated rows; other columns pass through.
@@ -33,6 +35,7 @@ REGION = 0.7
 LINKS = 0.5
 
 # Element names of HTML.
+_SILENT = frozenset("script style title textarea option".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -56,18 +59,20 @@ _OTHER = frozenset(
     "notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall sidebar sidebars "
     "widget widgets related recommended recommendations share sharing social breadcrumb breadcrumbs menu menus nav navbar "
     "navigation footer complementary contentinfo dialog search searchbox pagination pager toolbar comment comments commentlist "
-    "disqus replies discussion respond form skip disclaimer".split()
+    "disqus reply replies discussion respond form skip disclaimer".split()
 )
 _OUTSIDE = frozenset(("header", "masthead", "topbar"))
-_ARTICLE_WORDS = frozenset(("articlebody", "entry", "story"))
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+_COMMENTS = frozenset("comment comments commentlist disqus reply replies discussion respond".split())
+
+
 class _Line:
     __slots__ = ("text", "tags", "links", "path", "hidden")
 
-    def __init__(self, tags: int, path: tuple[int, ...], hidden: bool):
-        self.text, self.tags, self.links, self.path, self.hidden = "", tags, 0, path, hidden
+    def __init__(self, text: str, tags: int, links: int, path: tuple[int, ...]):
+        self.text, self.tags, self.links, self.path, self.hidden = text, tags, links, path, False
 
 
 class _Page(HTMLParser):
@@ -77,8 +82,10 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
         self.articles: dict[int, int] = {}  # article elements, with how many articles each lies in
-        self.stack: list[tuple[str, int, bool]] = []  # name, number, whether its text is something else's
+        self.stack: list[tuple[str, int, bool]] = []  # name, number, whether its text makes no line
         self.names: dict[int, str] = {}
+        self.others: dict[int, bool] = {}  # elements that say they are not the article, and whether that may be doubted
+        self.heads: list[tuple[int, ...]] = []  # where headings and articles lie
         self.count = 0
         self.tags = 0
         self.parts: list[str] = []
@@ -88,9 +95,7 @@ class _Page(HTMLParser):
     def _cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            line = _Line(max(1, self.tags), tuple(number for _, number, _ in self.stack), bool(self.stack) and self.stack[-1][2])
-            line.text, line.links = text, self.links
-            self.lines.append(line)
+            self.lines.append(_Line(text, max(1, self.tags), self.links, tuple(number for _, number, _ in self.stack)))
             self.tags = 0
         self.parts, self.links = [], 0
 
@@ -126,17 +131,16 @@ class _Page(HTMLParser):
             return
         self.count += 1
         inside = sum(number in self.articles for _, number, _ in self.stack)
-        hidden = (bool(self.stack) and self.stack[-1][2]) or _is_other(tag, attrs, inside > 0)
-        if hidden and not (self.stack and self.stack[-1][2]):
-            self._cut() if tag in _BLOCK else self._split()
+        doubt = _other(tag, attrs, inside > 0)
+        if doubt is not None:
+            self.others[self.count] = doubt
+        dropped = (bool(self.stack) and self.stack[-1][2]) or tag in _SILENT or (doubt is not None and tag not in _BLOCK)
         if tag in _ARTICLES or _is_article(attrs):
             self.articles[self.count] = inside
+        if tag == "h1" or self.count in self.articles:
+            self.heads.append(tuple(number for _, number, _ in self.stack))
         self.names[self.count] = tag
-        self.stack.append((tag, self.count, hidden))
-
-    def _split(self) -> None:
-        """An inline element of something else: what came before it stays in its line, its own text does not."""
-        self.parts.append(" ")
+        self.stack.append((tag, self.count, dropped))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _VOID:
@@ -150,10 +154,6 @@ class _Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.stack and self.stack[-1][2]:
-            if self.stack[-1][0] in _UNSEEN and self.stack[-1][0] in ("script", "style", "title"):
-                return
-            if any(name in _BLOCK and hidden for name, _, hidden in self.stack):
-                self.parts.append(data)  # a line of its own, which is not taken
             return
         self.parts.append(data)
         if any(name == "a" for name, _, _ in self.stack):
@@ -162,23 +162,38 @@ class _Page(HTMLParser):
     def finish(self) -> None:
         self.close()
         self._cut()
+        weight: Counter[int] = Counter()
+        for line in self.lines:
+            for number in line.path:
+                weight[number] += len(line.text)
+        whole = sum(len(line.text) for line in self.lines)
+        believed = {
+            number for number, doubt in self.others.items()
+            if not (doubt and 2 * weight[number] > whole and any(number in path for path in self.heads))
+        }
+        for line in self.lines:
+            line.hidden = not believed.isdisjoint(line.path)
 
 
 def _words(attrs: list[tuple[str, str | None]], names: tuple[str, ...]) -> set[str]:
     return {word.lower() for name, value in attrs if name in names and value for word in _WORDS.findall(value)}
 
 
-def _is_other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool | None:
+    """None for what may be part of the article; else whether a closer look at the content may overrule that."""
     if tag in _UNSEEN or (tag == "header" and not in_article):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main") and not _words(attrs, ("class", "id", "role")) & {"comment", "comments", "ad", "advert"}:
+        return tag == "form"
+    for name, value in attrs:
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            return False
+        if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return False
+    found = _words(attrs, ("class", "id", "role")) if attrs else set()
+    if found & _COMMENTS:
         return False
-    if any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs):
-        return True
-    if any(name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) for name, value in attrs):
+    if found & _OTHER or (not in_article and found & _OUTSIDE):
         return True
-    found = _words(attrs, ("class", "id", "role"))
-    return bool(found & _OTHER) or (not in_article and bool(found & _OUTSIDE))
+    return None
 
 
 def _is_article(attrs: list[tuple[str, str | None]]) -> bool:
