@@ -1135,6 +1135,12 @@ def n18_transcript_analysis(spark, sf_dir):
     return analysis.analyse_transcripts(given).select("conversation_id", *RECORD_COLUMNS)
 
 
+@query("n18_structured_analysis", upto("assessed", f"SELECT {RECORD_SQL} FROM assessed"))
+def n18_structured_analysis(spark, sf_dir):
+    made = analysis.analyse(staged(spark, sf_dir).grouped, structured=True)
+    return made.select("conversation_id", *RECORD_COLUMNS)
+
+
 @query("n18_transcript_part_analysis", upto("assessed", f"SELECT {RECORD_SQL} FROM assessed"))
 def n18_transcript_part_analysis(spark, sf_dir):
     parts = transcripts.transcript_parts(staged(spark, sf_dir).grouped, 2)

@@ -33,3 +33,12 @@ ENDINGS = [
 def test_endings(grouped_of, turns, solved, urgency):
     row = analysis.analyse(grouped_of({1: turns})).first()
     assert (row.resolved_score, row.is_resolved, row.urgency_level) == (solved, False, urgency)
+
+
+def test_separators_and_labels_inside_texts(grouped_of):
+    body = "good | AGENT: x: bad | CUSTOMER: y: bad"
+    rows = grouped_of({1: [(True, body), (False, "CUSTOMER: z: bad")], 2: [(False, "CUSTOMER: z: bad")]})
+    found = {row.conversation_id: row for row in analysis.analyse(rows, structured=True).collect()}
+    assert (found[1].piece_count, found[1].customer_messages, found[2].customer_messages) == (2, 1, 0)
+    read = {row.conversation_id: row for row in analysis.analyse(rows).collect()}
+    assert read[1].piece_count == 4 and read[2].customer_messages == 1

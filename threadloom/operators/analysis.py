@@ -23,16 +23,21 @@ SUMMARY_OPEN = " issue remains unresolved"
 def conversation_features(line_rows: DataFrame) -> DataFrame:
     """Message counts, summed valence and rule terms per conversation, from ``(conversation_id, sequence_number, line)``.
 
-    Lines are single-line text, as cleaning leaves them. Each message yields its terms; they are counted per
+    Lines are single-line text, as cleaning leaves them. With a column ``customer_message`` each line is one message, and
+    that column what the customer says in it; otherwise both are read off the line. Each message yields its terms; they are counted per
     conversation and term, partly before the shuffle, and then put side by side. The second step gathers no more
     entries per conversation than the rules have literals.
     """
+    if "customer_message" in line_rows.columns:
+        pieces, fragments = F.lit(1), F.array_compact(F.array("customer_message"))
+    else:
+        pieces, fragments = F.size(transcripts.pieces(F.col("line"))), transcripts.customer_pieces(F.col("line"))
     per_message = line_rows.select(
         "conversation_id",
         "sequence_number",
         F.lower("line").alias("transcript"),
-        F.size(transcripts.pieces(F.col("line"))).alias("pieces"),
-        transcripts.customer_pieces(F.col("line")).alias("fragments"),
+        pieces.alias("pieces"),
+        fragments.alias("fragments"),
     ).select(
         "conversation_id",
         "sequence_number",
@@ -239,9 +244,14 @@ def assess(features: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     )
 
 
-def analyse(grouped: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Assessment of all conversations in a grouped message table."""
-    return assess(conversation_features(transcripts.lines(grouped)), labels)
+def analyse(grouped: DataFrame, labels: DataFrame | None = None, *, structured: bool = False) -> DataFrame:
+    """Assessment of all conversations in a grouped message table.
+
+    ``structured`` takes messages and speakers from the table's columns, so that a separator or a speaker's label inside a
+    text does not count as one; by default the lines are read as they would be in a transcript.
+    """
+    lines = transcripts.structured_lines(grouped) if structured else transcripts.lines(grouped)
+    return assess(conversation_features(lines), labels)
 
 
 def analyse_transcripts(texts: DataFrame, text: str = "full_conversation") -> DataFrame:

@@ -24,6 +24,17 @@ def lines(grouped: DataFrame) -> DataFrame:
     )
 
 
+def structured_lines(grouped: DataFrame) -> DataFrame:
+    """``lines`` with what the customer says in a column of its own, whatever separators and labels the texts hold."""
+    said = F.when(F.col("is_customer"), F.trim("message_text")).alias("customer_message")
+    return grouped.select(
+        "conversation_id",
+        "sequence_number",
+        F.concat(role_label(), F.col("author_id"), F.lit(": "), F.col("message_text")).alias("line"),
+        said,
+    )
+
+
 def _blocks(grouped: DataFrame, messages: int) -> DataFrame:
     labelled = with_part(grouped, messages).withColumn(
         "line", F.concat(role_label(), F.col("author_id"), F.lit(": "), F.col("message_text"))
