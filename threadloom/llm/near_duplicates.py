@@ -9,7 +9,7 @@ prefix is the longest, are candidates. Each sorted order is dealt out by ranges,
 Candidates whose signatures agree too little for the wanted similarity are dropped, the others are confirmed on full sets. Only pairs
 between different components matter, so confirmation runs in rounds: each component tries its most promising pairs, merged
 components drop the pairs between them, and the rounds end when no unconfirmed pair is left between components. Last, in each
-region that was split, every member outside the region's largest component is compared, by signature and in blocks, with all
+region that was split, every member outside the region's largest component is compared, on full sets and in blocks, with all
 members of other components. So all pairs that share LEAST values of a path take part, however large a region is; a pair at
 the threshold is in none of the trees with probability (1 - 0.75 ** 3) ** 16 = 0.00016, one of similarity 0.8 with 0.00001.
 
@@ -308,9 +308,17 @@ def _crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return named.where("root_a != root_b")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after links (root_a, root_b) between components, stored."""
+    pairs = links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    roots = components(pairs).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    known = labels.join(roots, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    return common.stored(known.unionByName(roots.select(F.col("root").alias("node"), F.col("new_root").alias("root"))))
+
+
 def _united(pairs: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """The labels after all links among the (rated, stored) pairs."""
-    tries = 1
+    tries = 3
     while True:
         open_ = common.stored(_crossing(pairs, labels))
         if open_.isEmpty():
@@ -321,52 +329,76 @@ def _united(pairs: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         tried = _confirmed(picked, sets)
         linked = tried.where("linked")
         if not linked.isEmpty():
-            merged = linked.join(open_, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-            roots = components(merged).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
-            known = labels.join(roots, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
-            labels = common.stored(known.unionByName(roots.select(F.col("root").alias("node"), F.col("new_root").alias("root"))).distinct())
+            labels = _merged(labels, linked.join(open_, ["a", "b"]))
         pairs = common.stored(open_.join(tried, ["a", "b"], "left_anti").select("a", "b", "agree"))
-        tries *= 4
+        tries *= 8
 
 
 #: Members of a split region that one group compares: so many from outside the largest component, with so many of all.
-QUERIES, MEMBERS = 512, 4096
+QUERIES, MEMBERS = 256, 1024
 
 
-def _rest(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs across components in split regions whose signatures agree enough."""
+def linking(rep: np.ndarray, root: np.ndarray, asks: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between rows that ask and the others that join their components: as many as join, not all there are.
+
+    Exact: the shared shingles of a row with all others are counted at once, by marking its own among all.
+    """
+    known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum([len(x) for x in sets])
+    own = [codes[end - len(x) : end] for end, x in zip(ends, sets)]
+    others = np.flatnonzero(~asks)
+    if not len(others):
+        return []
+    sizes = np.array([len(own[k]) for k in others])
+    tokens, begins = np.concatenate([own[k] for k in others]), np.cumsum(sizes) - sizes
+    mark = np.zeros(len(known), bool)
+    parent: dict[int, int] = {}
+
+    def top(k: int) -> int:
+        while parent.get(k, k) != k:
+            parent[k] = k = parent.get(parent[k], parent[k])
+        return k
+
+    links = []
+    for k in np.flatnonzero(asks):
+        mark[own[k]] = True
+        both = np.add.reduceat(mark[tokens], begins, dtype=np.int64)
+        mark[own[k]] = False
+        near = 100 * both >= PERCENT * (len(own[k]) + sizes - both)
+        for other in others[np.flatnonzero(near & (root[others] != root[k]))]:
+            one, two = top(int(root[k])), top(int(root[other]))
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                links.append((int(rep[k]), int(rep[other])))
+    return links
+
+
+def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links across components in split regions, as many as join them: a, b."""
     key = ["tree", "region"]
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     named = common.stored(named)
     sizes = named.groupBy(*key, "root").count()
     per_region = sizes.groupBy(*key).agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.count("*").alias("roots"))
-    mixed = per_region.where("roots > 1")
-    largest = sizes.join(mixed, key).where("count = most").groupBy(*key, "n", "most").agg(F.min("root").alias("top"))
+    largest = sizes.join(per_region.where("roots > 1"), key).where("count = most").groupBy(*key, "n", "most").agg(F.min("root").alias("top"))
     rows = common.stored(named.join(largest, key).withColumn("asks", F.col("root") != F.col("top")))
     if rows.isEmpty():
-        return classes.sparkSession.createDataFrame([], "a bigint, b bigint, agree bigint")
-    blocks = F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int")
-    parts = F.ceil(F.col("n") / MEMBERS).cast("int")
-    dealt = rows.join(classes.select("rep", "sig"), "rep").withColumn("blocks", blocks).withColumn("parts", parts)
+        return docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    blocks = F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("bigint")
+    parts = F.ceil(F.col("n") / MEMBERS).cast("bigint")
+    dealt = rows.join(_sets(docs, rows.select("rep")), "rep").withColumn("blocks", blocks).withColumn("parts", parts)
     block, part = F.pmod(F.xxhash64("rep"), F.col("blocks")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts"))
-    every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1)
-    asking = dealt.where("asks").select(*key, "rep", "root", "sig", F.lit(True).alias("asks"), block.alias("block"), F.explode(every("parts")).alias("part"))
-    asked = dealt.select(*key, "rep", "root", "sig", F.lit(False).alias("asks"), part.alias("part"), F.explode(every("blocks")).alias("block"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    shown = [*key, "rep", "root", "hashes"]
+    asking = dealt.where("asks").select(*shown, F.lit(True).alias("asks"), block.alias("block"), every("parts").alias("part"))
+    asked = dealt.select(*shown, F.lit(False).alias("asks"), part.alias("part"), every("blocks").alias("block"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(rows.sig), ">u2").reshape(-1, _VALUES)
-        asks, rep, root = rows.asks.to_numpy(), rows.rep.to_numpy(), rows.root.to_numpy()
-        others = np.flatnonzero(~asks)
-        out = []
-        for k in np.flatnonzero(asks):
-            agree = (sig[others] == sig[k]).sum(1)
-            at = np.flatnonzero((agree >= AGREE) & (root[others] != root[k]))
-            low, high = np.minimum(rep[others[at]], rep[k]), np.maximum(rep[others[at]], rep[k])
-            out.append(np.stack([low, high, agree[at]], 1))
-        return pd.DataFrame(np.concatenate([*out, np.zeros((0, 3), np.int64)]).astype(np.int64), columns=["a", "b", "agree"])
+        sets = [np.frombuffer(x, np.uint64) for x in rows.hashes]
+        found = linking(rows.rep.to_numpy(), rows.root.to_numpy(), rows.asks.to_numpy(), sets)
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    together = asking.unionByName(asked).groupBy(*key, "block", "part").applyInPandas(compare, "a bigint, b bigint, agree bigint")
-    return together.distinct()
+    return asking.unionByName(asked).groupBy(*key, "block", "part").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
 def labelled(docs: DataFrame) -> DataFrame:
@@ -380,12 +412,10 @@ def labelled(docs: DataFrame) -> DataFrame:
     pairs, members = common.stored(_rated(pairs, classes)), common.stored(members)
     every = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     sets = _sets(docs, every)
-    labels = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
-    labels = _united(pairs, sets, labels)
-    rest = common.stored(_rest(members, classes, labels).join(pairs, ["a", "b"], "left_anti"))
+    labels = _united(pairs, sets, docs.sparkSession.createDataFrame([], "node bigint, root bigint"))
+    rest = common.stored(_rest(docs, members, labels))
     if not rest.isEmpty():
-        sets = _sets(docs, rest.select(F.explode(F.array("a", "b")).alias("rep")))
-        labels = _united(rest, sets, labels)
+        labels = _merged(labels, _crossing(rest, labels))
     named = ids.join(labels, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("component"))
     return rows.drop("sig").join(named, "print", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
