@@ -428,11 +428,11 @@ def test_hubs_in_split_regions_are_found(docs_of, monkeypatch):
     assert found == {number: root for number, (_, root) in expected.items()}
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40))
-def test_labels_are_components(spark, edges):
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40), st.sampled_from([4, 15, 100]))
+def test_labels_are_components(spark, edges, per_task):
     links = spark.createDataFrame(edges or [(0, 0)], "a BIGINT, b BIGINT")
-    found = {row.node: row.root for row in near_duplicates.components(links).collect()}
+    found = {row.node: row.root for row in near_duplicates.components(links, per_task=per_task).collect()}
     parent = list(range(26))
     for _ in range(26):
         for a, b in edges:

@@ -13,7 +13,6 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterable
 
 END_ID = 2
 #: Pieces whose ids a worker remembers; twice as many for a short time.
