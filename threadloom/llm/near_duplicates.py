@@ -44,6 +44,8 @@ NEIGHBOURS = 2
 AGREE = 53
 #: Ids that are sent to all tasks at once (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Edges that one task unites on its own (some 30 MB).
+EDGES_PER_TASK = 100_000
 #: Rows of a sorted order in one task at least.
 ORDER_ROWS = 4096
 _VALUES = TREES * DEPTH
@@ -275,14 +277,44 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return common.stored(common.mapped(both, compare, "a bigint, b bigint, linked boolean"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def _local_roots(edges: DataFrame) -> DataFrame:
+    """The edges of each partition, replaced by one edge from every node to the smallest it is united with there."""
+    schema = pa.schema([("node", pa.int64()), ("root", pa.int64())])
+
+    def unite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def top(k: int) -> int:
+            while parent.setdefault(k, k) != k:
+                parent[k] = k = parent[parent[k]]
+            return k
+
+        for batch in batches:
+            for one, two in zip(batch.column("node").to_pylist(), batch.column("root").to_pylist()):
+                one, two = top(one), top(two)
+                parent[max(one, two)] = min(one, two)
+        rows = [(node, top(node)) for node in list(parent)]
+        rows = [row for row in rows if row[0] != row[1]]
+        yield common.batch_of(schema, [[row[0] for row in rows], [row[1] for row in rows]])
+
+    return common.mapped(edges, unite, "node bigint, root bigint")
+
+
+def components(links: DataFrame, per_task: int = EDGES_PER_TASK) -> DataFrame:
     """node, root (the smallest node reachable) of all nodes that have a link and are not their own root.
 
-    Large-star and small-star steps in turn: a logarithmic number of rounds even for long chains, each of them stored.
+    Tasks first unite what they hold, a bounded number of edges each. If that takes more than one task, large-star and
+    small-star steps follow in turn: a logarithmic number of rounds even for long chains, each of them stored.
     """
-    content = [F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))]
+    content = [F.count("*").alias("n"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)")).alias("hash")]
     edges = common.stored(links.where("a != b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct())
     before = edges.agg(*content).first()
+    if before.n:
+        tasks = -(-before.n // per_task)
+        edges = common.stored(_local_roots(edges.repartition(tasks)))
+        if tasks == 1:
+            return edges
+        before = edges.agg(*content).first()
     while True:
         both = edges.unionByName(edges.select(F.col("root").alias("node"), F.col("node").alias("root")))
         least = both.groupBy("node").agg(F.least(F.min("root"), F.col("node")).alias("least"))
