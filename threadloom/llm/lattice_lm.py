@@ -39,10 +39,10 @@ from threadloom.llm import common, subwords
 ROUNDS = 3
 CLASSES = 6
 #: Training documents that the classes are found on, and the hashed words that stand for a document there.
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 1000
 BUCKETS = 4096
 #: Most frequent words that every task holds (about 150 bytes each).
-HOT = 300_000
+HOT = 200_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 200_000
 #: Bytes of words that one recursion handles side by side.
@@ -216,31 +216,40 @@ def _buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
 
 
-def mixture(counts: np.ndarray, classes: int, rounds: int = 25) -> np.ndarray:
+def mixture(counts: np.ndarray, classes: int, starts: int = 8, rounds: int = 15) -> np.ndarray:
     """Log weights [class, bucket], the last column for the class itself, of a mixture of word distributions.
 
-    It begins with documents that are far from each other, and ends after a fixed number of expectation-maximisation rounds.
+    Expectation-maximisation from several starts, each with documents that are drawn far from each other; the start that ends with the
+    highest likelihood counts.
     """
-    sizes = counts.sum(1)
-    found = np.zeros((classes, BUCKETS + 1))
-    found[:] = -np.log(BUCKETS)
+    found = np.full((classes, BUCKETS + 1), -np.log(BUCKETS))
     found[:, -1] = -np.log(classes)
-    counts, sizes = counts[sizes > 0].astype(float), sizes[sizes > 0]
+    sizes = counts.sum(1)
+    counts, sizes = counts[sizes > 0].astype(np.float32), sizes[sizes > 0].astype(np.float32)
     if len(counts) < classes:
         return found
     unit = np.sqrt(counts / sizes[:, None])
-    chosen = [int(sizes.argmax())]
-    while len(chosen) < classes:
-        close = (unit @ unit[chosen].T).max(1) + (sizes < np.median(sizes))  # far from all chosen ones, and not short
-        chosen.append(int(close.argmin()))
-    share = np.eye(classes)[(unit @ unit[chosen].T).argmax(1)]
-    for _ in range(rounds):
-        words = share.T @ counts + 0.1
-        found[:, :-1] = np.log(words / words.sum(1, keepdims=True))
-        found[:, -1] = np.log((share.sum(0) + 1) / (len(share) + classes))
-        weight = counts @ found[:, :-1].T + found[:, -1]
-        share = np.exp(weight - weight.max(1, keepdims=True))
-        share /= share.sum(1, keepdims=True)
+    near = unit @ unit.T
+    long = np.flatnonzero(sizes >= np.median(sizes))
+    best = -np.inf
+    for start in range(starts):
+        draw = np.random.default_rng(start)
+        chosen = [int(draw.choice(long))]
+        while len(chosen) < classes:
+            far = np.maximum(1 - near[np.ix_(long, chosen)].max(1), 1e-6) ** 2.0
+            chosen.append(int(draw.choice(long, p=far / far.sum())))
+        share = np.eye(classes, dtype=np.float32)[near[:, chosen].argmax(1)]
+        for _ in range(rounds):
+            words = share.T @ counts + 0.1
+            model = np.column_stack([np.log(words / words.sum(1, keepdims=True)), np.log((share.sum(0) + 1) / (len(share) + classes))])
+            weight = counts @ model[:, :-1].T.astype(np.float32) + model[:, -1]
+            most = weight.max(1, keepdims=True)
+            share = np.exp(weight - most)
+            total = share.sum(1, keepdims=True)
+            share = (share / total).astype(np.float32)
+        likelihood = float((most + np.log(total)).sum())
+        if likelihood > best:
+            best, found = likelihood, model
     return found
 
 
