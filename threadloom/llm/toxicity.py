@@ -141,30 +141,31 @@ def marginals(emission: np.ndarray, first: np.ndarray, field: Field) -> np.ndarr
     return result.ravel()[:n]
 
 
-def fit_field(windows: list[tuple[list[bytes], list[int]]], rounds: int = 30, rate: float = 0.5, decay: float = 1e-6) -> Field:
-    """Maximum likelihood by AdaGrad over all windows at once. Half of the tokens hide the word itself, so that its
-    beginnings learn to stand for forms that training has not seen."""
-    lists = [x for words, _ in windows for x in words]
-    tags = np.array([tag for _, found in windows for tag in found], np.int64)
-    first = np.zeros(len(lists), bool)
-    first[np.cumsum([0, *(len(words) for words, _ in windows)])[:-1]] = True
-    vocabulary = {word: k for k, word in enumerate(dict.fromkeys(lists))}
+def fit_field(vocabulary: list[bytes], words: np.ndarray, tags: np.ndarray, place: np.ndarray, rounds: int = 30,
+              rate: float = 0.5, decay: float = 1e-6) -> Field:
+    """Maximum likelihood by AdaGrad over all windows at once: the words' numbers in the vocabulary, their tags, and their
+    places in their windows. Every second token of a window hides the word itself, so that its beginnings learn to stand for forms
+    that training has not seen."""
+    first, hides = place == 0, place % 2 == 0
     table = np.array([features(word) for word in vocabulary], np.int64).reshape(-1, _FEATURES)
-    active = table[[vocabulary[word] for word in lists]]
-    shown = np.ones((len(lists), _FEATURES))
-    shown[::2, 0] = 0.0
     field = Field(np.zeros(1 << BITS), np.zeros((2, 2)), np.zeros(2), np.zeros(4))
     squares, move_squares, start_squares = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
     pair = ~first[1:]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (tags[:-1][pair], tags[1:][pair]), 1.0)
-    began = np.bincount(tags[first], minlength=2).astype(float)
-    n = max(1, len(lists))
+    seen = np.bincount(2 * tags[:-1][pair] + tags[1:][pair], minlength=4).reshape(2, 2)
+    began = np.bincount(tags[first], minlength=2)
+    n = max(1, len(words))
     for _ in range(rounds):
-        emission = np.clip((field.weights[active] * shown).sum(1), -30, 30)
+        own = field.weights[table[:, 0]]
+        rest = field.weights[table[:, 1:]].sum(1)
+        emission = np.clip(rest[words] + np.where(hides, 0.0, own[words]), -30, 30)
         m = marginals(emission, first, field)
-        slope = np.bincount(active.ravel(), ((tags - m)[:, None] * shown).ravel(), minlength=1 << BITS) / n
-        slope -= decay * field.weights
+        gap = tags - m
+        shown = np.bincount(words[~hides], gap[~hides], len(table))
+        every = shown + np.bincount(words[hides], gap[hides], len(table))
+        slope = np.bincount(table[:, 0], shown, 1 << BITS)
+        for column in table.T[1:]:
+            slope += np.bincount(column, every, 1 << BITS)
+        slope = slope / n - decay * field.weights
         squares += slope**2
         field.weights += rate * slope / np.sqrt(squares)
         move = (seen - _pairs(first, m, field)) / n
@@ -309,25 +310,31 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            words_out, tags_out = [], []
+            words_out, tags_out, places = [], [], []
             for text, tag in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 words = tokens(text)
-                marks = [int(tag == 1 and any(unit in lexicon for unit in units(word))) for word in words]
-                seed = np.random.default_rng(zlib.crc32(b" ".join(words)))
                 marked = [k for k, word in enumerate(words) if any(unit in lexicon for unit in units(word))]
+                toxic = set(marked) if tag == 1 else ()
+                seed = np.random.default_rng(zlib.crc32(b" ".join(words)))
                 some = seed.integers(0, max(1, len(words)), fit_windows)
                 for at in [*seed.permutation(marked)[: fit_windows - 2], *some][:fit_windows]:
                     low = max(0, int(at) - WINDOW // 2)
-                    if words:
-                        words_out.append(words[low : low + WINDOW])
-                        tags_out.append(marks[low : low + WINDOW])
+                    found = words[low : low + WINDOW]
+                    words_out.extend(found)
+                    tags_out.extend(int(low + k in toxic) for k in range(len(found)))
+                    places.extend(range(len(found)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words_out, pa.list_(pa.binary())), pa.array(tags_out, pa.list_(pa.int64()))], names=["words", "tags"]
+                [pa.array(words_out, pa.binary()), pa.array(tags_out, pa.int64()), pa.array(places, pa.int64())],
+                names=["word", "tag", "place"],
             )
 
-    windows = common.mapped(sample, cut, "words array<binary>, tags array<bigint>").toArrow()  # bounded by both parameters
-    pairs = sorted(zip(windows.column("words").to_pylist(), windows.column("tags").to_pylist()))
-    field = fit_field(pairs)
+    windows = common.mapped(sample, cut, "word binary, tag bigint, place bigint").toArrow()  # bounded by both parameters
+    coded = windows.column("word").combine_chunks().dictionary_encode()
+    field = fit_field(
+        coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+        windows.column("tag").to_numpy(), windows.column("place").to_numpy(),
+    )
+    del windows, coded
 
     sent = docs.sparkSession.sparkContext.broadcast(field)
     name = uuid.uuid4().hex
