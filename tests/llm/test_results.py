@@ -94,6 +94,30 @@ def test_article_without_the_rest():
     )
 
 
+def test_no_article_of_a_page_is_lost():
+    def block(number, words=40):
+        return f"<p>{prose(number, words)}</p>"
+
+    def texts(*blocks):
+        return "\n\n".join(prose(*x) for x in blocks)
+
+    def found(body):
+        return html_text.main_text(f"<body><nav><a href=a>Home</a></nav>{body}</body>")
+
+    one, other, third = (1, 40), (2, 40), (3, 40)
+    two = f"<article>{block(1)}</article><article>{block(2)}</article>"
+    assert found(f"<main>{two}</main>") == texts(one, other)
+    assert found(two) == texts(one, other)
+    assert found(f"<article><h2>Latest</h2>{two}</article>").endswith(texts(one, other))
+    assert found(f"<main><article>{block(1, 60)}</article><div>{block(2)}</div></main>") == texts((1, 60))
+    assert found(f"<main>{block(3, 90)}<article>{block(1)}</article></main>") == texts((3, 90), one)
+    assert found(f"<main><article>{block(1, 20)}<article>{block(2, 15)}</article></article></main>") == texts((1, 20))
+    assert found(f"<article><div itemprop=articleBody>{block(1, 60)}</div>{block(2)}</article>") == texts((1, 60), other)
+    assert found(f"<main><article>{block(1)}</article></main><div><article>{block(2, 9)}</article></div>") == texts(one)
+    menu = "".join(f"<a href={k}>Read {k} of all</a> " for k in range(9))
+    assert found(f"<article>{block(1)}</article><article><p>{menu}</p></article><article>{block(3)}</article>") == texts(one, third)
+
+
 def test_pages_without_an_article_element():
     body = "".join(f"<div>{prose(k, 30)}</div>" for k in range(6))
     menu = "<div>" + "".join(f"<a href={k}>Menu {k}</a> " for k in range(8)) + "</div>"

@@ -3,8 +3,8 @@
 The standard library's parser streams a page as events; block elements cut it into lines. Each line has a ratio, its
 text's length by the number of tags since the line before. A Gaussian smooths the ratios along the page, so that a short
 paragraph shares in its neighbours' weight, and two clusters of the smoothed ratios give the threshold above which lines are
-content. Content lines select a region: the article element that holds most of their text, or the smallest element that
-holds most of it. What the region holds is the main text, except elements that say by their name, class, id or role that they are
+content. Content lines select a region: the page's articles, or its main element where that holds more outside them than in any, or
+else the smallest element that holds most of their text. Only an article inside an article is a comment on it. What the region holds is the main text, except elements that say by their name, class, id or role that they are
 something else: navigation, headers and footers of the page, sidebars, notices, adverts, forms, comments. An element that
 says so but holds a heading or article and most of the page's text, such as a page-wide form or a wrapper named after its sidebar, is believed only
 about what is not in its content.
@@ -53,6 +53,7 @@ _CLOSED_BY = {
 _SCOPES = frozenset("html body article main section div nav footer aside header table td th form blockquote".split())
 _REGIONS = frozenset("body main section div center td".split())
 _ARTICLES = frozenset(("article", "main"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 # Words of class names, ids and roles that mark something other than the article.
 _OTHER = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -81,7 +82,9 @@ class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
-        self.articles: dict[int, int] = {}  # article elements, with how many articles each lies in
+        self.articles: set[int] = set()  # elements of articles' text: main, article, and what says that it is one of them
+        self.mains: set[int] = set()  # those that are no article, but hold the page's
+        self.depth: dict[int, int] = {}  # article elements proper, with how many of these each lies in
         self.stack: list[tuple[str, int, bool]] = []  # name, number, whether its text makes no line
         self.names: dict[int, str] = {}
         self.others: dict[int, bool] = {}  # elements that say they are not the article, and whether that may be doubted
@@ -136,7 +139,12 @@ class _Page(HTMLParser):
             self.others[self.count] = doubt
         dropped = (bool(self.stack) and self.stack[-1][2]) or tag in _SILENT or (doubt is not None and tag not in _BLOCK)
         if tag in _ARTICLES or _is_article(attrs):
-            self.articles[self.count] = inside
+            self.articles.add(self.count)
+            kind = _kind(tag, attrs)
+            if kind == "main":
+                self.mains.add(self.count)
+            elif kind == "article":
+                self.depth[self.count] = sum(number in self.depth for _, number, _ in self.stack)
         if tag == "h1" or self.count in self.articles:
             self.heads.append(tuple(number for _, number, _ in self.stack))
         self.names[self.count] = tag
@@ -203,6 +211,13 @@ def _is_article(attrs: list[tuple[str, str | None]]) -> bool:
     )
 
 
+def _kind(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    roles = {value for name, value in attrs if name == "role"}
+    if tag == "article" or "article" in roles:
+        return "article"
+    return "main" if tag == "main" or "main" in roles else "body"
+
+
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     reach = max(1, int(np.ceil(3 * sigma)))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
@@ -225,6 +240,43 @@ def threshold(values: np.ndarray, rounds: int = 50) -> float:
     return float(np.expm1((low + high) / 2))
 
 
+def _outermost(lines: list[_Line], numbers: set[int]) -> set[int]:
+    return {next(number for number in line.path if number in numbers) for line in lines if not numbers.isdisjoint(line.path)}
+
+
+def _regions(page: _Page, seen: list[_Line], chosen: list[_Line], weight: dict[int, int]) -> set[int]:
+    """The elements whose text is the page's: its outermost articles, or its main elements."""
+    roots = _outermost(chosen, page.articles)
+    if not roots:
+        return set()
+    best = max(roots, key=lambda number: (weight[number], -number))
+    inside = roots & page.mains if best in page.mains else set()
+    found = _outermost([line for line in seen if not inside or not inside.isdisjoint(line.path)], page.articles - page.mains)
+    if inside:
+        rest = sum(len(line.text) for line in chosen if not inside.isdisjoint(line.path) and found.isdisjoint(line.path))
+        if max((weight.get(number, 0) for number in found), default=0) < max(rest, 1):
+            return inside
+    size, links = Counter(), Counter()
+    for line in seen:
+        for number in found.intersection(line.path):
+            size[number] += len(line.text)
+            links[number] += line.links
+    heaviest = max(found, key=lambda number: (weight.get(number, 0), -number))
+    return {number for number in found if number == heaviest or links[number] <= LINKS * size[number]}
+
+
+def _comments(page: _Page, chosen: list[_Line], weight: dict[int, int], part: int) -> set[int]:
+    """Articles inside an article; but those that hold nearly all of it, or all besides its headings, are its own text."""
+    whole = weight.get(part, 0)
+    mine = [line for line in chosen if part in line.path]
+    for least in range(1, max(page.depth.values(), default=0) + 1):
+        found = {number for number, depth in page.depth.items() if depth >= least and weight.get(number, 0) <= REGION * whole}
+        own = [line for line in mine if found.isdisjoint(line.path)]
+        if any(_HEADINGS.isdisjoint(page.names[number] for number in line.path) for line in own):
+            return found
+    return set()
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -246,17 +298,10 @@ def main_text(html: str | None) -> str:
     for line in chosen:
         for number in line.path:
             weight[number] = weight.get(number, 0) + len(line.text)
-    # the outermost article is the page's; articles inside it are comments on it
-    outer = {number for number, depth in page.articles.items() if depth == 0 and weight.get(number, 0) > 0}
-    inner = {number for number, depth in page.articles.items() if depth > 0}
-    if outer:
-        best = max(outer, key=lambda number: (weight[number], -number))
-        nested = [number for number in inner if any(best in line.path and number in line.path for line in seen)]
-        inside = sorted(nested, key=lambda number: (-weight.get(number, 0), number))
-        if inside and weight.get(inside[0], 0) > REGION * weight[best]:  # as in main > article
-            best = inside[0]
-        others = {number for number in inner if number > best}
-        taken = [line for line in seen if best in line.path and not others.intersection(line.path)]
+    parts = _regions(page, seen, chosen, weight)
+    if parts:
+        comments = set().union(*(_comments(page, chosen, weight, part) for part in parts))
+        taken = [line for line in seen if not parts.isdisjoint(line.path) and comments.isdisjoint(line.path)]
     else:
         depth = {number: place for line in chosen for place, number in enumerate(line.path)}
         held_lines = Counter(number for line in seen for number in line.path)
