@@ -118,6 +118,31 @@ def test_no_article_of_a_page_is_lost():
     assert found(f"<article>{block(1)}</article><article><p>{menu}</p></article><article>{block(3)}</article>") == texts(one, third)
 
 
+def test_names_do_not_hide_the_article():
+    text, rest = prose(1, 60), prose(2, 20)
+    comments = f"<div id=comments class=comments-open><p>{prose(3, 30)}</p></div>"
+    head = f"<h1>Title</h1><p>{text}</p>"
+    want = f"Title\n\n{text}"
+    for page in (
+        f'<body class="post comments-open"><article>{head}</article>{comments}</body>',
+        f'<html class="no-comments discussion"><body id="reply"><main class="comments">{head}</main>{comments}</body></html>',
+        f'<body><article class="post comments-closed">{head}</article>{comments}</body>',
+        f'<body><article class="discussion">{head}</article>{comments}</body>',
+        f'<body><article class="with-sidebar widget">{head}</article>{comments}</body>',
+        f'<body><div class="discussion"><article>{head}{comments}</article></div></body>',
+        f'<body><div id="comments">{head}</div></body>',
+    ):
+        assert html_text.main_text(page) == want, page
+    for name in ("discussion", "search", "reply"):
+        body = f"<article>{head}<section id={name}><h2 id={name}>Part</h2><p>{rest}</p></section></article>{comments}"
+        assert html_text.main_text(f"<body>{body}</body>") == f"{want}\n\nPart\n\n{rest}"
+    spans = f"<article>{head}<h2 id=search>Search</h2><h2><span id=Discussion>Part</span></h2><p>{rest}</p></article>"
+    assert html_text.main_text(f"<body>{spans}</body>") == f"{want}\n\nSearch\n\nPart\n\n{rest}"
+    for mark in ("id=comments", 'class="discussion"', 'role="search"', 'id="related"'):
+        body = f"<article>{head}<section {mark}><h2>Part</h2><p>{rest}</p></section></article>{comments}"
+        assert html_text.main_text(f"<body>{body}</body>") == want
+
+
 def test_pages_without_an_article_element():
     body = "".join(f"<div>{prose(k, 30)}</div>" for k in range(6))
     menu = "<div>" + "".join(f"<a href={k}>Menu {k}</a> " for k in range(8)) + "</div>"

@@ -7,7 +7,9 @@ content. Content lines select a region: the page's articles, or its main element
 else the smallest element that holds most of their text. Only an article inside an article is a comment on it. What the region holds is the main text, except elements that say by their name, class, id or role that they are
 something else: navigation, headers and footers of the page, sidebars, notices, adverts, forms, comments. An element that
 says so but holds a heading or article and most of the page's text, such as a page-wide form or a wrapper named after its sidebar, is believed only
-about what is not in its content.
+about what is not in its content. One named after comments is doubted if it holds the page's heading, or is an article of most of
+the page's text, or if nothing else is left; a section of an article, known by its id only, that is named after what may be its
+subject is part of the article. Names of html, body, main and headings do not count.
 
 Pages are independent: one pass, no shuffle. Defined results: null, empty and text-free pages have an empty text; a
 page is never cut; repeated pages give repeated rows; other columns pass through.
@@ -66,6 +68,17 @@ _OUTSIDE = frozenset(("header", "masthead", "topbar"))
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+# Elements whose names say nothing about their text.
+_NAMELESS = frozenset("html body main h1 h2 h3 h4 h5 h6 hgroup".split())
+# Words of class names that tell a state, as in comments-open, or what an element has, as in with-sidebar.
+_STATES = frozenset("open opened closed enabled disabled allowed on off".split())
+_WITH = frozenset("has no with without".split())
+# Words that may be the subject of a section with this id.
+_SUBJECTS = frozenset(
+    "discussion respond reply replies notice notices notification alert menu menus navigation dialog search share sharing toolbar "
+    "pagination widget widgets form consent cookie cookies subscription sponsor banner disclaimer".split()
+)
+_SURE, _DOUBTED, _COMMENT, _SUBJECT = range(4)  # that an element is not the article
 _COMMENTS = frozenset("comment comments commentlist disqus reply replies discussion respond".split())
 
 
@@ -87,8 +100,9 @@ class _Page(HTMLParser):
         self.depth: dict[int, int] = {}  # article elements proper, with how many of these each lies in
         self.stack: list[tuple[str, int, bool]] = []  # name, number, whether its text makes no line
         self.names: dict[int, str] = {}
-        self.others: dict[int, bool] = {}  # elements that say they are not the article, and whether that may be doubted
+        self.others: dict[int, int] = {}  # elements that say they are not the article, and how sure that is
         self.heads: list[tuple[int, ...]] = []  # where headings and articles lie
+        self.title: tuple[int, ...] = ()  # where the page's heading lies
         self.count = 0
         self.tags = 0
         self.parts: list[str] = []
@@ -134,7 +148,8 @@ class _Page(HTMLParser):
             return
         self.count += 1
         inside = sum(number in self.articles for _, number, _ in self.stack)
-        doubt = _other(tag, attrs, inside > 0)
+        headed = any(name in _HEADINGS and name != "header" for name, _, _ in self.stack)
+        doubt = _other(tag, attrs, inside > 0, headed, any(number in self.depth for _, number, _ in self.stack))
         if doubt is not None:
             self.others[self.count] = doubt
         dropped = (bool(self.stack) and self.stack[-1][2]) or tag in _SILENT or (doubt is not None and tag not in _BLOCK)
@@ -147,6 +162,8 @@ class _Page(HTMLParser):
                 self.depth[self.count] = sum(number in self.depth for _, number, _ in self.stack)
         if tag == "h1" or self.count in self.articles:
             self.heads.append(tuple(number for _, number, _ in self.stack))
+        if tag == "h1" and not self.title and all(self.others.get(number) != _SURE for _, number, _ in self.stack):
+            self.title = tuple(number for _, number, _ in self.stack)
         self.names[self.count] = tag
         self.stack.append((tag, self.count, dropped))
 
@@ -175,32 +192,59 @@ class _Page(HTMLParser):
             for number in line.path:
                 weight[number] += len(line.text)
         whole = sum(len(line.text) for line in self.lines)
-        believed = {
-            number for number, doubt in self.others.items()
-            if not (doubt and 2 * weight[number] > whole and any(number in path for path in self.heads))
-        }
+        links: Counter[int] = Counter()
+        for line in self.lines:
+            for number in line.path:
+                links[number] += line.links
+
+        def believed(number: int, doubt: int) -> bool:
+            most = 2 * weight[number] > whole
+            if doubt != _SURE and self.depth.get(number) == 0 and (most or number in self.title):
+                return False
+            if doubt == _DOUBTED:
+                return not (most and any(number in path for path in self.heads))
+            if doubt == _COMMENT:
+                return number not in self.title
+            return doubt == _SURE or links[number] > LINKS * weight[number]
+
+        others = {number: doubt for number, doubt in self.others.items() if believed(number, doubt)}
+        if all(not others.keys().isdisjoint(line.path) for line in self.lines):
+            others = {number: doubt for number, doubt in others.items() if doubt != _COMMENT}
         for line in self.lines:
-            line.hidden = not believed.isdisjoint(line.path)
+            line.hidden = not others.keys().isdisjoint(line.path)
 
 
 def _words(attrs: list[tuple[str, str | None]], names: tuple[str, ...]) -> set[str]:
-    return {word.lower() for name, value in attrs if name in names and value for word in _WORDS.findall(value)}
-
-
-def _other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool | None:
-    """None for what may be part of the article; else whether a closer look at the content may overrule that."""
-    if tag in _UNSEEN or (tag == "header" and not in_article):
-        return tag == "form"
+    found: set[str] = set()
+    for name, value in attrs:
+        for token in (value or "").split() if name in names else ():
+            words = [word.lower() for word in _WORDS.findall(token)]
+            if words and words[0] not in _WITH:
+                found.update(set(words) - _COMMENTS if _STATES.intersection(words) else words)
+    return found
+
+
+def _other(tag: str, attrs: list[tuple[str, str | None]], inside: bool, headed: bool, in_article: bool) -> int | None:
+    """None for what may be part of the article; else how sure it is that it is not. ``inside``: an article or main element,
+    ``headed``: a heading, where ids are places to link to."""
+    if tag in _UNSEEN or (tag == "header" and not inside):
+        return _DOUBTED if tag == "form" else _SURE
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return False
+            return _SURE
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return False
-    found = _words(attrs, ("class", "id", "role")) if attrs else set()
+            return _SURE
+    if not attrs or tag in _NAMELESS or _kind(tag, attrs) == "main":
+        return None
+    said = _words(attrs, ("class", "role"))
+    found = said if headed else said | _words(attrs, ("id",))
+    marks = found & _OTHER
+    if in_article and marks and marks <= _SUBJECTS and not said & _OTHER and (tag == "section" or "section" in said):
+        return _SUBJECT
     if found & _COMMENTS:
-        return False
-    if found & _OTHER or (not in_article and found & _OUTSIDE):
-        return True
+        return _COMMENT
+    if marks or (not inside and found & _OUTSIDE):
+        return _DOUBTED
     return None
 
 
