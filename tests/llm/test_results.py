@@ -377,6 +377,32 @@ def test_benchmark_in_blocks_gives_the_same(spark, docs_of):
 # --- language model
 
 
+def test_classes_are_learnt_from_all_training_documents(docs_of, monkeypatch):
+    kinds = ["river stone water bridge", "loaf flour oven crust", "brass valve piston gauge"]
+    texts = [
+        (k, " ".join(kinds[k % 2 if k % 10 else 2].split()[(k * j + j * j) % 4] for j in range(30))) for k in range(1, 121)
+    ]
+    docs, held_out = docs_of([*texts, (None, "sail mast anchor"), (400, None), (401, "")]), F.lit(False)
+    monkeypatch.setattr(lattice_lm, "SAMPLE_DOCS", 6)
+    monkeypatch.setattr(lattice_lm, "CLASS_GAIN", -1.0, raising=False)
+    monkeypatch.setattr(lattice_lm, "CLASS_ROUNDS", 4, raising=False)
+    found = lattice_lm._classes(docs, held_out, 2)
+    counts = np.array([
+        np.bincount(lattice_lm._buckets(lattice_lm.words_of(text)), minlength=lattice_lm.BUCKETS)
+        for _, text in [*texts, (None, "sail mast anchor")]
+    ])
+    unseen = found[:, np.flatnonzero(counts.sum(0) == 0)].max()
+    assert (found[:, np.flatnonzero(counts.sum(0))].max(0) > unseen + 0.5).all()  # a word of any document counts
+    want = lattice_lm._start(lattice_lm._hashed(docs, held_out), 2)
+    for _ in range(4):
+        weight = counts @ want[:, :-1].T + want[:, -1]
+        share = np.exp(weight - np.logaddexp.reduce(weight, 1)[:, None])
+        words = share.T @ counts + 0.1
+        want = np.column_stack([np.log(words / words.sum(1, keepdims=True)), np.log((share.sum(0) + 1) / (len(counts) + 2))])
+    assert np.allclose(found, want)
+    assert np.isfinite(lattice_lm._classes(docs, F.lit(True), 2)).all()
+
+
 def test_word_marginals_are_sums_over_all_segmentations():
     pieces, logs = subwords.load(subwords.default_vocabulary())
     weight = dict(zip(pieces, np.exp(logs)))

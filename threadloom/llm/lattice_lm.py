@@ -6,8 +6,8 @@ the text's probability the sum over all paths. No piece spans a word's start, so
 forward recursion in log space gives each distinct word's marginal once, whatever number of texts it is in.
 
 One set of probabilities for all languages would choose the language anew at each piece. So there are CLASSES sets, and a text's
-probability is the sum over the classes as well. The classes are found by a mixture model over a bounded sample of training
-documents; then every training document counts for its likeliest class. The vocabulary's own order gives the first
+probability is the sum over the classes as well. The classes are a mixture model of all training documents, whose words are hashed
+once; a bounded sample only gives the points to start from. Then every training document counts for its likeliest class. The vocabulary's own order gives the first
 probabilities; the words of all training documents, with their counts, improve them by expectation-maximisation: forward and
 backward recursions give each piece's expected number of uses.
 
@@ -38,9 +38,12 @@ from threadloom.llm import common, subwords
 
 ROUNDS = 3
 CLASSES = 6
-#: Training documents that the classes are found on, and the hashed words that stand for a document there.
+#: Training documents that give the classes' starting points, and the hashed words that stand for a document.
 SAMPLE_DOCS = 1000
 BUCKETS = 4096
+#: Rounds over all training documents that the classes take at most, and the share of the likelihood that a further one must gain.
+CLASS_ROUNDS = 10
+CLASS_GAIN = 1e-5
 #: Most frequent words that every task holds (about 150 bytes each).
 HOT = 200_000
 #: Distinct words that a task counts before it passes them on.
@@ -253,23 +256,91 @@ def mixture(counts: np.ndarray, classes: int, starts: int = 8, rounds: int = 15)
     return found
 
 
-def _classes(docs: DataFrame, held_out: Column, classes: int) -> np.ndarray:
-    chosen = docs.where(~held_out & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    schema = pa.schema([("doc_id", pa.int64()), ("counts", pa.binary())])
+def _hashed(docs: DataFrame, held_out: Column) -> DataFrame:
+    """The buckets of each training document's words, two bytes each, with a mark to draw by; stored."""
+    schema = pa.schema([("mark", pa.int64()), ("buckets", pa.binary())])
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
+            found = [_buckets(words_of(text)).astype(np.uint16).tobytes() for text in batch.column("text").to_pylist()]
+            yield common.batch_of(schema, [batch.column("mark"), found])
+
+    mark = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
+    marked = docs.where(~held_out & F.col("text").isNotNull()).select(mark.alias("mark"), "text")
+    return common.stored(common.mapped(marked, hashed, "mark bigint, buckets binary").where(F.octet_length("buckets") > 0))
+
+
+def _start(hashed: DataFrame, classes: int) -> np.ndarray:
+    chosen = hashed.select("mark").distinct().orderBy("mark").limit(SAMPLE_DOCS).agg(F.max("mark").alias("mark")).first().mark
+    if chosen is None:
+        return mixture(np.zeros((0, BUCKETS)), classes)
+    schema = pa.schema([("mark", pa.int64()), ("counts", pa.binary())])
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "buckets"):
             counts = [
-                np.bincount(_buckets(words_of(text)), minlength=BUCKETS).astype(np.uint32).tobytes()
-                for text in batch.column("text").to_pylist()
+                np.bincount(np.frombuffer(raw, np.uint16), minlength=BUCKETS).astype(np.uint32).tobytes()
+                for raw in batch.column("buckets").to_pylist()
             ]
-            yield common.batch_of(schema, [batch.column("doc_id"), counts])
+            yield common.batch_of(schema, [batch.column("mark"), counts])
+
+    sample = common.mapped(hashed.where(F.col("mark") <= chosen), counted, "mark bigint, counts binary")
+    rows = sample.orderBy("mark", "counts").limit(SAMPLE_DOCS).toArrow()
+    return mixture(np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint32).reshape(-1, BUCKETS), classes)
+
+
+def _shares(model: np.ndarray, buckets: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's probabilities of the classes, and its log-likelihood; ``buckets`` are those of all documents' words."""
+    begins = np.cumsum(lengths) - lengths
+    weight = np.stack([np.add.reduceat(mine[buckets], begins) for mine in model], 1) + model[:, -1]
+    most = weight.max(1, keepdims=True)
+    share = np.exp(weight - most)
+    total = share.sum(1, keepdims=True)
+    return share / total, (most + np.log(total)).ravel()
 
-    sample = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-    rows = common.mapped(sample, hashed, "doc_id bigint, counts binary").orderBy("doc_id", "counts").limit(SAMPLE_DOCS)
-    counts = np.frombuffer(b"".join(rows.toArrow().column("counts").to_pylist()), np.uint32).reshape(-1, BUCKETS)
-    return mixture(counts, classes)
+
+def _classes(docs: DataFrame, held_out: Column, classes: int) -> np.ndarray:
+    """The mixture's log weights (see ``mixture``), by expectation-maximisation over all training documents."""
+    hashed = _hashed(docs, held_out)
+    model = _start(hashed, classes)
+    schema = pa.schema([("place", pa.int64()), ("uses", pa.float64())])
+    wide = BUCKETS + 1  # expected uses by bucket and, last, documents; after the last class the log-likelihood
+    before = -np.inf
+    for _ in range(CLASS_ROUNDS):
+        sent = docs.sparkSession.sparkContext.broadcast(model)
+
+        def uses(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            sums, whole = np.zeros((classes, wide)), 0.0
+            for batch in common.slices(batches, "buckets"):
+                raw = batch.column("buckets").to_pylist()
+                buckets = np.frombuffer(b"".join(raw), np.uint16).astype(np.intp)
+                lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
+                share, likelihood = _shares(sent.value, buckets, lengths)
+                whole += likelihood.sum()
+                sums[:, -1] += share.sum(0)
+                for k in range(classes):
+                    some = share[:, k] > 0
+                    if some.any():
+                        mine = buckets if some.all() else buckets[np.repeat(some, lengths)]
+                        sums[k, :-1] += np.bincount(mine, np.repeat(share[some, k], lengths[some]), BUCKETS)
+            found = np.append(sums.ravel(), whole)
+            some = np.flatnonzero(found)
+            yield common.batch_of(schema, [some, found[some]])
+
+        rows = common.mapped(hashed.select("buckets"), uses, "place bigint, uses double")
+        expected = np.zeros(classes * wide + 1)  # at most a number for each bucket and class
+        for row in rows.groupBy("place").agg(F.sum("uses").alias("uses")).collect():
+            expected[row.place] = row.uses
+        sent.unpersist()
+        likelihood, expected = expected[-1], expected[:-1].reshape(classes, wide)
+        if not expected.any():  # no training documents
+            break
+        words, members = expected[:, :-1] + 0.1, expected[:, -1]
+        model = np.column_stack([np.log(words / words.sum(1, keepdims=True)), np.log((members + 1) / (members.sum() + classes))])
+        if likelihood - before <= CLASS_GAIN * abs(likelihood):
+            break
+        before = likelihood
+    return model
 
 
 def _word_counts(docs: DataFrame, held_out: Column, classes: np.ndarray) -> DataFrame:
