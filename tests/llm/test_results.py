@@ -225,6 +225,18 @@ def test_ftrl_is_the_published_update():
         assert weights[i] == pytest.approx(w(i), abs=1e-12)
 
 
+def test_toxicity_link_does_not_depend_on_the_sample(docs_of, labels_of, monkeypatch):
+    docs = docs_of([(k, prose(k, 30) + (" vermin scoundrel" if k % 5 == 0 else "")) for k in range(200)])
+    labels = labels_of([(k, 1, int(k % 5 == 0)) for k in range(200)] + [(0, 1, 0), (5, 1, 1)])
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: np.zeros(x.shape[1] + 1))
+    held_out = F.col("doc_id") % 4 == 3
+    toxic, clean = (sum((k % 5 == 0) == kind for k in range(200) if k % 4 != 3) for kind in (True, False))
+    for rows, sampled in ((1000, clean / toxic), (60, 60 / toxic), (20, 1)):
+        field = toxicity.fit(docs, labels, held_out, fit_rows=rows)
+        # the odds in the sample times this factor are those among all labelled training documents
+        assert math.isclose(math.exp(field.link[0]), (toxic / clean) * sampled, rel_tol=1e-9)
+
+
 def test_toxicity_on_held_out_documents(docs_of, labels_of):
     def spoil(text, source):
         words = text.split()

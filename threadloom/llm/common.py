@@ -97,16 +97,21 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     )
 
 
+def known_labels(labels: DataFrame, label: str, held_out: Column) -> DataFrame:
+    """Labelled ids outside the held-out fold; a repeated id counts once, with its largest label."""
+    return (
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out)
+        .groupBy("doc_id")
+        .agg(F.max(label).cast("int").alias("label"))
+    )
+
+
 def sampled_labels(labels: DataFrame, label: str, held_out: Column, rows: int) -> DataFrame:
     """Per class, at most ``rows`` labelled ids outside the held-out fold, chosen by a hash of the id.
 
     A repeated id counts once, with its largest label. The result has at most 2 * rows rows, so it may be broadcast.
     """
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out)
-        .groupBy("doc_id")
-        .agg(F.max(label).cast("int").alias("label"))
-    )
+    known = known_labels(labels, label, held_out)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     return known.where("label = 0").orderBy(*order).limit(rows).unionByName(
         known.where("label = 1").orderBy(*order).limit(rows)

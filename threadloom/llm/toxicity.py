@@ -5,7 +5,8 @@ toxic than clean training documents than chance allows is toxic where it occurs
 labelled tokens train the field: hashed features of the word, its beginnings and its ending, and transitions between the
 two tags, by gradient steps on the log-likelihood with forward-backward expectations. For a document, forward-backward gives
 each token's marginal probability of being toxic; their sum and maximum give the document's score through a logistic link
-fitted on the training documents, and tokens of a marginal of at least a half give the offending offsets.
+fitted on the training documents, and tokens of a marginal of at least a half give the offending offsets. The link's intercept
+is corrected for the share of each class that was sampled, so that the threshold means the same at any number of labels.
 
 Only labelled training rows are sampled (``fit_rows`` a class, ``fit_windows`` windows a document); every text is scored as a
 whole, in one pass without a shuffle. Chains of any length run in blocks of 2 x 2 matrix products.
@@ -349,6 +350,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     rows = common.mapped(sample, summarise, ", ".join(f"{x} double" for x in names)).toArrow()
     x = np.array(sorted(zip(*(rows.column(name).to_pylist() for name in names)))).reshape(-1, len(names))
     field.link = _logistic(x[:, :-1], x[:, -1])
+    whole = {row.label: row["count"] for row in common.known_labels(labels, label, held_out).groupBy("label").count().collect()}
+    # each class is sampled at its own rate, which shifts the log odds of all documents alike
+    rate = [min(whole[k], fit_rows) / whole[k] for k in (0, 1)]
+    field.link[0] += np.log(rate[0] / rate[1])
     return field
 
 
