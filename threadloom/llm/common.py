@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 import zipfile
@@ -62,6 +63,21 @@ def mapped(df: DataFrame, function: Callable, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def in_task(spark: SparkSession, function: Callable, *given):
+    """What the function returns for the given values, worked out in a Python worker.
+
+    For small dense algebra: Spark holds a worker's matrix library to the cores of its task, while in the driver, next to the
+    virtual machine, its threads may wait for each other without end. Values and result must have a bounded size.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(function(*given))], pa.binary())], names=["result"])
+
+    return pickle.loads(mapped(spark.range(0, 1, 1, 1), run, "result binary").first()["result"])
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, or one made from it that no column has."""
     taken = {column.lower() for column in df.columns}

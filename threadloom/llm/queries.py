@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.llm import (
+    conversation_trie,
     decontamination,
+    embedding_whitening,
     html_text,
+    language_id,
     lattice_lm,
     near_duplicates,
     packing,
@@ -62,6 +65,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.report(table(spark, sf_dir, "conversations"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -75,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lattice_lm,
         op9_near_duplicates,
         op10_packing,
+        op11_embedding_whitening,
+        op12_conversation_trie,
+        op13_language_id,
     )
 }
 
@@ -83,4 +101,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": reference_sql.QUALITY_RULES,
     "op6_decontamination": reference_sql.DECONTAMINATION,
     "op9_near_duplicates": reference_sql.NEAR_DUPLICATES,
+    "op12_conversation_trie": reference_sql.CONVERSATION_TRIE,
 }

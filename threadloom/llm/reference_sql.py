@@ -90,3 +90,43 @@ WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM d
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM components LEFT JOIN sizes USING (doc_id)
 """
+
+CONVERSATION_TRIE = """
+WITH own AS (
+    SELECT conv_id,
+           list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns,
+           -- crc32 of the decimal id, byte by byte and bit by bit
+           xor(list_reduce(
+               list_prepend(4294967295, list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+                                                       lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+               lambda c, b: list_reduce(
+                   list_prepend(xor(c, b), range(8)),
+                   lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+           ), 4294967295) % 6 AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+members AS (
+    SELECT conv_id, d AS depth, turns[1:d] AS node, d = len(turns) AS ends
+    FROM rebuilt, unnest(range(0, len(turns) + 1)) AS t(d)
+),
+nodes AS (
+    SELECT node, depth, node[1:depth - 1] AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM members GROUP BY node, depth
+),
+children AS (SELECT parent, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+counted AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.parent = n.node),
+subtrees AS (
+    SELECT node[1:a] AS top, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+           sum(CASE WHEN depth > 0 THEN (n_convs - 1) * length(node[depth].text) ELSE 0 END) AS saved_tokens
+    FROM counted, unnest(range(0, depth + 1)) AS t(a) GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees s ON s.top = n.node LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.parent
+"""
