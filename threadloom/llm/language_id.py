@@ -66,7 +66,7 @@ def counts(text: str | None) -> np.ndarray | None:
     codes = np.where(letter, codes, 0)
     kept = codes[letter | np.concatenate([[True], letter[:-1]])]  # the first of each run of other characters
     kept = np.pad(kept, (int(kept[0] != 0), int(kept[-1] != 0))).astype(np.uint32)  # a boundary at both ends
-    found = np.zeros(_SIZE, np.int64)
+    found = None
     for at in range(0, len(kept), SLICE):
         part = kept[at : at + SLICE + ORDERS[-1] - 1]
         starts = min(SLICE, len(part))
@@ -77,7 +77,8 @@ def counts(text: str | None) -> np.ndarray | None:
                 break
             mixed = (rolled[:starts] ^ (rolled[:starts] >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * n)
             hashed.append((mixed ^ (mixed >> np.uint32(13))) >> np.uint32(32 - BITS))
-        found += np.bincount(np.concatenate(hashed), minlength=_SIZE)
+        part = np.bincount(np.concatenate(hashed), minlength=_SIZE)
+        found = part if found is None else found + part
     return found
 
 
