@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_id, clean_text, parse_time
 from threadloom.operators.scale import one_per_key
+from threadloom.schemas import POSITION
 
 _MESSAGE_COLUMNS = [
     "tweet_id",
@@ -57,9 +58,13 @@ def usable(typed: DataFrame) -> DataFrame:
 
 
 def sorted_out(raw: DataFrame) -> DataFrame:
-    """Every raw row typed, with ``reject_reason`` (null for messages) and, for the others, the raw row itself."""
-    kept = raw.withColumn("raw", F.struct(*raw.columns))
-    typed = normalise_types(kept, "raw")
+    """Every raw row typed, with ``reject_reason`` (null for messages) and, for the others, the raw row itself.
+
+    A column ``feed_position``, which says where the row stands in the feed, is kept.
+    """
+    also = [name for name in raw.columns if name == POSITION]
+    kept = raw.withColumn("raw", F.struct(*[name for name in raw.columns if name != POSITION]))
+    typed = normalise_types(kept, "raw", *also)
     reason = _reject_reason(F.col("tweet_id"), F.col("created_at"))
     return typed.withColumn("reject_reason", reason).withColumn("raw", F.when(F.col("reject_reason").isNotNull(), F.col("raw")))
 
@@ -78,19 +83,32 @@ def clean_texts(messages: DataFrame) -> DataFrame:
     return messages.withColumn("text", clean_text(F.col("text")))
 
 
-def drop_duplicates(messages: DataFrame, then=None) -> DataFrame:
-    """One row per message id: the earliest, ties broken by content. ``then`` prepares the texts on the way."""
+def drop_duplicates(messages: DataFrame, then=None, keep: str = "earliest") -> DataFrame:
+    """One row per message id. ``then`` prepares the texts on the way.
+
+    ``keep`` says which: the ``earliest``, ties broken by content, or the ``first`` in the order of the feed, which needs the
+    column ``feed_position``: files by name, within a file as they stand there.
+    """
+    if keep not in ("earliest", "first"):
+        raise ValueError(f"unknown choice {keep!r}")
     rest = ["created_at", "author_id", "inbound", "text", "response_tweet_id", "in_response_to_tweet_id"]
-    return one_per_key(messages, "tweet_id", rest, then=then).select(*_MESSAGE_COLUMNS)
+    if keep == "first":
+        rest.insert(0, POSITION)
+    return one_per_key(messages.select("tweet_id", *rest), "tweet_id", rest, then=then).select(*_MESSAGE_COLUMNS)
 
 
 def drop_empty(messages: DataFrame) -> DataFrame:
     return messages.where(F.length("text") > 0)
 
 
-def cleaned(typed: DataFrame) -> DataFrame:
+def cleaned(typed: DataFrame, keep: str = "earliest") -> DataFrame:
     """Typed messages with clean texts, one per id, without empty ones."""
-    return drop_duplicates(typed, clean_texts).transform(drop_empty)
+    return drop_duplicates(typed, clean_texts, keep).transform(drop_empty)
+
+
+def observed_figures() -> list[Column]:
+    """Figures of the cleaning report that a job observes on messages while it writes them."""
+    return [F.count(F.lit(1)).alias("clean_rows"), F.count_if(F.col("in_response_to_tweet_id") != "").alias("messages_with_parent")]
 
 
 def clean_messages(raw: DataFrame) -> DataFrame:

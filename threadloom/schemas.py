@@ -12,6 +12,9 @@ RAW_TEXT_COLUMNS = [
 
 RAW_CSV = ", ".join(f"{name} STRING" for name in RAW_TEXT_COLUMNS)
 
+#: Where a row stands in the feed: file, byte at which its range begins, number in the order of reading.
+POSITION = "feed_position"
+
 MESSAGES = (
     "tweet_id STRING, author_id STRING, inbound BOOLEAN, created_at TIMESTAMP, text STRING, "
     "response_tweet_id STRING, in_response_to_tweet_id STRING"

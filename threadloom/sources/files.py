@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators.analysis import upsert
 from threadloom.operators.recommend import export_history
-from threadloom.operators.scale import checkpointed
 from threadloom.operators.threads import BLOCK_MESSAGES, with_part
 from threadloom.schemas import RAW_CSV, RECOMMENDATION_COLUMNS
+from threadloom.sources import feed
+from threadloom.sources.store import Store
 
 RAW = "raw_messages"
 REJECTS = "raw_rejects"
@@ -21,79 +23,73 @@ RECOMMENDATIONS = "recommendations"
 RECOMMENDATION_REJECTS = "recommendation_rejects"
 
 
-def quoted_line_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted field of the feed goes over a line end: only then has a line an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
-
+def read_messages_csv(spark: SparkSession, path: str, multiline: bool | None = None, position: bool = False) -> DataFrame:
+    """Raw messages, all columns as text, read by many tasks per file; see ``feed.read_csv``."""
+    return feed.read_csv(spark, path, multiline, RAW_CSV, position)
 
-def read_messages_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
-    """Raw messages, all columns as text.
 
-    Where no quoted text goes over a line end, files are split and read by many tasks. That is looked up first, in one parallel pass over the lines,
-    unless ``multiline`` says it; a feed with such texts is read by one task per file, so deliver it as many files.
-    """
-    if multiline is None:
-        multiline = quoted_line_breaks(spark, path)
-    return (
-        spark.read.schema(RAW_CSV)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-
-
-def table_path(folder: str, name: str) -> str:
-    return f"{folder.rstrip('/')}/{name}"
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as last published."""
+    return Store(spark, folder).read(name)
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(folder, name))
+def write_table(df: DataFrame, folder: str, name: str, key: str | None = None) -> DataFrame:
+    """Replace a table and return it as stored; until it is complete, readers see the one before."""
+    store = Store(df.sparkSession, folder)
+    with store.transaction() as work:
+        work.write(name, df, key)
+    return store.read(name)
 
 
-def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Replace a table and return it as stored."""
-    df.write.mode("overwrite").parquet(table_path(folder, name))
-    return read_table(df.sparkSession, folder, name)
+def with_load_time(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("created_timestamp", F.current_timestamp())
 
 
 def store_messages(messages: DataFrame, folder: str) -> DataFrame:
     """The cleaned message table with its load time."""
-    return write_table(messages.withColumn("created_timestamp", F.current_timestamp()), folder, RAW)
+    return write_table(with_load_time(messages), folder, RAW)
 
 
-def store_grouped(grouped: DataFrame, folder: str, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
+def clustered(grouped: DataFrame, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
     """The grouped message table, rows of a conversation together and in order.
 
     Clustering by (conversation, part) bounds what one task writes. Readers profit: partial aggregates by conversation
     leave almost one row per conversation to shuffle.
     """
-    clustered = (
+    return (
         with_part(grouped, block_messages)
         .repartition("conversation_id", "part")
         .sortWithinPartitions("conversation_id", "sequence_number")
         .drop("part")
     )
-    return write_table(clustered, folder, GROUPED)
+
+
+def store_grouped(grouped: DataFrame, folder: str, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
+    return write_table(clustered(grouped, block_messages), folder, GROUPED)
 
 
 def upsert_analysis(records: DataFrame, folder: str) -> DataFrame:
-    """Insert or replace analysis rows by conversation id."""
-    spark = records.sparkSession
-    merged, _ = checkpointed(upsert(read_table(spark, folder, ANALYSIS), records))
-    return write_table(merged, folder, ANALYSIS)
+    """Insert or replace analysis rows by conversation id; only the buckets that hold them are written."""
+    store = Store(records.sparkSession, folder)
+    with store.transaction() as work:
+        work.upsert(ANALYSIS, records, "conversation_id")
+    return store.read(ANALYSIS)
 
 
 def clear_analysis(spark: SparkSession, folder: str, analysis: str, cohorts: str, members: str) -> None:
-    """Empty the analysis and cohort tables; the arguments are their schemas as DDL."""
-    for name, schema in ((ANALYSIS, analysis), (COHORTS, cohorts), (MEMBERS, members)):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(table_path(folder, name))
+    """Empty the analysis and cohort tables, all three at once; the arguments are their schemas as DDL."""
+    with Store(spark, folder).transaction() as work:
+        for name, schema in ((ANALYSIS, analysis), (COHORTS, cohorts), (MEMBERS, members)):
+            work.write(name, spark.createDataFrame([], schema))
 
 
 def store_cohorts(cohorts: DataFrame, members: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    return write_table(cohorts, folder, COHORTS), write_table(members, folder, MEMBERS)
+    """Both tables, published together."""
+    store = Store(cohorts.sparkSession, folder)
+    with store.transaction() as work:
+        work.write(COHORTS, cohorts)
+        work.write(MEMBERS, members)
+    return store.read(COHORTS), store.read(MEMBERS)
 
 
 def export_columns(recommendations: DataFrame) -> DataFrame:
@@ -107,17 +103,19 @@ def export_columns(recommendations: DataFrame) -> DataFrame:
 
 
 def write_recommendations_csv(recommendations: DataFrame, path: str) -> bool:
-    """All fields quoted, UTF-8, with header; nothing is written when there is nothing to write."""
+    """All fields quoted, UTF-8, with header; nothing is written when there is nothing to write.
+
+    An export that is there already is replaced when the new one is complete.
+    """
     if recommendations.isEmpty():
         return False
-    (
-        export_columns(recommendations)
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("quoteAll", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+    spark, fresh = recommendations.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    export_columns(recommendations).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(fresh)
+    made, place = (spark._jvm.org.apache.hadoop.fs.Path(name) for name in (fresh, path))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(place, True)
+    if not files.rename(made, place):
+        raise OSError(f"{fresh} could not be renamed to {path}")
     return True
 
 
