@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import scale, threads
+from threadloom.operators import scale, threads, transcripts
 
 
 def groups(roots):
@@ -149,3 +149,24 @@ def test_nothing_to_group(messages_of, rows):
     messages = messages_of(rows)
     assert threads.thread_roots(messages).count() == len(rows)
     assert threads.group_messages(messages).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+
+
+@pytest.mark.parametrize("build", [transcripts.transcripts, threads.nested_conversations])
+def test_a_hot_conversation_is_put_together_by_many_tasks(spark, grouped_of, build):
+    talk = {1: [(k % 2 == 0, f"m{k}") for k in range(900)]} | {c: [(True, "x"), (False, "y")] for c in range(2, 30)}
+    grouped = grouped_of(talk).repartition(6, "tweet_id")
+    built = build(grouped, block_messages=20)
+    # the messages' exchange is by conversation and block; only blocks meet by conversation
+    exchanges = [line for line in plan_of(built).splitlines() if "hashpartitioning(conversation_id" in line]
+    assert len(exchanges) == 2 and "part#" not in exchanges[0] and "part#" in exchanges[1]
+    rows = {row.conversation_id: row for row in built.collect()}
+    assert len(rows) == 29
+    if build is transcripts.transcripts:
+        names = ["CUSTOMER: c1", "AGENT: agent"]
+        assert rows[1].full_conversation == " | ".join(f"{names[k % 2]}: m{k}" for k in range(900)) and rows[1].message_count == 900
+    else:
+        assert [record.sequence_number for record in rows[1].messages] == list(range(900))

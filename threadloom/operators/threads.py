@@ -192,10 +192,10 @@ def with_part(grouped: DataFrame, part_messages: int) -> DataFrame:
 
 
 def nested_conversations(grouped: DataFrame, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
-    """Conversations as ordered arrays of message records, one row each."""
+    """Conversations as ordered arrays of message records, one row each; put together from blocks, as transcripts are."""
     record = F.struct("sequence_number", *[name for name in GROUPED_COLUMNS[1:] if name != "sequence_number"])
     blocks = (
-        with_part(grouped.repartition("conversation_id"), block_messages)
+        with_part(grouped, block_messages)
         .groupBy("conversation_id", "part")
         .agg(F.array_sort(F.collect_list(record)).alias("block"))
     )

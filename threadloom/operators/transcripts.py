@@ -50,10 +50,11 @@ def _blocks(grouped: DataFrame, messages: int) -> DataFrame:
 def transcripts(grouped: DataFrame, block_messages: int = BLOCK_MESSAGES) -> DataFrame:
     """Transcript, message count and time span, one row per conversation of any length.
 
-    Messages are shuffled once. Their lines are joined in blocks, and the blocks to the whole.
+    Messages are shuffled by conversation and block, so a conversation that holds most of them is joined by many tasks;
+    then the blocks' texts are joined to the whole.
     """
     return (
-        _blocks(grouped.repartition("conversation_id"), block_messages)
+        _blocks(grouped, block_messages)
         .groupBy("conversation_id")
         .agg(
             F.expr(f"listagg(full_conversation, '{SEPARATOR}') WITHIN GROUP (ORDER BY part)").alias("full_conversation"),
