@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -386,6 +387,46 @@ def test_benchmark_in_blocks_gives_the_same(spark, docs_of):
         assert sorted(row.doc_id for row in decontamination.clean(docs, benchmark, words).collect()) == clean
 
 
+def test_blocks_of_the_benchmark_do_not_change_results(spark, docs_of):
+    passages = [prose(seed, 40) for seed in range(60, 72)]
+    rows = [(None, f"start {passages[0]} end"), (7, f"start {passages[1]} end"), (7, prose(90, 50)), (None, prose(91, 50)),
+            (8, f"a {passages[2]} b"), (9, f"{passages[3]} {passages[4]}"), (9, f"{passages[3]} {passages[4]}"), (10, None)]
+    items = [(k, text) for k, text in enumerate(passages[:10])] + [(None, passages[10]), (None, passages[2])]
+    benchmark = spark.createDataFrame([(None if k is None else str(k), text) for k, text in items], "item_id STRING, text STRING")
+    docs = docs_of(rows + [(11, f"x {passages[10]}")])
+    whole = decontamination.report(docs, benchmark)
+    blocks = decontamination.report(docs, benchmark, block_words=120)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, blocks.collect()))
+    found = sorted((row.doc_id or 0, row.n_hit, row.n_items) for row in whole.collect())
+    assert found == [(0, 0, 0), (0, 40, 1), (7, 0, 0), (7, 40, 1), (8, 40, 1), (9, 80, 2), (9, 80, 2), (10, 0, 0), (11, 40, 0)]
+    for size in (120, 1_000_000):
+        left = decontamination.clean(docs, benchmark, block_words=size)
+        assert left.columns == docs.columns
+        assert sorted(str(row.text) for row in left.collect()) == sorted(map(str, (None, prose(90, 50), prose(91, 50))))
+
+
+def test_rows_of_one_id_are_dealt_to_many_shards(spark, docs_of, library, tmp_path):
+    texts = [prose(seed, 20) for seed in range(400)]
+    docs = docs_of([(5, text) for text in texts] + [(None, texts[0]), (6, "last")]).repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_store.write(docs, f"{tmp_path}/store")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    blocks = spark.read.parquet(f"{tmp_path}/store/blocks")
+    assert blocks.select("shard").distinct().count() > 2
+    rows = sorted(token_store.read(spark, f"{tmp_path}/store").collect(), key=lambda row: row.start)
+    assert [row.doc_id for row in rows] == [None] + [5] * 400 + [6]
+    assert sorted(bytes(row.ids) for row in rows[1:-1]) == sorted(exact_ids(library, text).tobytes() for text in texts)
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
+
+
+@pytest.mark.parametrize("text", ["word*** of,!! (in) a<b> É--Été! ÀÉ... x's don't,' «à» ß. ÿþ~ a`b` c}{ d|e| n°5 1,000.5%", "a.\u0338 e\u0301! Ù= <=\u0338"])
+def test_pieces_of_letters_and_symbols_are_encoded_as_the_library_does(library, text):
+    assert token_ids.Encoder(token_ids.default_vocabulary()).ids([text]) == [exact_ids(library, text).tobytes()]
+
+
+
 # --- language model
 
 
@@ -545,11 +586,29 @@ def test_plan_meets_the_demand(demand):
 
 
 def test_column_generation_is_optimal():
-    # sizes 10, 7 and 4 in 20: the best fractional solution uses every pattern fully
+    # sizes 10, 7 and 4 in 20: at prices 1/2, 2/5 and 1/5 no pattern is worth more than 1, so the best solution takes 110
     chosen = packing.column_generation({10: 100, 7: 100, 4: 100}, 20)
-    assert sum(amount for _, amount in chosen) == pytest.approx(100 / 2 + 105, rel=0.3)
-    bound = (10 * 100 + 7 * 100 + 4 * 100) / 20
-    assert bound <= sum(amount for _, amount in chosen) <= bound * 1.08
+    assert sum(amount for _, amount in chosen) == pytest.approx(110, rel=0.01)
+    for size in (10, 7, 4):
+        assert sum(dict(pattern).get(size, 0) * amount for pattern, amount in chosen) == pytest.approx(100)
+
+
+def test_a_plan_of_many_sizes_is_made_in_a_task(spark):
+    demand = {size: 1000 + 37 * size % 101 for size in range(1, 251)}
+    start = time.time()
+    chosen = common.in_task(spark, packing.plan, demand, 256)
+    assert time.time() - start < 60
+    met = collections.Counter()
+    for pattern, uses in chosen:
+        assert sum(size * copies for size, copies in pattern) <= 256
+        met.update({size: copies * uses for size, copies in pattern})
+    assert met == demand
+    assert sum(uses for _, uses in chosen) <= 1.01 * -(-sum(size * count for size, count in demand.items()) // 256)
+
+
+def test_copies_under_one_id_are_dealt_to_groups(docs_of, library):
+    packed = packing.pack(docs_of([(7, "the same short text")] * 700 + [(None, prose(1, 30))] * 5)).collect()
+    assert len(packed) == 705 and len({(row.sequence_id, row.offset) for row in packed}) == 705
 
 
 def test_pieces_hold_every_token_once(spark, documents, texts, library):
@@ -597,3 +656,59 @@ def test_pipeline_by_brute_force(spark, docs_of, labels_of, tmp_path, library):
     tokens = {k: len(exact_ids(library, text)) for k, text in rows}
     assert all(row.doc_tokens == tokens[row.doc_id] for row in found)
     assert sum(row.length for row in found) == sum(tokens[k] for k in range(120))
+
+
+def changed(text, every, mark):
+    words = text.split()
+    return " ".join(mark + word if k % every == 0 else word for k, word in enumerate(words))
+
+
+def test_texts_under_one_id_are_classes_of_their_own(spark, docs_of):
+    a, b, c = prose(201, 200), prose(202, 200), prose(203, 200)
+    near = b + " and a few more words"
+    docs = docs_of([(11, a), (11, b), (3, "something else entirely of its own"), (20, near), (5, c), (5, a + " x"), (30, ""), (30, "")])
+    found = sorted((row.doc_id, row.n_shingles > 5, row.component_id) for row in near_duplicates.report(docs).collect())
+    # the copy of b joins id 11, and so does a's copy under id 5, whose smallest id is 5
+    assert [x for x in found if x[0] == 20] == [(20, True, 11)]
+    assert sorted(x[2] for x in found if x[0] == 11) == [5, 11] and sorted(x[2] for x in found if x[0] == 5) == [5, 5]
+    left = near_duplicates.distinct_documents(docs)
+    assert left.columns == docs.columns
+    # of a and its copy the one under id 5 stays, of b and its copy b; c has no twin
+    assert sorted((row.doc_id, row.text) for row in left.collect()) == sorted(
+        [(5, a + " x"), (5, c), (11, b), (3, "something else entirely of its own"), (30, ""), (30, "")])
+
+
+def test_a_text_without_a_twin_stays_beside_a_copied_namesake(docs_of):
+    text = prose(210, 100)
+    docs = docs_of([(3, text), (5, text + " end"), (5, prose(211, 100)), (6, text), (6, text), (None, text), (8, prose(212, 90)), (8, prose(212, 90))])
+    left = sorted((row.doc_id or 0, row.text) for row in near_duplicates.distinct_documents(docs).collect())
+    assert left == sorted([(3, text), (5, prose(211, 100)), (0, text), (8, prose(212, 90))])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rare_shingles_find_every_pair_of_different_components(spark, seed):
+    pick = np.random.default_rng(seed)
+    template = pick.integers(1, 1 << 60, 60)
+    sets = []
+    for _ in range(70):  # near the threshold on both sides, of different sizes, some equal
+        kept = template[pick.random(60) < pick.choice([0.7, 0.85, 0.95])]
+        sets.append(np.unique(np.concatenate([kept, pick.integers(1, 1 << 60, int(pick.integers(0, 14)))])).astype(np.uint64))
+    rows = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sets)], "rep BIGINT, hashes BINARY")
+    components = pick.integers(0, 12, 70).tolist()
+    size = collections.Counter(components)
+    roots = spark.createDataFrame([(k, root, size[root]) for k, root in enumerate(components)], "rep BIGINT, root BIGINT, size BIGINT")
+    found = {(row.a, row.b) for row in near_duplicates.sharing(rows, roots).collect()}
+    links = {(y, x) for x in range(70) for y in range(x) if components[x] != components[y] and near_duplicates.similar(sets[x], sets[y])}
+    assert links and links <= found and all(components[a] != components[b] for a, b in found)
+
+
+def test_a_common_template_makes_no_pairs(spark):
+    pick = np.random.default_rng(5)
+    template = pick.integers(1, 1 << 60, 160)
+    made = {}
+    for n in (100, 400):
+        sets = [np.unique(np.concatenate([template, pick.integers(1, 1 << 60, 40)])).astype(np.uint64) for _ in range(n)]
+        rows = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sets)], "rep BIGINT, hashes BINARY")
+        roots = spark.createDataFrame([(k, k, 1) for k in range(n)], "rep BIGINT, root BIGINT, size BIGINT")
+        made[n] = near_duplicates.sharing(rows, roots).count()
+    assert made == {100: 0, 400: 0}

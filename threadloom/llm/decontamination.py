@@ -8,11 +8,11 @@ numbers are compared with the text. All searches of a batch of documents advance
 stretch of a document.
 
 Documents are not shuffled. The benchmark is sent to the tasks in blocks of at most ``block_words`` words, a proven bound;
-a larger benchmark takes several passes over the documents, whose hits are united per document.
+a larger benchmark takes several passes over the documents, whose hits are united by a number that each row is given and stored with.
 
 Defined results: null and empty texts have no words, hence no hits; null or empty items have no windows; items with the
-same id count once; an empty benchmark contaminates nothing; repeated documents are judged each on their own; documents
-must not share an id unless they share the text.
+same id count once; items without an id make hits like others, but are not named or counted among the items; an empty benchmark
+contaminates nothing; documents are judged each on their own, also if they have no id or share one.
 """
 
 from __future__ import annotations
@@ -99,9 +99,9 @@ class _Length:
 class Matcher:
     """Search tables for windows of the given items."""
 
-    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.numbers: dict[bytes, int] = {}
-        self.items: list[str] = []
+        self.items: list[str | None] = []
         windows: dict[tuple[int, ...], set[int]] = {}
         for number, (item, words) in enumerate(items):
             self.items.append(item)
@@ -138,7 +138,7 @@ class Matcher:
         total = np.concatenate([[0], np.cumsum(self.hit)])
         for row in range(len(texts)):
             low, high = bounds[row], bounds[row + 1]
-            yield high - low, int(total[high] - total[low]), sorted({self.items[x] for x in owners.get(row, ())})
+            yield high - low, int(total[high] - total[low]), sorted({self.items[x] for x in owners.get(row, ())} - {None})
 
     def spans(self, low: int, high: int) -> list[int]:
         """Of the last search, the hit words between two places, as alternating begins and ends."""
@@ -173,7 +173,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
                  "n": pa.array([r[2] for r in rows], pa.int64())}
             )
 
-    items = benchmark.select(F.col("item_id").cast("string"), "text").where("item_id is not null")
+    items = benchmark.select(F.col("item_id").cast("string"), "text")
     cut_up = common.stored(common.mapped(items, cut, "item string, words binary, n bigint"))
     n = -(-(cut_up.agg(F.sum("n")).first()[0] or 0) // block_words)
     if n <= 1:
@@ -206,13 +206,18 @@ def _annotated(docs: DataFrame, block: DataFrame | None, name: str) -> DataFrame
     return common.mapped(docs, run, docs.withColumn(name, F.lit(None).cast(kind)).schema)
 
 
-def _hits(docs: DataFrame, blocks: list[DataFrame]) -> DataFrame:
-    """Per id with hits in any block: the united spans and items."""
-    narrow = docs.select("doc_id", "text")
-    each = [_annotated(narrow, block, "found").where("found.n_hit > 0").select("doc_id", "found.*") for block in blocks]
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a number of their own, stored: every pass over them finds the same numbers."""
+    return common.stored(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
+def _hits(numbered: DataFrame, name: str, blocks: list[DataFrame]) -> DataFrame:
+    """Per number of a row with hits in any block: the united spans and items."""
+    narrow = numbered.select(F.col(name).alias("row"), "text")
+    each = [_annotated(narrow, block, "found").where("found.n_hit > 0").select("row", "found.*") for block in blocks]
     return (
         functools.reduce(DataFrame.unionByName, each)
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -228,12 +233,13 @@ def search(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
         return _annotated(narrow, blocks[0] if blocks else None, "found").select(
             "doc_id", "found.n_words", "found.n_hit", "found.items"
         )
+    numbered = _numbered(narrow, "row")
     places = "flatten(transform(sequence(0, size(spans) div 2 - 1), k -> sequence(spans[2 * k], spans[2 * k + 1] - 1)))"
-    united = _hits(narrow, blocks).select(
-        "doc_id", F.expr(f"cast(size(array_distinct({places})) as bigint)").alias("hit"), "items"
+    united = _hits(numbered, "row", blocks).select(
+        "row", F.expr(f"cast(size(array_distinct({places})) as bigint)").alias("hit"), "items"
     )
-    counted = _annotated(narrow, None, "found").select("doc_id", "found.n_words")
-    return counted.join(united, "doc_id", "left").select(
+    counted = _annotated(numbered, None, "found").select("row", "doc_id", "found.n_words")
+    return counted.join(united, "row", "left").select(
         "doc_id", "n_words", F.coalesce("hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
@@ -254,5 +260,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
         name = common.free_name(docs, "found")
         found = _annotated(docs, blocks[0] if blocks else None, name)
         return found.where(F.col(name)["n_hit"] == 0).select(*docs.columns)
-    hit = _hits(docs, blocks).select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    name = common.free_name(docs, "row")
+    numbered = _numbered(docs, name)
+    hit = _hits(numbered, name, blocks).select(F.col("row").alias(name))
+    return numbered.join(hit, name, "left_anti").select(*docs.columns)

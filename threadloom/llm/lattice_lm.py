@@ -27,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -65,13 +66,15 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Lattice:
-    """Recursions over words. ``logs`` are the pieces' natural-log probabilities."""
+    """Recursions over words, for several sets of probabilities side by side.
+
+    ``logs`` are the pieces' natural-log probabilities, a row for each set. What a word's arcs are does not depend on them.
+    """
 
     def __init__(self, pieces: list[bytes], logs: np.ndarray):
-        self.logs = np.append(logs, -np.inf)  # the last stands for 'no such piece'
+        self.logs = np.ascontiguousarray(np.atleast_2d(logs).T)  # [piece, set]
         self.longest = max(map(len, pieces))
         self.keys, self.numbers = np.zeros(1 << _BITS, np.uint64), np.full(1 << _BITS, len(pieces), np.int32)
-        self.probes = 1
         hashes = np.zeros(len(pieces), np.uint64)
         by_length: dict[int, list[int]] = {}
         for number, piece in enumerate(pieces):
@@ -87,13 +90,12 @@ class Lattice:
                 slot = (at + probe) & ((1 << _BITS) - 1)
                 if self.numbers[slot] == len(pieces):
                     self.keys[slot], self.numbers[slot] = value, number
-                    self.probes = max(self.probes, probe + 1)
                     break
 
     def with_logs(self, logs: np.ndarray) -> Lattice:
         """The same pieces with other probabilities."""
         other = copy.copy(self)
-        other.logs = np.append(logs, -np.inf)
+        other.logs = np.ascontiguousarray(np.atleast_2d(logs).T)
         return other
 
     @staticmethod
@@ -101,67 +103,105 @@ class Lattice:
         return ((hashes * _MIX) >> np.uint64(64 - _BITS)).astype(np.int64)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
-        slot = self._slot(hashes)
-        found = np.where(self.keys[slot] == hashes, self.numbers[slot], len(self.logs) - 1)
-        for probe in range(1, self.probes):
-            other = (slot + probe) & ((1 << _BITS) - 1)
-            found = np.where((found == len(self.logs) - 1) & (self.keys[other] == hashes), self.numbers[other], found)
+        """The pieces' numbers, or the number of pieces for what is none."""
+        none, slot = len(self.logs), self._slot(hashes)
+        found = self.numbers[slot]
+        pending = np.flatnonzero((found != none) & (self.keys[slot] != hashes))  # the slot is another's: look on
+        while len(pending):
+            slot[pending] = (slot[pending] + 1) & ((1 << _BITS) - 1)
+            found[pending] = self.numbers[slot[pending]]
+            pending = pending[(found[pending] != none) & (self.keys[slot[pending]] != hashes[pending])]
         return found
 
     def _arcs(self, words: list[bytes]):
-        """For words of ascending length: where each begins, and by length the piece that ends at each position."""
+        """For words of ascending length: their lengths, the place of each one's start, and by length of a piece the
+        places where such pieces end, the pieces, the words, and where those that end after t bytes begin in these arrays.
+
+        A word has a place before each byte and one after the last.
+        """
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        owner = np.repeat(np.arange(len(words)), lengths)
         begins = np.cumsum(lengths) - lengths
         raw = np.frombuffer(b"".join(subwords.START + word for word in words), np.uint8).astype(np.uint64) + np.uint64(1)
-        offset = np.arange(len(raw)) - np.repeat(begins, lengths)
+        offset = np.arange(len(raw)) - begins[owner]
         arcs, at, value = [], np.arange(len(raw)), np.zeros(len(raw) + 1, np.uint64)
-        for length in range(1, min(self.longest, int(lengths.max())) + 1):
+        steps = np.arange(int(lengths[-1]) + 2)
+        for length in range(1, min(self.longest, int(lengths[-1])) + 1):
             at = at[offset[at] >= length - 1]
             fresh = np.zeros(len(raw) + 1, np.uint64)
             fresh[at + 1] = value[at] * _BASE + raw[at]  # value[p] is the hash of length - 1 bytes that end before p
             value = fresh
-            arcs.append((at, self._find(value[at + 1])))
-        return lengths, begins, offset, arcs
-
-    def forward(self, words: list[bytes]):
-        """Log of the summed weight of all paths up to each position; position 0 of a word is its own start."""
-        lengths, begins, offset, arcs = self._arcs(words)
-        total = int(lengths.sum())
-        table = np.full((len(arcs), total), len(self.logs) - 1, np.int32)
-        for k, (at, found) in enumerate(arcs):
-            table[k, at] = found
-        alpha = np.empty(total + len(words))  # one more position a word than it has bytes
-        first = begins + np.arange(len(words))
-        alpha[first] = 0.0
-        if lengths[-1] > LONG_WORD:
-            for begin, start, length in zip(begins, first, lengths):
-                self._along(alpha[start : start + length + 1], table[:, begin : begin + length], 1)
-            return alpha, table, lengths, begins, first
-        for t in range(int(lengths[-1])):
-            low = int(np.searchsorted(lengths, t, side="right"))  # from here on, words have a byte at t
-            here, place = begins[low:] + t, first[low:] + t + 1
-            best = alpha[place - 1] + self.logs[table[0, here]]
-            for k in range(1, min(t + 1, len(arcs))):
-                piece = table[k, here]
-                some = np.flatnonzero(piece < len(self.logs) - 1)
-                if len(some):
-                    best[some] = np.logaddexp(best[some], alpha[place[some] - k - 1] + self.logs[piece[some]])
-            alpha[place] = best
-        return alpha, table, lengths, begins, first
+            piece = self._find(value[at + 1])
+            some = np.flatnonzero(piece < len(self.logs))
+            ends, piece = at[some], piece[some]
+            reach = offset[ends] + 1
+            if lengths[-1] <= LONG_WORD:
+                order = np.argsort(reach.astype(np.uint16), kind="stable")
+                ends, piece, reach = ends[order], piece[order], reach[order]
+                bounds = np.searchsorted(reach, steps)
+            else:
+                bounds = None
+            arcs.append((ends + owner[ends] + 1, piece, owner[ends], bounds))
+        return lengths, begins + np.arange(len(words)), arcs
+
+    def _sums(self, values: np.ndarray, arcs: list, lengths: np.ndarray, first: np.ndarray, t: int, step: int) -> None:
+        """Sets values at the places after t bytes of all words that go on from there (step -1), or reach there (step 1):
+        the log of the summed weight of the arcs that begin, or end, there."""
+        low = int(np.searchsorted(lengths, t, side="left" if step > 0 else "right"))
+        best = np.full((len(lengths) - low, values.shape[1]), -np.inf)
+        found = []
+        for k, (ends, piece, word, bounds) in enumerate(arcs):
+            last = t if step > 0 else t + k + 1  # bytes before the arcs' ends
+            if last < len(bounds) - 1 and bounds[last] < bounds[last + 1]:
+                some = slice(bounds[last], bounds[last + 1])
+                there = ends[some] - k - 1 if step > 0 else ends[some]
+                weight, mine = values[there] + self.logs[piece[some]], word[some] - low
+                best[mine] = np.maximum(best[mine], weight)
+                found.append((mine, weight))
+        most = np.where(best == -np.inf, 0.0, best)
+        total = np.zeros_like(best)
+        for mine, weight in found:
+            total[mine] += np.exp(weight - most[mine])
+        with np.errstate(divide="ignore"):
+            values[first[low:] + t] = most + np.log(total)
 
     def _along(self, values: np.ndarray, table: np.ndarray, step: int) -> None:
         """The recursion of one long word, by position; all lengths of a piece side by side. step -1: from the right."""
+        logs = np.concatenate([self.logs, np.full((1, self.logs.shape[1]), -np.inf)])
         length = table.shape[1]
         lengths = np.arange(len(table))
         for t in range(1, length + 1) if step > 0 else range(length - 1, -1, -1):
             if step > 0:
                 reach = lengths[: min(t, len(table))]
-                x = values[t - 1 - reach] + self.logs[table[reach, t - 1]]
+                x = values[t - 1 - reach] + logs[table[reach, t - 1]]
             else:
                 reach = lengths[: min(length - t, len(table))]
-                x = values[t + 1 + reach] + self.logs[table[reach, t + reach]]
-            most = x.max()
-            values[t] = most + np.log(np.exp(x - most).sum())
+                x = values[t + 1 + reach] + logs[table[reach, t + reach]]
+            most = x.max(0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                values[t] = np.where(most == -np.inf, -np.inf, most + np.log(np.exp(x - most).sum(0)))
+
+    def _tables(self, lengths: np.ndarray, first: np.ndarray, arcs: list) -> Iterator[tuple[int, np.ndarray]]:
+        """For long words: each one's start, and its pieces by length and end."""
+        for start, length in zip(first.tolist(), lengths.tolist()):
+            table = np.full((len(arcs), length), len(self.logs), np.int64)
+            for k, (ends, piece, _, _) in enumerate(arcs):
+                low, high = np.searchsorted(ends, [start, start + length + 1])
+                table[k, ends[low:high] - start - 1] = piece[low:high]
+            yield start, table
+
+    def forward(self, words: list[bytes]):
+        """Log of the summed weight of all paths up to each place [place, set]; a word's first place is its own start."""
+        lengths, first, arcs = self._arcs(words)
+        alpha = np.full((int(lengths.sum()) + len(words), self.logs.shape[1]), -np.inf)
+        alpha[first] = 0.0
+        if lengths[-1] > LONG_WORD:
+            for start, table in self._tables(lengths, first, arcs):
+                self._along(alpha[start : start + table.shape[1] + 1], table, 1)
+        else:
+            for t in range(1, int(lengths[-1]) + 1):
+                self._sums(alpha, arcs, lengths, first, t, 1)
+        return alpha, arcs, lengths, first
 
     def batches(self, words: list[bytes]) -> Iterator[np.ndarray]:
         """Numbers of words of like length, so many that a recursion handles them side by side."""
@@ -178,41 +218,32 @@ class Lattice:
             low = high
 
     def scores(self, words: list[bytes]) -> np.ndarray:
-        """Natural logs of the words' marginal probabilities."""
-        result = np.zeros(len(words))
+        """Natural logs of the words' marginal probabilities [word, set]."""
+        result = np.zeros((len(words), self.logs.shape[1]))
         for chosen in self.batches(words):
-            alpha, _, lengths, _, first = self.forward([words[k] for k in chosen])
+            alpha, _, lengths, first = self.forward([words[k] for k in chosen])
             result[chosen] = alpha[first + lengths]
         return result
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """By piece, the expected number of uses in words that occur so often."""
+        """By piece, the expected number of uses in words that occur so often, with the first set of probabilities."""
         uses = np.zeros(len(self.logs))
         for chosen in self.batches(words):
-            alpha, table, lengths, begins, first = self.forward([words[k] for k in chosen])
-            beta = np.full(len(alpha), -np.inf)
+            alpha, arcs, lengths, first = self.forward([words[k] for k in chosen])
+            beta = np.full_like(alpha, -np.inf)
             beta[first + lengths] = 0.0
             if lengths[-1] > LONG_WORD:
-                for begin, start, length in zip(begins, first, lengths):
-                    self._along(beta[start : start + length + 1], table[:, begin : begin + length], -1)
-            for t in [] if lengths[-1] > LONG_WORD else range(int(lengths[-1]) - 1, -1, -1):  # from position t + 1 back to where its pieces begin
-                low = int(np.searchsorted(lengths, t, side="right"))
-                here, place = begins[low:] + t, first[low:] + t + 1
-                for k in range(min(t + 1, len(table))):
-                    piece = table[k, here]
-                    some = np.flatnonzero(piece < len(self.logs) - 1)
-                    if len(some):
-                        back = place[some] - k - 1
-                        beta[back] = np.logaddexp(beta[back], beta[place[some]] + self.logs[piece[some]])
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            place = np.arange(len(owner)) + owner + 1
-            whole = alpha[first + lengths]
-            for k in range(len(table)):
-                some = np.flatnonzero(table[k] < len(self.logs) - 1)
-                mine = owner[some]
-                share = alpha[place[some] - k - 1] + self.logs[table[k, some]] + beta[place[some]] - whole[mine]
-                uses += np.bincount(table[k, some], np.exp(share) * counts[chosen][mine], len(self.logs))
-        return uses[:-1]
+                for start, table in self._tables(lengths, first, arcs):
+                    self._along(beta[start : start + table.shape[1] + 1], table, -1)
+            else:
+                for t in range(int(lengths[-1]) - 1, -1, -1):
+                    self._sums(beta, arcs, lengths, first, t, -1)
+            a, b, logs = alpha[:, 0], beta[:, 0], self.logs[:, 0]
+            whole = a[first + lengths]
+            for k, (ends, piece, mine, _) in enumerate(arcs):
+                share = a[ends - k - 1] + logs[piece] + b[ends] - whole[mine]
+                uses += np.bincount(piece, np.exp(share) * counts[chosen][mine], len(uses))
+        return uses
 
 
 def _buckets(words: list[bytes]) -> np.ndarray:
@@ -357,7 +388,7 @@ def _word_counts(docs: DataFrame, held_out: Column, classes: np.ndarray) -> Data
 
         def flush() -> pa.RecordBatch:
             words = list(other.union(*learnt))
-            columns = [words, *([mine[word] for word in words] for mine in learnt)]
+            columns = [words, *(list(map(mine.get, words, repeat(0))) for mine in learnt)]
             for mine in (*learnt, other):
                 mine.clear()
             return common.batch_of(schema, columns)
@@ -391,16 +422,15 @@ class Model:
     prior: np.ndarray
 
 
-_LATTICES: dict[str, list[Lattice]] = {}
+_LATTICES: dict[str, Lattice] = {}
 
 
-def _lattices(key: str, model: Model) -> list[Lattice]:
-    """Built once in a worker for a model."""
-    if key not in _LATTICES:
+def _lattice(model: Model) -> Lattice:
+    """The model's classes side by side. The pieces' table is built once in a worker."""
+    if model.path not in _LATTICES:
         _LATTICES.clear()
-        first = Lattice(subwords.load(model.path)[0], model.logs[0])
-        _LATTICES[key] = [first.with_logs(logs) for logs in model.logs]
-    return _LATTICES[key]
+        _LATTICES[model.path] = Lattice(subwords.load(model.path)[0], model.logs)
+    return _LATTICES[model.path].with_logs(model.logs)
 
 
 def fit(counts: DataFrame, documents: np.ndarray, path: str, rounds: int = ROUNDS) -> Model:
@@ -412,17 +442,18 @@ def fit(counts: DataFrame, documents: np.ndarray, path: str, rounds: int = ROUND
     model = Model(path, np.tile(logs, (n, 1)), np.zeros(n), np.log10((documents + 0.5) / (documents + 0.5).sum()))
     total = np.ones(n)
     for _ in range(rounds if documents.any() else 0):
-        key, sent = uuid.uuid4().hex, counts.sparkSession.sparkContext.broadcast(model)
+        sent = counts.sparkSession.sparkContext.broadcast(model)
 
-        def uses(batches: Iterable[pa.RecordBatch], key=key, sent=sent) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((n, len(pieces)))
+        def uses(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            sums, lattice = np.zeros((n, len(pieces))), _lattice(sent.value)
+            each = [lattice.with_logs(logs) for logs in sent.value.logs]  # most words are of one class only
             for batch in batches:
                 words = np.array(batch.column("word").to_pylist(), object)
                 for k in range(n):
                     times = batch.column(f"n_{k}").to_numpy()
                     some = np.flatnonzero(times)
                     if len(some):
-                        sums[k] += _lattices(key, sent.value)[k].expected(words[some].tolist(), times[some].astype(float))
+                        sums[k] += each[k].expected(words[some].tolist(), times[some].astype(float))
             some = np.flatnonzero(sums.ravel())
             yield common.batch_of(schema, [some, sums.ravel()[some]])
 
@@ -467,16 +498,16 @@ def scored(docs: DataFrame, held_out: Column, path: str | None = None, hot: int
     tokens, distinct = (whole.n or 0) + ends, (whole.v or 0) + (ends > 0)
     below = tokens + 0.5 * (distinct + 1)
     model = fit(counts, documents, path)
-    sent, key = context.broadcast(model), uuid.uuid4().hex
+    sent = context.broadcast(model)
     weights = [f"w_{k}" for k in range(classes)]
     rated_schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), *((name, pa.float64()) for name in weights)])
 
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = _lattice(sent.value)
         for batch in batches:
             if batch.num_rows:
-                words = batch.column("word").to_pylist()
-                found = [lattice.scores(words) / _LOG10 for lattice in _lattices(key, sent.value)]
-                yield common.batch_of(rated_schema, [batch.column("word"), batch.column("n"), *found])
+                found = lattice.scores(batch.column("word").to_pylist()) / _LOG10
+                yield common.batch_of(rated_schema, [batch.column("word"), batch.column("n"), *np.ascontiguousarray(found.T)])
 
     kinds = ", ".join(f"{name} double" for name in weights)
     narrow = counts.where(~is_end).select("word", c.alias("n"))
@@ -496,23 +527,29 @@ def scored(docs: DataFrame, held_out: Column, path: str | None = None, hot: int
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, times, scores = _hot(hot_key, held)
         base_of = np.log10((times + 0.5) / below)
-        part, row, rest = TaskContext.get().partitionId(), 0, (None,) * (3 + classes)
+        part, row = TaskContext.get().partitionId(), 0
         for batch in common.slices(batches):
             out: list[tuple] = []
+            names, words_left, counts_left = [], [], []
             for doc, mark, text in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "out", "text"))):
                 name = part.to_bytes(4, "big") + row.to_bytes(6, "big")
                 row += 1
                 words = words_of(text)
-                at = np.array([place.get(word, -1) for word in words], np.int64)
+                at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
                 known = at[at >= 0]
                 sums = (scores[:, known].sum(1) + sent.value.end).tolist()
                 base = float(base_of[known].sum()) + end_base
                 # this row's key is no word, so the join below gives it nothing
                 out.append((name, doc, mark, subwords.START + name, 1, len(words) + 1, len(known) + end_known, base, *sums))
                 if len(known) < len(words):
-                    cold = Counter(words[k] for k in np.flatnonzero(at < 0).tolist())
-                    out.extend((name, None, None, word, count, *rest) for word, count in cold.items())
+                    cold = Counter(compress(words, (at < 0).tolist()))
+                    names += [name] * len(cold)
+                    words_left += cold.keys()
+                    counts_left += cold.values()
             yield common.batch_of(schema, list(map(list, zip(*out))))
+            if names:  # the documents' other words, with nothing of the documents but their rows' names
+                known = {"row": names, "word": words_left, "times": counts_left}
+                yield common.batch_of(schema, [known.get(kind.name, pa.nulls(len(names), kind.type)) for kind in schema])
 
     texts = docs.select(F.col("doc_id").cast("bigint"), held_out.alias("out"), "text")
     rows = common.mapped(

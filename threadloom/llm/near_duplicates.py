@@ -1,20 +1,23 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-A document's set holds its distinct five-word shingles. Documents with equal sets form a class and go on as one. Every
-class has a signature, which is cut into TREES paths of DEPTH values; sorting the paths of a tree lexicographically puts
+A document's set holds its distinct five-word shingles. Documents with equal sets form a class and go on as one, under a
+number of its own, since an id may stand for several texts. Every class has a signature, which is cut into TREES paths of DEPTH values; sorting the paths of a tree lexicographically puts
 similar classes side by side. Where few classes share a path's first LEAST values, all of them are candidates for each other;
 where many do, the region is split one value deeper, again and again, and in any case neighbours in the order, whose common
 prefix is the longest, are candidates. Each sorted order is dealt out by ranges, so a large region spreads over tasks.
 
 Candidates whose signatures agree too little for the wanted similarity are dropped, the others are confirmed on full sets. Only pairs
 between different components matter, so confirmation runs in rounds: each component tries its most promising pairs, merged
-components drop the pairs between them, and the rounds end when no unconfirmed pair is left between components. Last, in each
-region that was split, every member outside the region's largest component is compared, on full sets and in blocks, with all
-members of other components. So all pairs that share LEAST values of a path take part, however large a region is; a pair at
-the threshold is in none of the trees with probability (1 - 0.75 ** 3) ** 16 = 0.00016, one of similarity 0.8 with 0.00001.
+components drop the pairs between them, and the rounds end when no unconfirmed pair is left between components. Last, the members of
+regions that were split and still hold several components are joined exactly, by their rarest shingles: two sets at the wanted similarity
+share one of the first quarter of the larger's shingles and the first seventh of the smaller's, in the order of how many members hold them.
+Shingles that one component alone holds cannot link two and come first, without being joined. So all pairs that share LEAST values of
+a path take part, however large a region is; a pair at the threshold is in none of the trees with probability
+(1 - 0.75 ** 3) ** 16 = 0.00016, one of similarity 0.8 with 0.00001.
 
 Defined results: texts without words are linked with nothing; fewer than five words are one shingle; rows with the same id and
-text are copies of each other; a row without an id is in no component and kept; empty tables give empty results.
+text are copies of each other, of the same id and other texts are classes apart; a row without an id is in no component and kept; empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -42,8 +45,8 @@ LEAF = 8
 NEIGHBOURS = 2
 #: Signatures of 96 values that agree in fewer belong to a pair of similarity 0.75 with probability below 0.00001.
 AGREE = 53
-#: Ids that are sent to all tasks at once (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Ids that are sent to all tasks at once (some 40 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Edges that one task unites on its own (some 30 MB).
 EDGES_PER_TASK = 100_000
 #: Rows of a sorted order in one task at least.
@@ -94,6 +97,10 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def fingerprint(found: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+
+
 def described(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, a fingerprint of the set and its signature (both null for the empty set), stored."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("sig", pa.binary())])
@@ -103,8 +110,7 @@ def described(docs: DataFrame) -> DataFrame:
             rows = []
             for text in batch.column("text").to_pylist():
                 found = shingles(text)
-                print_ = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-                rows.append((len(found), print_, signature(found) if len(found) else None))
+                rows.append((len(found), fingerprint(found), signature(found) if len(found) else None))
             yield common.batch_of(schema, [batch.column("doc_id"), *map(list, zip(*rows))])
 
     narrow = docs.select(F.col("doc_id").cast("bigint"), "text")
@@ -244,21 +250,25 @@ def _rated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return common.mapped(both, rate, "a bigint, b bigint, agree bigint")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """rep and its shingles for the given ids, stored."""
-    wanted = common.stored(ids.distinct())
+def _sets(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep and its shingles for the wanted classes, stored. ``ids`` has print, doc and rep of all classes.
+
+    A class is found by its smallest id and known by its fingerprint.
+    """
+    wanted = common.stored(ids.join(wanted.distinct(), "rep", "left_semi"))
+    known = wanted.select("doc").distinct()
     if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(wanted, "rep", "left_semi")
-    schema = pa.schema([("rep", pa.int64()), ("hashes", pa.binary())])
+        wanted, known = F.broadcast(wanted), F.broadcast(known)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text").join(known, "doc", "left_semi")
+    schema = pa.schema([("doc", pa.int64()), ("print", pa.binary()), ("hashes", pa.binary())])
 
     def hash_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            yield common.batch_of(
-                schema, [batch.column("rep"), [shingles(text).tobytes() for text in batch.column("text").to_pylist()]]
-            )
+            found = [shingles(text) for text in batch.column("text").to_pylist()]
+            yield common.batch_of(schema, [batch.column("doc"), list(map(fingerprint, found)), [mine.tobytes() for mine in found]])
 
-    return common.stored(common.mapped(texts, hash_all, "rep bigint, hashes binary").dropDuplicates(["rep"]), "none")
+    hashed = common.mapped(texts, hash_all, "doc bigint, print binary, hashes binary").join(wanted, ["doc", "print"])
+    return common.stored(hashed.select("rep", "hashes").dropDuplicates(["rep"]), "none")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -366,90 +376,95 @@ def _united(pairs: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         tries *= 8
 
 
-#: Members of a split region that one group compares: so many from outside the largest component, with so many of all.
-QUERIES, MEMBERS = 256, 1024
+def _tokens(sets: DataFrame) -> DataFrame:
+    """rep, n (shingles of its set) and each shingle."""
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("token", pa.int64())])
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, raw in zip(batch.column("rep").to_pylist(), batch.column("hashes").to_pylist()):
+                found = np.frombuffer(raw, np.int64)
+                for at in range(0, len(found), 65536):
+                    part = found[at : at + 65536]
+                    yield common.batch_of(schema, [np.full(len(part), rep), np.full(len(part), len(found)), part])
+
+    return common.mapped(sets, spread, "rep bigint, n bigint, token bigint")
 
 
-def linking(rep: np.ndarray, root: np.ndarray, asks: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links between rows that ask and the others that join their components: as many as join, not all there are.
+def sharing(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs (a < b) of sets of different components that can be similar enough, with the number of rare shingles found in both.
 
-    Exact: the shared shingles of a row with all others are counted at once, by marking its own among all.
+    Exact: of two sets similar enough, the larger one's first n - ceil(3n/4) + 1 shingles and the smaller one's first
+    m - ceil(6m/7) + 1 have one in common, in any one order of all shingles, and enough shingles follow the first of them
+    in both. ``roots`` names each rep's component and its size. Of a shingle's holders, those in the
+    largest component are compared with others only, not with each other.
     """
-    known, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.cumsum([len(x) for x in sets])
-    own = [codes[end - len(x) : end] for end, x in zip(ends, sets)]
-    others = np.flatnonzero(~asks)
-    if not len(others):
-        return []
-    sizes = np.array([len(own[k]) for k in others])
-    tokens, begins = np.concatenate([own[k] for k in others]), np.cumsum(sizes) - sizes
-    mark = np.zeros(len(known), bool)
-    parent: dict[int, int] = {}
-
-    def top(k: int) -> int:
-        while parent.get(k, k) != k:
-            parent[k] = k = parent.get(parent[k], parent[k])
-        return k
-
-    links = []
-    for k in np.flatnonzero(asks):
-        mark[own[k]] = True
-        both = np.add.reduceat(mark[tokens], begins, dtype=np.int64)
-        mark[own[k]] = False
-        near = 100 * both >= PERCENT * (len(own[k]) + sizes - both)
-        for other in others[np.flatnonzero(near & (root[others] != root[k]))]:
-            one, two = top(int(root[k])), top(int(root[other]))
-            if one != two:
-                parent[max(one, two)] = min(one, two)
-                links.append((int(rep[k]), int(rep[other])))
-    return links
+    tokens = _tokens(sets).join(roots, "rep")
+    held = tokens.groupBy("token").agg(
+        F.count("*").alias("holders"), F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("size", "root")).alias("top")
+    )
+    held = held.where("low != high").select("token", "holders", F.col("top.root").alias("top"))
+    shared = tokens.join(held, "token").select("rep", "n", "token", "root", "holders", (F.col("root") != F.col("top")).alias("asks"))
+    order = Window.partitionBy("rep").orderBy("holders", "token")
+    every = Window.partitionBy("rep")
+    place = F.col("n") - F.count("*").over(every) + F.row_number().over(order)  # the others come first
+    placed = shared.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+    placed = common.stored(placed.select("token", "rep", "root", "n", "place", "asks"))
+    index = placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1)
+    small = index.select("token", *[F.col(name).alias(f"{name}_b") for name in ("rep", "root", "n", "place", "asks")])
+    least = F.ceil((F.col("n") + F.col("n_b")) * PERCENT / (100 + PERCENT))  # shingles that a similar pair shares
+    can = (
+        (F.col("root") != F.col("root_b"))
+        & (F.col("n_b") <= F.col("n"))
+        & (F.col("n_b") * 100 >= F.col("n") * PERCENT)
+        & (F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1 >= least)
+    )
+    met = placed.where("asks").join(small, "token").where(can).unionByName(
+        placed.where("NOT asks").join(small.where("asks_b"), "token").where(can)
+    )
+    pair = [F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")]
+    return met.groupBy(*pair).agg(F.count("*").alias("agree"))
 
 
-def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links across components in split regions, as many as join them: a, b."""
-    key = ["tree", "region"]
+def _rest(docs: DataFrame, ids: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels after all links between members of split regions."""
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     named = common.stored(named)
-    sizes = named.groupBy(*key, "root").count()
-    per_region = sizes.groupBy(*key).agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.count("*").alias("roots"))
-    largest = sizes.join(per_region.where("roots > 1"), key).where("count = most").groupBy(*key, "n", "most").agg(F.min("root").alias("top"))
-    rows = common.stored(named.join(largest, key).withColumn("asks", F.col("root") != F.col("top")))
+    key = ["tree", "region"]
+    open_ = named.groupBy(*key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select(*key)
+    rows = common.stored(named.join(open_, key, "left_semi").select("rep", "root").distinct())
     if rows.isEmpty():
-        return docs.sparkSession.createDataFrame([], "a bigint, b bigint")
-    blocks = F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("bigint")
-    parts = F.ceil(F.col("n") / MEMBERS).cast("bigint")
-    dealt = rows.join(_sets(docs, rows.select("rep")), "rep").withColumn("blocks", blocks).withColumn("parts", parts)
-    block, part = F.pmod(F.xxhash64("rep"), F.col("blocks")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts"))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    shown = [*key, "rep", "root", "hashes"]
-    asking = dealt.where("asks").select(*shown, F.lit(True).alias("asks"), block.alias("block"), every("parts").alias("part"))
-    asked = dealt.select(*shown, F.lit(False).alias("asks"), part.alias("part"), every("blocks").alias("block"))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(x, np.uint64) for x in rows.hashes]
-        found = linking(rows.rep.to_numpy(), rows.root.to_numpy(), rows.asks.to_numpy(), sets)
-        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
-
-    return asking.unionByName(asked).groupBy(*key, "block", "part").applyInPandas(compare, "a bigint, b bigint").distinct()
+        return labels
+    sets = _sets(docs, ids, rows.select("rep"))
+    roots = rows.join(rows.groupBy("root").agg(F.count("*").alias("size")), "root").select("rep", "root", "size")
+    return _united(common.stored(sharing(sets, roots)), sets, labels)
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The described rows; and by print: component (the smallest id reachable), and the print of the text that stands for it."""
+    spark, rows = docs.sparkSession, described(docs)
+    ids = rows.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("doc"))
+    ids = common.stored(ids.withColumn("rep", F.monotonically_increasing_id()))
+    own = rows.select(F.col("doc_id").alias("doc"), "print", "n_shingles", "sig")
+    classes = common.stored(own.join(ids, ["print", "doc"]).dropDuplicates(["rep"]).select("rep", "n_shingles", "sig"))
+    pairs, members = _forest(classes, classes.count())
+    pairs, members = common.stored(_rated(pairs, classes)), common.stored(members)
+    sets = _sets(docs, ids, pairs.select(F.explode(F.array("a", "b")).alias("rep")))
+    labels = _united(pairs, sets, spark.createDataFrame([], "node bigint, root bigint"))
+    labels = _rest(docs, ids, members, labels)
+    inside = labels.select(F.col("node").alias("rep"), "root").unionByName(labels.select(F.col("root").alias("rep"), "root")).distinct()
+    first = ids.join(inside, "rep").groupBy("root").agg(F.min(F.struct("doc", "print")).alias("first"))
+    standing = inside.join(first, "root").select("rep", "first")
+    named = ids.join(standing, "rep", "left").select(
+        "print", F.coalesce("first.doc", "doc").alias("component"), F.coalesce("first.print", "print").alias("standing")
+    )
+    return rows.drop("sig"), named
 
 
 def labelled(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable over links)."""
-    rows = described(docs)
-    ids = rows.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"))
-    ids = common.stored(ids)
-    own = rows.select(F.col("doc_id").alias("rep"), "print", "n_shingles", "sig")
-    classes = common.stored(own.join(ids, ["rep", "print"]).dropDuplicates(["rep", "print"]))
-    pairs, members = _forest(classes, classes.count())
-    pairs, members = common.stored(_rated(pairs, classes)), common.stored(members)
-    every = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-    sets = _sets(docs, every)
-    labels = _united(pairs, sets, docs.sparkSession.createDataFrame([], "node bigint, root bigint"))
-    rest = common.stored(_rest(docs, members, labels))
-    if not rest.isEmpty():
-        labels = _merged(labels, _crossing(rest, labels))
-    named = ids.join(labels, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("component"))
-    return rows.drop("sig").join(named, "print", "left").select(
+    rows, named = _classes(docs)
+    return rows.join(named, "print", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     )
 
@@ -459,14 +474,37 @@ def report(docs: DataFrame) -> DataFrame:
     return labelled(docs).withColumn("kept", kept)
 
 
+def _with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            prints = [fingerprint(shingles(text)) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.binary())], names=[*batch.schema.names, name])
+
+    return common.mapped(docs, add, docs.withColumn(name, F.lit(None).cast("binary")).schema)
+
+
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id; rows that repeat an id are reduced to one."""
-    found = common.stored(labelled(docs))
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    known = found.where("doc_id is not null")
-    if not gone.isEmpty():
-        small = gone.count() <= BROADCAST_IDS
-        docs = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*docs.columns)
-    if known.count() > known.select("doc_id").distinct().count():
-        docs = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
-    return docs
+    """One document of each component stays: the one with the smallest id, of several texts or copies under that id one.
+
+    Texts without words and rows without an id stay. Most ids have one row, which goes or stays as a whole; only where
+    an id has several are their fingerprints taken again.
+    """
+    rows, named = _classes(docs)
+    stays = F.col("doc_id").isNull() | F.col("print").isNull() | ((F.col("doc_id") == F.col("component")) & (F.col("print") == F.col("standing")))
+    found = common.stored(rows.join(named, "print", "left").select("doc_id", "print", stays.alias("stays")))
+    by_id = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if("stays").alias("staying"))
+    decided = common.stored(by_id.where("rows > 1 or staying = 0"))
+
+    def of(condition: str) -> DataFrame:
+        some = decided.where(condition).select("doc_id")
+        return F.broadcast(some) if some.count() <= BROADCAST_IDS else some
+
+    kept = docs.join(of("true"), "doc_id", "left_anti").select(*docs.columns)
+    several = of("staying > 0")
+    if decided.where("staying > 0").isEmpty():
+        return kept
+    name = common.free_name(docs, "print")
+    texts = _with_fingerprint(docs.join(several, "doc_id", "left_semi").select(*docs.columns), name)
+    pairs = found.where("stays and print is not null").join(several, "doc_id", "left_semi").select("doc_id", F.col("print").alias(name)).distinct()
+    one = texts.join(pairs, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
+    return kept.unionByName(one.select(*docs.columns)).unionByName(texts.where(F.col(name).isNull()).select(*docs.columns))

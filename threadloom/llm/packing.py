@@ -154,19 +154,20 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUE
 def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENCE, unit: int = UNIT) -> DataFrame:
     """The pieces with sequence_id and offset."""
     spark = docs.sparkSession
-    cut = common.stored(pieces(docs, vocabulary, sequence).withColumn("size", F.ceil(F.col("length") / unit).cast("int")))
+    sized = pieces(docs, vocabulary, sequence).withColumn("size", F.ceil(F.col("length") / unit).cast("int"))
+    cut = common.stored(sized.withColumn("row", F.monotonically_increasing_id()))
     demand = {row["size"]: row["count"] for row in cut.groupBy("size").count().collect()}  # at most sequence / unit rows
-    table = places(plan(demand, sequence // unit))
+    table = places(common.in_task(spark, plan, demand, sequence // unit)) if demand else []
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = max(GROUP_ROWS[0], min(GROUP_ROWS[1], sum(demand.values()) // (2 * parts)))
     groups = [(size, -(-count // rows)) for size, count in sorted(demand.items())]
     salts = spark.createDataFrame(groups, "size int, salts bigint")
-    salted = cut.join(F.broadcast(salts), "size").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts")))
+    salted = cut.join(F.broadcast(salts), "size").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")))
     before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     counted = salted.groupBy("size", "salt").count().select(
         "size", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("earlier")
     )
-    within = Window.partitionBy("size", "salt").orderBy(F.desc("length"), "doc_id", "start")
+    within = Window.partitionBy("size", "salt").orderBy(F.desc("length"), "doc_id", "start", "row")
     ranked = salted.withColumn("place", F.row_number().over(within) - 1).join(counted, ["size", "salt"])
     ranked = ranked.withColumn("rank", F.col("place") + F.col("earlier"))
     where = spark.createDataFrame(

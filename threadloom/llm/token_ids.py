@@ -1,10 +1,10 @@
 """Token ids of whole texts by a public word-level BPE vocabulary.
 
 The tokenizer removes white space before it merges anything, so no token spans a blank or a line break; and a run of letters
-ends where a comma or full stop begins. Texts are therefore cut at blanks and line breaks, closing commas and full stops are cut off, the library
-encodes each distinct piece once, and a text's ids are put together from those of its pieces. Pieces of small Latin letters
-only, which the tokenizer's normalising and splitting leave as they are, go straight to the library's merges. A text that
-may hold a special token, which is found across any cut, is encoded by the library as a whole.
+ends where a symbol begins. Texts are therefore cut at blanks and line breaks, and each distinct piece is encoded once; a text's ids are put
+together from those of its pieces. Pieces of Latin letters, which the tokenizer only lowers, go straight to the library's
+merges; symbols that close such a piece are a piece of their own. All others are encoded by the library as they are. A text
+that may hold a special token, which is found across any cut, is encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,31 @@ from array import array
 END_ID = 2
 #: Pieces whose ids a worker remembers; twice as many for a short time.
 REMEMBERED = 250_000
-_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: Letters that lower to one small Latin letter each, then symbols (no apostrophe, which may begin an ending like 's).
+_PLAIN = re.compile("([a-zß-öø-ÿÀ-ÖØ-Þ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+
+
+class _Known(dict):
+    """Packed ids by piece; a piece that is not there yet is encoded, or taken from what was known before."""
+
+    def __init__(self, encoder: Encoder, before: dict[str, bytes]):
+        super().__init__()
+        self.before, self.letters = before, encoder.letters
+        self.merges, self.whole = encoder.merges.tokenize, encoder.whole
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.before.get(piece)
+        if found is None:
+            cut = _PLAIN(piece)
+            if cut is None:
+                found = self.whole([piece])[0]
+            elif cut[2]:
+                found = self[cut[1]] + self[cut[2]]
+            else:
+                small = piece if piece.isascii() else piece.lower().encode().decode("latin-1").translate(self.letters)
+                found = _packed([token.id for token in self.merges(small)])
+        self[piece] = found
+        return found
 
 
 class Encoder:
@@ -34,45 +58,21 @@ class Encoder:
         self.letters = str.maketrans({chr(byte): chr(256 + k) for k, byte in enumerate(hidden)})
         self.special = [str(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.hints = {token[:2] for token in self.special}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known = _Known(self, {})
         self.end = _packed([END_ID])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [_packed(found.ids) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, piece: str) -> bytes:
-        if not piece.isascii():
-            piece = piece.encode().decode("latin-1").translate(self.letters)
-        return _packed([token.id for token in self.merges.tokenize(piece)])
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Make sure that the ids of all pieces are remembered."""
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        fresh = pieces.difference(young)
-        if old:
-            young.update((piece, old[piece]) for piece in fresh if piece in old)
-            fresh = fresh.difference(young)
-        tailed = [piece for piece in fresh if piece[-1:] in _TAILS and _letter(piece[-2:-1])]
-        bare = fresh.difference(tailed)
-        bare.update(piece[:-1] for piece in tailed)
-        bare.update(piece[-1] for piece in tailed)
-        bare = bare.difference(young)
-        plain = [piece for piece in bare if _PLAIN(piece)]
-        young.update(zip(plain, map(self._plain, plain)))
-        other = list(bare.difference(plain))
-        young.update(zip(other, self.whole(other)))
-        young.update((piece, young[piece[:-1]] + young[piece[-1]]) for piece in tailed)
-
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        cut = [None if self._special(text) else _lower(text or "").replace("\n", " ").split(" ") for text in texts]
-        self._learn({piece for pieces in cut if pieces is not None for piece in pieces})
-        get = self.young.__getitem__
+        if len(self.known) > REMEMBERED:
+            self.known.before = {}
+            self.known = _Known(self, self.known)
+        known = self.known.__getitem__
         return [
-            (b"".join(map(get, pieces)) if pieces is not None else self.whole([text])[0]) + self.end
-            for text, pieces in zip(texts, cut)
+            (self.whole([text])[0] if self._special(text) else b"".join(map(known, _lower(text or "").replace("\n", " ").split(" "))))
+            + self.end
+            for text in texts
         ]
 
     def _special(self, text: str | None) -> bool:
@@ -80,13 +80,6 @@ class Encoder:
         return bool(text) and any(token in text for token in self.hints)
 
 
-_TAILS = {",", "."}
-
-
-def _letter(character: str) -> bool:
-    return "" < character < "\u0180" and character.isalpha()
-
-
 def _packed(ids: list[int]) -> bytes:
     found = array("I", ids)
     if sys.byteorder == "big":

@@ -27,10 +27,10 @@ from threadloom.llm import common, token_ids
 
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
-#: The dictionary's size, and the sample it is trained on: documents, and ids of each.
+#: The dictionary's size, and the sample it is trained on: whole documents, so many at most and of so many characters together.
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS = 1000
-SAMPLE_IDS = 4096
+SAMPLE_CHARS = 16 << 20
 #: A training set that is too small or too uniform has no dictionary.
 _LEAST_SAMPLES = 16
 #: Shards whose offsets are sent to all tasks (16 bytes each); more are joined by a shuffle.
@@ -53,15 +53,24 @@ def _narrow(ids: bytes, width: int) -> bytes:
 
 def train(docs: DataFrame, vocabulary: str, width: int) -> bytes:
     """The dictionary's content, empty if the documents are too few."""
-    chosen = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    known = docs.where("doc_id is not null and text is not null").orderBy(*order).limit(SAMPLE_DOCS)
+    marked = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), F.length("text").alias("chars"))
+    room, wanted = SAMPLE_CHARS, []
+    for row in marked.collect():  # ids and lengths only
+        if row.chars <= room:
+            room -= row.chars
+            wanted.append((row.doc_id, row.mark))
+    chosen = docs.sparkSession.createDataFrame(wanted, "doc_id bigint, mark bigint")
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def serialize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             found = token_ids.encoder(vocabulary).ids(batch.column("text").to_pylist())
-            yield common.batch_of(schema, [batch.column("doc_id"), [_narrow(ids[: 4 * SAMPLE_IDS], width) for ids in found]])
+            yield common.batch_of(schema, [batch.column("doc_id"), [_narrow(ids, width) for ids in found]])
 
-    sample = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn("mark", F.xxhash64("text"))
+    sample = texts.join(F.broadcast(chosen.distinct()), ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
     rows = common.mapped(sample, serialize, "doc_id bigint, ids binary").orderBy("doc_id", "ids").limit(SAMPLE_DOCS)
     samples = [ids for ids in rows.toArrow().column("ids").to_pylist() if len(ids) >= 64]
     if len(samples) < _LEAST_SAMPLES:
@@ -108,7 +117,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None) -> None:
             yield full()
 
     narrow = docs.select(F.col("doc_id").cast("bigint"), "text")
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    mark = F.xxhash64("text")
+    ordered = narrow.repartitionByRange("doc_id", mark).sortWithinPartitions("doc_id", mark)  # rows of one id may take several shards
     common.mapped(ordered, encode, _BLOCKS_SQL).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
