@@ -8,12 +8,12 @@ prefix is the longest, are candidates. Each sorted order is dealt out by ranges,
 
 Candidates whose signatures agree too little for the wanted similarity are dropped, the others are confirmed on full sets. Only pairs
 between different components matter, so confirmation runs in rounds: each component tries its most promising pairs, merged
-components drop the pairs between them, and the rounds end when no unconfirmed pair is left between components. Last, the members of
-regions that were split and still hold several components are joined exactly, by their rarest shingles: two sets at the wanted similarity
-share one of the first quarter of the larger's shingles and the first seventh of the smaller's, in the order of how many members hold them.
-Shingles that one component alone holds cannot link two and come first, without being joined. So all pairs that share LEAST values of
-a path take part, however large a region is; a pair at the threshold is in none of the trees with probability
-(1 - 0.75 ** 3) ** 16 = 0.00016, one of similarity 0.8 with 0.00001.
+components drop the pairs between them, and the rounds end when no unconfirmed pair is left between components. Last come the members of
+regions that were split and still hold several components. Two sets at the wanted similarity share one of the first quarter of the larger's
+shingles and the first seventh of the smaller's, in the order of how many members hold them; members that share none with another
+component leave, so a template that many texts have in common makes no work. Those that stay are compared on full sets, in blocks.
+So all pairs that share LEAST values of a path take part, however large a region is; a pair at the threshold is in none of the trees
+with probability (1 - 0.75 ** 3) ** 16 = 0.00016, one of similarity 0.8 with 0.00001.
 
 Defined results: texts without words are linked with nothing; fewer than five words are one shingle; rows with the same id and
 text are copies of each other, of the same id and other texts are classes apart; a row without an id is in no component and kept; empty
@@ -392,52 +392,103 @@ def _tokens(sets: DataFrame) -> DataFrame:
 
 
 def sharing(sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs (a < b) of sets of different components that can be similar enough, with the number of rare shingles found in both.
+    """The reps that may be similar to one of another component; all others certainly are not. No pairs are made.
 
-    Exact: of two sets similar enough, the larger one's first n - ceil(3n/4) + 1 shingles and the smaller one's first
-    m - ceil(6m/7) + 1 have one in common, in any one order of all shingles, and enough shingles follow the first of them
-    in both. ``roots`` names each rep's component and its size. Of a shingle's holders, those in the
-    largest component are compared with others only, not with each other.
+    Of two sets similar enough, the larger one's first n - ceil(3n/4) + 1 shingles and the smaller one's first
+    m - ceil(6m/7) + 1 have one in common, in any one order of all shingles. Here shingles that one component alone holds come
+    first, and the others by how many hold them. ``roots`` names each rep's component.
     """
     tokens = _tokens(sets).join(roots, "rep")
-    held = tokens.groupBy("token").agg(
-        F.count("*").alias("holders"), F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("size", "root")).alias("top")
-    )
-    held = held.where("low != high").select("token", "holders", F.col("top.root").alias("top"))
-    shared = tokens.join(held, "token").select("rep", "n", "token", "root", "holders", (F.col("root") != F.col("top")).alias("asks"))
-    order = Window.partitionBy("rep").orderBy("holders", "token")
-    every = Window.partitionBy("rep")
-    place = F.col("n") - F.count("*").over(every) + F.row_number().over(order)  # the others come first
+    extent = [F.min("root").alias("low"), F.max("root").alias("high")]
+    held = tokens.groupBy("token").agg(F.count("*").alias("holders"), *extent).where("low != high").select("token", "holders")
+    shared = tokens.join(held, "token")
+    order, every = Window.partitionBy("rep").orderBy("holders", "token"), Window.partitionBy("rep")
+    place = F.col("n") - F.count("*").over(every) + F.row_number().over(order)
     placed = shared.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-    placed = common.stored(placed.select("token", "rep", "root", "n", "place", "asks"))
-    index = placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1)
-    small = index.select("token", *[F.col(name).alias(f"{name}_b") for name in ("rep", "root", "n", "place", "asks")])
-    least = F.ceil((F.col("n") + F.col("n_b")) * PERCENT / (100 + PERCENT))  # shingles that a similar pair shares
-    can = (
-        (F.col("root") != F.col("root_b"))
-        & (F.col("n_b") <= F.col("n"))
-        & (F.col("n_b") * 100 >= F.col("n") * PERCENT)
-        & (F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1 >= least)
-    )
-    met = placed.where("asks").join(small, "token").where(can).unionByName(
-        placed.where("NOT asks").join(small.where("asks_b"), "token").where(can)
-    )
-    pair = [F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")]
-    return met.groupBy(*pair).agg(F.count("*").alias("agree"))
+    early = F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1
+    placed = common.stored(placed.select("token", "rep", "root", early.alias("early")))
+    met = placed.groupBy("token").agg(F.max("early").alias("early"), *extent).where("early and low != high").select("token")
+    return placed.join(met, "token", "left_semi").select("rep").distinct()
+
+
+#: Members of a split region that one group compares: so many from outside the largest component, with so many of all.
+QUERIES, MEMBERS = 256, 1024
+
+
+def linking(rep: np.ndarray, root: np.ndarray, asks: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between rows that ask and the others that join their components: as many as join, not all there are.
+
+    Exact: the shared shingles of a row with all others are counted at once, by marking its own among all.
+    """
+    known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum([len(x) for x in sets])
+    own = [codes[end - len(x) : end] for end, x in zip(ends, sets)]
+    others = np.flatnonzero(~asks)
+    if not len(others):
+        return []
+    sizes = np.array([len(own[k]) for k in others])
+    tokens, begins = np.concatenate([own[k] for k in others]), np.cumsum(sizes) - sizes
+    mark = np.zeros(len(known), bool)
+    parent: dict[int, int] = {}
+
+    def top(k: int) -> int:
+        while parent.get(k, k) != k:
+            parent[k] = k = parent.get(parent[k], parent[k])
+        return k
+
+    links = []
+    for k in np.flatnonzero(asks):
+        mark[own[k]] = True
+        both = np.add.reduceat(mark[tokens], begins, dtype=np.int64)
+        mark[own[k]] = False
+        near = 100 * both >= PERCENT * (len(own[k]) + sizes - both)
+        for other in others[np.flatnonzero(near & (root[others] != root[k]))]:
+            one, two = top(int(root[k])), top(int(root[other]))
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                links.append((int(rep[k]), int(rep[other])))
+    return links
 
 
 def _rest(docs: DataFrame, ids: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labels after all links between members of split regions."""
+    """The labels after all links between members of split regions.
+
+    Members that by their rare shingles cannot be similar to any outside their component leave first. The others are compared on
+    full sets, in blocks: those outside a region's largest component with all, and as many links come back as join components.
+    """
+    key = ["tree", "region"]
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     named = common.stored(named)
-    key = ["tree", "region"]
     open_ = named.groupBy(*key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select(*key)
-    rows = common.stored(named.join(open_, key, "left_semi").select("rep", "root").distinct())
+    named = common.stored(named.join(open_, key, "left_semi"))
+    if named.isEmpty():
+        return labels
+    roots = common.stored(named.select("rep", "root").distinct())
+    sets = _sets(docs, ids, roots.select("rep"))
+    near = common.stored(sharing(sets, roots))
+    named = common.stored(named.join(near, "rep", "left_semi"))
+    sizes = named.groupBy(*key, "root").count()
+    per_region = sizes.groupBy(*key).agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.count("*").alias("roots"))
+    largest = sizes.join(per_region.where("roots > 1"), key).where("count = most").groupBy(*key, "n", "most").agg(F.min("root").alias("top"))
+    rows = common.stored(named.join(largest, key).withColumn("asks", F.col("root") != F.col("top")))
     if rows.isEmpty():
         return labels
-    sets = _sets(docs, ids, rows.select("rep"))
-    roots = rows.join(rows.groupBy("root").agg(F.count("*").alias("size")), "root").select("rep", "root", "size")
-    return _united(common.stored(sharing(sets, roots)), sets, labels)
+    blocks = F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("bigint")
+    parts = F.ceil(F.col("n") / MEMBERS).cast("bigint")
+    dealt = rows.join(sets, "rep").withColumn("blocks", blocks).withColumn("parts", parts)
+    block, part = F.pmod(F.xxhash64("rep"), F.col("blocks")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    shown = [*key, "rep", "root", "hashes"]
+    asking = dealt.where("asks").select(*shown, F.lit(True).alias("asks"), block.alias("block"), every("parts").alias("part"))
+    asked = dealt.select(*shown, F.lit(False).alias("asks"), part.alias("part"), every("blocks").alias("block"))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        found = linking(rows.rep.to_numpy(), rows.root.to_numpy(), rows.asks.to_numpy(), [np.frombuffer(x, np.uint64) for x in rows.hashes])
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    links = asking.unionByName(asked).groupBy(*key, "block", "part").applyInPandas(compare, "a bigint, b bigint").distinct()
+    links = common.stored(links)
+    return labels if links.isEmpty() else _merged(labels, _crossing(links, labels))
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
