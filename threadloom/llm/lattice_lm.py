@@ -7,7 +7,7 @@ forward recursion in log space gives each distinct word's marginal once, whateve
 
 One set of probabilities for all languages would choose the language anew at each piece. So there are CLASSES sets, and a text's
 probability is the sum over the classes as well. The classes are a mixture model of all training documents, whose words are hashed
-once; a bounded sample only gives the points to start from. Then every training document counts for its likeliest class. The vocabulary's own order gives the first
+and counted once; a bounded sample only gives the points to start from. Then every training document counts for its likeliest class. The vocabulary's own order gives the first
 probabilities; the words of all training documents, with their counts, improve them by expectation-maximisation: forward and
 backward recursions give each piece's expected number of uses.
 
@@ -48,7 +48,7 @@ CLASS_GAIN = 1e-5
 #: Most frequent words that every task holds (about 150 bytes each).
 HOT = 200_000
 #: Distinct words that a task counts before it passes them on.
-COUNTED = 200_000
+COUNTED = 300_000
 #: Bytes of words that one recursion handles side by side.
 LATTICE_BYTES = 200_000
 #: Words of more bytes are handled one by one.
@@ -59,6 +59,10 @@ _BASE = np.uint64(1099511628211)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
 _LOG10 = float(np.log(10.0))
+#: Shares of a document in a class below this are lost in the rounding of the sums that they would join.
+_NEGLIGIBLE = 1e-18
+#: Words that a task gathers for one recursion.
+TOGETHER = 20_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -288,17 +292,19 @@ def mixture(counts: np.ndarray, classes: int, starts: int = 8, rounds: int = 15)
 
 
 def _hashed(docs: DataFrame, held_out: Column) -> DataFrame:
-    """The buckets of each training document's words, two bytes each, with a mark to draw by; stored."""
-    schema = pa.schema([("mark", pa.int64()), ("buckets", pa.binary())])
+    """The distinct buckets of each training document's words, two bytes each, how many words each has, and a mark to draw by; stored."""
+    schema = pa.schema([("mark", pa.int64()), ("buckets", pa.binary()), ("times", pa.binary())])
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            found = [_buckets(words_of(text)).astype(np.uint16).tobytes() for text in batch.column("text").to_pylist()]
-            yield common.batch_of(schema, [batch.column("mark"), found])
+            found = [np.bincount(_buckets(words_of(text)), minlength=BUCKETS) for text in batch.column("text").to_pylist()]
+            used = list(map(np.flatnonzero, found))
+            buckets = [some.astype(np.uint16).tobytes() for some in used]
+            yield common.batch_of(schema, [batch.column("mark"), buckets, [x[some].astype(np.uint32).tobytes() for x, some in zip(found, used)]])
 
     mark = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
     marked = docs.where(~held_out & F.col("text").isNotNull()).select(mark.alias("mark"), "text")
-    return common.stored(common.mapped(marked, hashed, "mark bigint, buckets binary").where(F.octet_length("buckets") > 0))
+    return common.stored(common.mapped(marked, hashed, "mark bigint, buckets binary, times binary").where(F.octet_length("buckets") > 0))
 
 
 def _start(hashed: DataFrame, classes: int) -> np.ndarray:
@@ -309,21 +315,21 @@ def _start(hashed: DataFrame, classes: int) -> np.ndarray:
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "buckets"):
-            counts = [
-                np.bincount(np.frombuffer(raw, np.uint16), minlength=BUCKETS).astype(np.uint32).tobytes()
-                for raw in batch.column("buckets").to_pylist()
-            ]
-            yield common.batch_of(schema, [batch.column("mark"), counts])
+            counts = np.zeros((batch.num_rows, BUCKETS), np.uint32)
+            for row, raw, times in zip(counts, batch.column("buckets").to_pylist(), batch.column("times").to_pylist()):
+                row[np.frombuffer(raw, np.uint16)] = np.frombuffer(times, np.uint32)
+            yield common.batch_of(schema, [batch.column("mark"), [row.tobytes() for row in counts]])
 
     sample = common.mapped(hashed.where(F.col("mark") <= chosen), counted, "mark bigint, counts binary")
     rows = sample.orderBy("mark", "counts").limit(SAMPLE_DOCS).toArrow()
     return mixture(np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint32).reshape(-1, BUCKETS), classes)
 
 
-def _shares(model: np.ndarray, buckets: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each document's probabilities of the classes, and its log-likelihood; ``buckets`` are those of all documents' words."""
+def _shares(model: np.ndarray, buckets: np.ndarray, times: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's probabilities of the classes, and its log-likelihood; ``buckets`` are those of all documents' words,
+    with so many words each, and a document has ``lengths`` of them."""
     begins = np.cumsum(lengths) - lengths
-    weight = np.stack([np.add.reduceat(mine[buckets], begins) for mine in model], 1) + model[:, -1]
+    weight = np.stack([np.add.reduceat(mine[buckets] * times, begins) for mine in model], 1) + model[:, -1]
     most = weight.max(1, keepdims=True)
     share = np.exp(weight - most)
     total = share.sum(1, keepdims=True)
@@ -346,19 +352,20 @@ def _classes(docs: DataFrame, held_out: Column, classes: int) -> np.ndarray:
                 raw = batch.column("buckets").to_pylist()
                 buckets = np.frombuffer(b"".join(raw), np.uint16).astype(np.intp)
                 lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
-                share, likelihood = _shares(sent.value, buckets, lengths)
+                times = np.frombuffer(b"".join(batch.column("times").to_pylist()), np.uint32).astype(float)
+                share, likelihood = _shares(sent.value, buckets, times, lengths)
                 whole += likelihood.sum()
                 sums[:, -1] += share.sum(0)
                 for k in range(classes):
-                    some = share[:, k] > 0
+                    some = share[:, k] > _NEGLIGIBLE
                     if some.any():
-                        mine = buckets if some.all() else buckets[np.repeat(some, lengths)]
-                        sums[k, :-1] += np.bincount(mine, np.repeat(share[some, k], lengths[some]), BUCKETS)
+                        mine = slice(None) if some.all() else np.repeat(some, lengths)
+                        sums[k, :-1] += np.bincount(buckets[mine], np.repeat(share[some, k], lengths[some]) * times[mine], BUCKETS)
             found = np.append(sums.ravel(), whole)
             some = np.flatnonzero(found)
             yield common.batch_of(schema, [some, found[some]])
 
-        rows = common.mapped(hashed.select("buckets"), uses, "place bigint, uses double")
+        rows = common.mapped(hashed.select("buckets", "times"), uses, "place bigint, uses double")
         expected = np.zeros(classes * wide + 1)  # at most a number for each bucket and class
         for row in rows.groupBy("place").agg(F.sum("uses").alias("uses")).collect():
             expected[row.place] = row.uses
@@ -383,7 +390,7 @@ def _word_counts(docs: DataFrame, held_out: Column, classes: np.ndarray) -> Data
     schema = pa.schema([("word", pa.binary()), *((f"n_{k}", pa.int64()) for k in range(n))])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learnt: list[Counter[bytes]] = [Counter() for _ in range(n)]
+        learnt: list[dict[bytes, int]] = [{} for _ in range(n)]
         other: set[bytes] = set()
 
         def flush() -> pa.RecordBatch:
@@ -394,14 +401,19 @@ def _word_counts(docs: DataFrame, held_out: Column, classes: np.ndarray) -> Data
             return common.batch_of(schema, columns)
 
         for batch in common.slices(batches):
+            fresh: list[list[bytes]] = [[] for _ in range(n)]
             for text, out in zip(batch.column("text").to_pylist(), batch.column("out").to_pylist()):
                 words = words_of(text)
                 if out:
                     other.update(words)
                 else:
-                    mine = learnt[int((classes[:, _buckets(words)].sum(1) + classes[:, -1]).argmax())]
-                    mine.update(words)
-                    mine[subwords.START] += 1
+                    mine = fresh[int((classes[:, _buckets(words)].sum(1) + classes[:, -1]).argmax())]
+                    mine += words
+                    mine.append(subwords.START)
+            for mine, words in zip(learnt, fresh):  # counted by themselves first: a small table is near at hand
+                get = mine.get
+                for word, count in Counter(words).items():
+                    mine[word] = get(word, 0) + count
             if sum(map(len, learnt)) + len(other) > COUNTED:
                 yield flush()
         yield flush()
@@ -447,13 +459,25 @@ def fit(counts: DataFrame, documents: np.ndarray, path: str, rounds: int = ROUND
         def uses(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             sums, lattice = np.zeros((n, len(pieces))), _lattice(sent.value)
             each = [lattice.with_logs(logs) for logs in sent.value.logs]  # most words are of one class only
+            held: list[tuple[list[bytes], list[np.ndarray]]] = [([], []) for _ in range(n)]
+
+            def add(k: int) -> None:
+                words, times = held[k]
+                if words:
+                    sums[k] += each[k].expected(words, np.concatenate(times).astype(float))
+                held[k] = ([], [])
+
             for batch in batches:
                 words = np.array(batch.column("word").to_pylist(), object)
                 for k in range(n):
                     times = batch.column(f"n_{k}").to_numpy()
                     some = np.flatnonzero(times)
-                    if len(some):
-                        sums[k] += each[k].expected(words[some].tolist(), times[some].astype(float))
+                    held[k][0].extend(words[some].tolist())
+                    held[k][1].append(times[some])
+                    if len(held[k][0]) >= TOGETHER:
+                        add(k)
+            for k in range(n):
+                add(k)
             some = np.flatnonzero(sums.ravel())
             yield common.batch_of(schema, [some, sums.ravel()[some]])
 
@@ -534,18 +558,20 @@ def scored(docs: DataFrame, held_out: Column, path: str | None = None, hot: int
             for doc, mark, text in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "out", "text"))):
                 name = part.to_bytes(4, "big") + row.to_bytes(6, "big")
                 row += 1
-                words = words_of(text)
+                words = Counter(words_of(text))
+                uses = np.fromiter(words.values(), np.int64, len(words))
                 at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
-                known = at[at >= 0]
-                sums = (scores[:, known].sum(1) + sent.value.end).tolist()
-                base = float(base_of[known].sum()) + end_base
+                hot = at >= 0
+                known, often = at[hot], uses[hot]
+                sums = (scores[:, known] @ often + sent.value.end).tolist()
+                base = float(base_of[known] @ often) + end_base
                 # this row's key is no word, so the join below gives it nothing
-                out.append((name, doc, mark, subwords.START + name, 1, len(words) + 1, len(known) + end_known, base, *sums))
+                out.append((name, doc, mark, subwords.START + name, 1, int(uses.sum()) + 1, int(often.sum()) + end_known, base, *sums))
                 if len(known) < len(words):
-                    cold = Counter(compress(words, (at < 0).tolist()))
-                    names += [name] * len(cold)
-                    words_left += cold.keys()
-                    counts_left += cold.values()
+                    cold = (~hot).tolist()
+                    words_left += compress(words, cold)
+                    counts_left += compress(words.values(), cold)
+                    names += [name] * (len(words) - len(known))
             yield common.batch_of(schema, list(map(list, zip(*out))))
             if names:  # the documents' other words, with nothing of the documents but their rows' names
                 known = {"row": names, "word": words_left, "times": counts_left}

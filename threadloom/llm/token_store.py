@@ -53,9 +53,10 @@ def _narrow(ids: bytes, width: int) -> bytes:
 
 def train(docs: DataFrame, vocabulary: str, width: int) -> bytes:
     """The dictionary's content, empty if the documents are too few."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    known = docs.where("doc_id is not null and text is not null").orderBy(*order).limit(SAMPLE_DOCS)
-    marked = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), F.length("text").alias("chars"))
+    marked = docs.where("doc_id is not null and text is not null").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), F.length("text").alias("chars")
+    )
+    marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(SAMPLE_DOCS)
     room, wanted = SAMPLE_CHARS, []
     for row in marked.collect():  # ids and lengths only
         if row.chars <= room:
