@@ -189,6 +189,21 @@ def test_quality_on_held_out_documents(docs_of, labels_of):
     assert np.mean([row.predicted == truth[row.doc_id] for row in scored if row.held_out]) > 0.97
 
 
+def test_quality_learns_phrases(docs_of, labels_of):
+    """Both classes hold the same words equally often; only their order tells them apart."""
+    source, rows = random.Random(7), []
+    for k in range(400):
+        pairs = [("river", "stone"), ("market", "window"), ("garden", "letter")]
+        bad = k % 3 == 0
+        rows.append((k, " ".join(f"{b} {a}" if bad else f"{a} {b}" for a, b in source.choices(pairs, k=20)), bad))
+    scored = quality_classifier.report(
+        docs_of([row[:2] for row in rows]), labels_of([(k, 1 - int(bad), 0) for k, _, bad in rows])
+    ).collect()
+    assert all(row.predicted == 1 - int(rows[row.doc_id][2]) for row in scored if row.held_out)
+    with_order = quality_classifier.grams("a b c")[0], quality_classifier.grams("c b a")[0]
+    assert len(with_order[0]) == 1 + 3 + 2 + 1 + 3 and sorted(with_order[0]) != sorted(with_order[1])
+
+
 def test_labels_of_held_out_documents_are_never_learnt(docs_of, labels_of):
     rows = labelled_rows(2, 200, lambda text, source: text + " #### ####" * 5)
     docs = docs_of([row[:2] for row in rows])

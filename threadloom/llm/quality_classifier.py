@@ -1,8 +1,8 @@
 """Quality scores by logistic regression on hashed word n-grams, trained with follow-the-regularised-leader updates.
 
 Two views of the word sequence are cut into n-grams of one to three words and hashed into one table: the words themselves
-(single words only), and the words' shapes, that is capitals, digits, symbols, closing marks, and whether a word equals the one
-before or occurred in the text before. A view's n-grams weigh together one, each by the root of its share, so
+in lower case, and the words' shapes, that is capitals, digits, symbols, closing marks, and whether a word equals the one
+before or occurred in the text before. The n-grams of one length in a view weigh together one, each by the root of its share, so
 long and short texts are comparable. The proximal FTRL rule updates the few weights that a document touches, one
 document after the other, in an order that a hash fixes; L1 regularisation leaves most weights zero. A score is the
 logistic of a sparse dot product, computed for whole batches; texts are read once and not shuffled.
@@ -31,6 +31,7 @@ ROUNDS = 3
 THRESHOLD = 0.5
 _SIZE = 1 << BITS
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PHRASE = np.uint64(0xBF58476D1CE4E5B9)
 _SYMBOLS = b"#*$%&|<>@^~=+_\\{}[]"
 _CLOSING = b".,;:!?"
 _DIGITS = b"0123456789"
@@ -77,12 +78,15 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     seen[1:][hashes[1:] == hashes[:-1]] = 2
     begins = np.flatnonzero(fresh)
     views = [(ranked[begins] + np.uint64(1 << 40), np.diff(np.append(begins, len(words))))]
-    gram = shapes = shapes * np.uint64(3) + seen
+    phrase, gram = hashes, shapes * np.uint64(3) + seen
+    shapes = gram
     for n in (1, 2, 3):
         if n > 1:
             if len(words) < n:
                 break
+            phrase = phrase[:-1] * _PHRASE + hashes[n - 1 :]
             gram = gram[:-1] * np.uint64(1009) + shapes[n - 1 :]
+            views.append(np.unique(phrase + np.uint64(n << 40), return_counts=True))
         views.append(np.unique(gram + np.uint64(n << 44), return_counts=True))
     numbers, values = [np.zeros(1, np.int64)], [np.ones(1)]  # number 0 is the intercept
     for codes, counts in views:
