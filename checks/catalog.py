@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapter
-from checks.sql import AS_OF, clean_id, clean_text, clock, logistic, naive_bayes, optimised, turns, upto
+from checks.sql import AS_OF, clean_id, clean_text, clock, logistic, naive_bayes, optimised, turns, upto, valences
 from threadloom.functions import sentiment, text
 from threadloom.operators import (
     analysis,
@@ -1040,11 +1040,43 @@ def n7_behaviour_classifier(spark, sf_dir):
     ),
 )
 def n8_turn_valence(spark, sf_dir):
-    customer = F.when(F.col("is_customer"), F.lower("message_text")).otherwise(F.lit(""))
+    customer = F.when(F.col("is_customer"), F.col("message_text"))
+    turns = staged(spark, sf_dir).turns.withColumn("customer", customer)
     return (
-        staged(spark, sf_dir)
-        .turns.withColumn("words", sentiment.tokens(customer))
-        .withColumn("valence", sentiment.valence_sum(F.col("words")))
+        sentiment.with_valence(turns, "customer")
+        .groupBy("conversation_id")
+        .agg(F.round(F.sum("valence"), 4).alias("valence"))
+    )
+
+
+# N8 with emphasis of every kind; which kind a message has is told by its place.
+@query(
+    "n8_emphasis",
+    upto(
+        "grouped",
+        """SELECT conversation_id, round(sum(coalesce(valence, 0)), 4) AS valence FROM (SELECT DISTINCT conversation_id
+    FROM grouped) LEFT JOIN valued USING (conversation_id) GROUP BY conversation_id""",
+        """loud AS (SELECT conversation_id, sequence_number, is_customer,
+    CASE (conversation_id + sequence_number) % 6 WHEN 0 THEN upper(message_text)
+        WHEN 1 THEN message_text || ' but ' || upper(message_text) WHEN 2 THEN message_text || ' not VERY good!!!!!'
+        WHEN 3 THEN 'Yeah right :( so Bad?? ' || message_text WHEN 4 THEN '???? awful \U0001f621 ' || message_text
+        ELSE message_text END AS message_text FROM grouped)""",
+        valences("loud"),
+    ),
+)
+def n8_emphasis(spark, sf_dir):
+    said, kind = F.col("message_text"), (F.col("conversation_id") + F.col("sequence_number")) % 6
+    loud = (
+        F.when(kind == 0, F.upper(said))
+        .when(kind == 1, F.concat(said, F.lit(" but "), F.upper(said)))
+        .when(kind == 2, F.concat(said, F.lit(" not VERY good!!!!!")))
+        .when(kind == 3, F.concat(F.lit("Yeah right :( so Bad?? "), said))
+        .when(kind == 4, F.concat(F.lit("???? awful \U0001f621 "), said))
+        .otherwise(said)
+    )
+    messages = staged(spark, sf_dir).grouped.withColumn("customer", F.when(F.col("is_customer"), loud))
+    return (
+        sentiment.with_valence(messages, "customer")
         .groupBy("conversation_id")
         .agg(F.round(F.sum("valence"), 4).alias("valence"))
     )

@@ -115,24 +115,37 @@ def _values(mapping) -> str:
     return ", ".join(f"({text(word)}, CAST({value} AS DOUBLE))" for word, value in mapping.items())
 
 
-def _valence_ctes(source: str) -> str:
-    """Word valences of the customer messages in ``source`` by joins and lags over word positions."""
+def valences(source: str) -> str:
+    """Valences of the customer messages in ``source`` by joins and lags over word positions."""
     return f"""
-spoken AS (SELECT conversation_id, sequence_number,
-    regexp_extract_all(lower(message_text), '[\\p{{L}}'']+') AS words FROM {source} WHERE is_customer),
-placed AS (SELECT conversation_id, sequence_number, unnest(words) AS word, generate_subscripts(words, 1) AS nth
-    FROM spoken),
-around AS (SELECT *, lag(word, 1) OVER w AS w1, lag(word, 2) OVER w AS w2, lag(word, 3) OVER w AS w3
-    FROM placed WINDOW w AS (PARTITION BY conversation_id, sequence_number ORDER BY nth)),
-lexicon(word, valence) AS (VALUES {_values(sentiment.VALENCES)}),
+spoken AS (SELECT conversation_id, sequence_number, message_text AS said,
+    regexp_extract_all(message_text, {text(sentiment.TOKEN)}) AS words FROM {source} WHERE is_customer),
+placed AS (SELECT conversation_id, sequence_number, nth, lower(raw) AS word, raw = upper(raw) AND raw <> lower(raw) AS loud
+    FROM (SELECT conversation_id, sequence_number, unnest(words) AS raw, generate_subscripts(words, 1) AS nth FROM spoken)),
+around AS (SELECT *, lag(word, 1) OVER w AS w1, lag(word, 2) OVER w AS w2, lag(word, 3) OVER w AS w3,
+    lag(loud, 1) OVER w AS l1, lag(loud, 2) OVER w AS l2, lag(loud, 3) OVER w AS l3,
+    bool_or(NOT loud) OVER m AS mixed, min(CASE WHEN word = 'but' THEN nth END) OVER m AS turn
+    FROM placed WINDOW w AS (PARTITION BY conversation_id, sequence_number ORDER BY nth),
+    m AS (PARTITION BY conversation_id, sequence_number)),
+lexicon(word, valence) AS (VALUES {_values(sentiment.LEXICON)}),
 boosters(word, boost) AS (VALUES {_values(sentiment.BOOSTERS)}),
-valued AS (SELECT a.conversation_id,
-    (l.valence + sign(l.valence) * (coalesce(b1.boost, 0) + coalesce(b2.boost, 0) * CAST(0.95 AS DOUBLE)
-        + coalesce(b3.boost, 0) * CAST(0.9 AS DOUBLE)))
+word_values AS (SELECT a.conversation_id, a.sequence_number,
+    (l.valence + sign(l.valence) * (CASE WHEN loud AND mixed THEN CAST(0.733 AS DOUBLE) ELSE 0 END
+        + coalesce(b1.boost + CASE WHEN l1 AND mixed THEN CAST(0.733 AS DOUBLE) ELSE 0 END, 0)
+        + coalesce(b2.boost + CASE WHEN l2 AND mixed THEN CAST(0.733 AS DOUBLE) ELSE 0 END, 0) * CAST(0.95 AS DOUBLE)
+        + coalesce(b3.boost + CASE WHEN l3 AND mixed THEN CAST(0.733 AS DOUBLE) ELSE 0 END, 0) * CAST(0.9 AS DOUBLE)))
     * CASE WHEN list_has_any({text_list(sentiment.NEGATORS)}, [coalesce(w1, ''), coalesce(w2, ''), coalesce(w3, '')])
-        THEN CAST(-0.74 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS valence
+        THEN CAST(-0.74 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END
+    * CASE WHEN nth < turn THEN CAST(0.5 AS DOUBLE) WHEN nth > turn THEN CAST(1.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS valence
     FROM around a JOIN lexicon l ON a.word = l.word
     LEFT JOIN boosters b1 ON b1.word = w1 LEFT JOIN boosters b2 ON b2.word = w2 LEFT JOIN boosters b3 ON b3.word = w3),
+marks AS (SELECT conversation_id, sequence_number, length(said) - length(replace(said, '!', '')) AS cries,
+    length(said) - length(replace(said, '?', '')) AS questions FROM spoken),
+valued AS (SELECT conversation_id, sequence_number, valence + sign(valence) * (least(cries, 4) * CAST(0.292 AS DOUBLE)
+    + CASE WHEN questions > 3 THEN CAST(0.96 AS DOUBLE) WHEN questions > 1 THEN questions * CAST(0.18 AS DOUBLE)
+        ELSE CAST(0 AS DOUBLE) END) AS valence
+    FROM (SELECT conversation_id, sequence_number, sum(valence) AS valence FROM word_values GROUP BY ALL)
+    JOIN marks USING (conversation_id, sequence_number)),
 valence_totals AS (SELECT conversation_id, sum(valence) AS valence FROM valued GROUP BY conversation_id)"""
 
 
@@ -151,7 +164,7 @@ heard AS (SELECT *, lower(array_to_string(customer_list, ' ')) AS c FROM (
     SELECT *, list_transform(list_filter(pieces,
         lambda p: contains(p, 'CUSTOMER:') AND len(string_split(p, ':')) >= 3),
         lambda p: trim(regexp_extract(p, '^[^:]*:[^:]*:(.*)$', 1))) AS customer_list FROM split_up))""",
-        "valence": _valence_ctes(source),
+        "valence": valences(source),
         "scores": f"""scores AS (SELECT conversation_id, message_count, t, c, len(pieces) AS piece_count,
     len(customer_list) AS customer_messages,
     {_resolved_score()} AS resolved_score,

@@ -240,12 +240,23 @@ def test_valence(spark):
     cases = {
         "good": 1.9, "not good": 1.9 * -0.74, "very good": 2.193, "really, very good": 1.9 + 0.293 + 0.293 * 0.95,
         "slightly bad": -2.5 + 0.293, "not a very good": (1.9 + 0.293) * -0.74, "not one two three good": 1.9,
-        "": 0.0, "nothing here": 0.0,
+        "": 0.0, "nothing here": 0.0, None: 0.0,
+        # capitals count only among words that are not, and for boosters too
+        "that is GOOD": 1.9 + 0.733, "THAT IS GOOD": 1.9, "that is BAD": -2.5 - 0.733, "a VERY good one": 1.9 + 0.293 + 0.733,
+        "a Good one": 1.9, "GOOD :)": 1.9 + 0.733 + 2.0,
+        # marks
+        "good!": 1.9 + 0.292, "bad!!": -2.5 - 0.584, "good!!!!!!": 1.9 + 1.168, "table!!!": 0.0,
+        "good?": 1.9, "good??": 1.9 + 0.36, "bad???": -2.5 - 0.54, "bad?????": -2.5 - 0.96, "good?!?": 1.9 + 0.292 + 0.36,
+        # a turn
+        "good but bad": 1.9 * 0.5 - 2.5 * 1.5, "good but good but good": 1.9 * 0.5 + 2 * 1.9 * 1.5, "but": 0.0, "button good": 1.9,
+        # idioms, emoticons, emoji
+        "Yeah right, good": -2.0 + 1.9, "yeah, right": 0.0, "yeah rightly": 0.0, "not to die for": 3.0 * -0.74,
+        "ok:(": 1.2 - 1.9, "\U0001f44d\U0001f44d": 3.8, "see http://x": 0.0,
     }
     rows = spark.createDataFrame([(body, value) for body, value in cases.items()], "body STRING, value DOUBLE")
-    for row in rows.withColumn("words", sentiment.tokens(F.col("body"))).withColumn(
-        "got", sentiment.valence_sum(F.col("words"))
-    ).collect():
+    scored = sentiment.with_valence(rows, "body", "got")
+    assert scored.columns == ["body", "value", "got"]
+    for row in scored.collect():
         assert row.got == pytest.approx(row.value), row.body
 
 

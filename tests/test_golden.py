@@ -13,6 +13,10 @@ MOODS = [
     ("bad bad bad", -0.8885, "frustrated"),  # -7.5
     ("good bad", -0.1531, "negative"),  # -0.6
     ("table", 0.0, "neutral"),
+    ("this is GOOD", 0.5622, "positive"),  # 1.9 + 0.733 = 2.633
+    ("good!!!", 0.5826, "positive"),  # 1.9 + 0.876 = 2.776
+    ("good but bad", -0.5859, "frustrated"),  # 0.95 - 3.75 = -2.8
+    ("yeah right", -0.4588, "negative"),  # -2 / sqrt(19)
 ]
 
 

@@ -1,17 +1,20 @@
 """Lexicon sentiment: word valences, negation and intensity, as column expressions.
 
 The normalisation, negation and intensity factors are the published ones for rule-based social-media sentiment
-(Hutto & Gilbert, 2014). The valence list is a short selection of words of support talk; its values are of the size, and
-many of them the same, as in the lexicon published with that paper. Pass another mapping to replace it. Emphasis by
-exclamation marks, capitals, a turn after "but" and emoji have no part in the score.
+(Hutto & Gilbert, 2014), and so is emphasis: words in capitals among others that are not, exclamation and question marks, and
+"but", which takes weight from what comes before it. They are read off the text before it is lower-cased, message by message.
+The valence list is a short selection of words of support talk; its values are of the size, and many of them the same, as in
+the lexicon published with that paper. Idioms, emoticons and emoji are words with a valence of their own. Pass another
+mapping to replace the list.
 """
 
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Word lists and weights.
@@ -65,47 +68,99 @@ BOOSTERS = {
         -0.293,
     ),
 }
+# Turns of speech that count as one word, emoticons and emoji.
+IDIOMS = {"yeah right": -2.0, "to die for": 3.0, "kiss of death": -1.5, "cut the mustard": 2.0, "hand to mouth": -2.0}
+MARKS = {
+    ":)": 2.0, ":-)": 1.3, ";)": 0.9, ":(": -1.9, ":-(": -1.5,
+    "\U0001f44d": 1.9, "\U0001f600": 2.0, "\U0001f642": 1.5, "\U0001f60a": 2.0, "\U0001f60d": 2.5, "\u2764": 2.5, "\U0001f389": 2.0,
+    "\U0001f44e": -1.9, "\U0001f641": -1.5, "\U0001f61e": -1.8, "\U0001f622": -1.8, "\U0001f62d": -1.5, "\U0001f620": -2.3,
+    "\U0001f621": -2.5,
+}
+CAPITALS = 0.733
+EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4
+QUESTION, MOST_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 NEGATION = -0.74
 DISTANCE_WEIGHTS = [1.0, 0.95, 0.9]
 NORMALISATION = 15.0
 
 # End of fixed values.
 
-TOKEN = r"[\p{L}']+"
+LEXICON = {**VALENCES, **IDIOMS, **MARKS}
+TOKEN = "|".join([rf"(?i:\b(?:{'|'.join(IDIOMS)})\b)", *map(re.escape, MARKS), r"[\p{L}']+"])
 
 
 def _mapping(entries: Mapping[str, float]) -> Column:
     return F.create_map(*[F.lit(part) for part in itertools.chain.from_iterable(entries.items())])
 
 
-def tokens(lowered: Column) -> Column:
-    return F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
+def tokens(text: Column) -> Column:
+    """Words, idioms and marks as they are written."""
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
+def lowered(words: Column) -> Column:
+    """The words in lower case, each in its place."""
+    return F.split(F.lower(F.array_join(words, "\n")), "\n")
+
 
+def _loud(word: Column) -> Column:
+    return (word == F.upper(word)) & (word != F.lower(word))
+
+
+def emphasis(text: Column) -> Column:
+    """What the exclamation and question marks of a text add to the size of its valence."""
+    cries, questions = F.regexp_count(text, F.lit("!")), F.regexp_count(text, F.lit(r"\?"))
+    return F.least(cries, F.lit(MOST_EXCLAMATIONS)) * F.lit(EXCLAMATION) + (
+        F.when(questions > MOST_QUESTIONS, F.lit(MANY_QUESTIONS)).when(questions > 1, questions * F.lit(QUESTION)).otherwise(F.lit(0.0))
+    )
 
-def valence_sum(words: Column, valences: Mapping[str, float] = VALENCES) -> Column:
-    """Summed valence of one message; boosters and negators act within three words before a valued word.
 
-    ``words`` must be a stored column holding ``tokens``: it is read for every valued word. Set tests come before the
-    map lookups: most words carry no valence and go no further.
+def valence_sum(text: Column, words: Column, plain: Column, valences: Mapping[str, float] = LEXICON) -> Column:
+    """Valence of one message; boosters and negators act within three words before a valued word.
+
+    ``words`` and ``plain`` must be stored columns holding ``tokens`` of the text and ``lowered`` of them: they are read for every
+    valued word. Set tests come before the map lookups: most words carry no valence and go no further. A null text, and one
+    without words, has valence 0.
     """
     valued, boosts = _mapping(valences), _mapping(BOOSTERS)
+    mixed = F.exists(words, lambda word: ~_loud(word))
+    turn = F.array_position(plain, "but") - 1  # -1 without
 
     def entry(word: Column, at: Column) -> Column:
         known = F.when(word.isin(list(valences)), F.try_element_at(valued, word))
         return F.struct(known.alias("base"), at.alias("at"))
 
+    def capitals(at: Column) -> Column:
+        return F.when(_loud(F.get(words, at)) & mixed, F.lit(CAPITALS)).otherwise(F.lit(0.0))
+
     def valence(found: Column) -> Column:
-        before = [F.get(words, found["at"] - distance) for distance in range(1, len(DISTANCE_WEIGHTS) + 1)]
-        push, negated = F.lit(0.0), F.lit(False)
-        for word, weight in zip(before, DISTANCE_WEIGHTS):
-            boost = F.when(word.isin(list(BOOSTERS)), F.try_element_at(boosts, word)).otherwise(F.lit(0.0))
-            push = push + boost * weight
+        push, negated = capitals(found["at"]), F.lit(False)
+        for distance, weight in enumerate(DISTANCE_WEIGHTS, 1):
+            word = F.get(plain, found["at"] - distance)
+            boost = F.when(word.isin(list(BOOSTERS)), F.try_element_at(boosts, word) + capitals(found["at"] - distance))
+            push = push + F.coalesce(boost, F.lit(0.0)) * weight
             negated = negated | F.coalesce(word.isin(NEGATORS), F.lit(False))
         factor = F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0))
-        return (found["base"] + F.signum(found["base"]) * push) * factor
+        side = F.when((turn < 0) | (found["at"] == turn), F.lit(1.0)).when(found["at"] < turn, F.lit(BEFORE_BUT)).otherwise(F.lit(AFTER_BUT))
+        return (found["base"] + F.signum(found["base"]) * push) * factor * side
+
+    found = F.filter(F.transform(plain, entry), lambda each: each["base"].isNotNull())
+    # The sum is needed twice, for its size and its sign: an array of one holds it.
+    totals = F.array(F.aggregate(found, F.lit(0.0), lambda total, each: total + valence(each)))
+    emphasised = F.transform(totals, lambda total: total + F.signum(total) * F.when(total != 0, emphasis(text)).otherwise(F.lit(0.0)))
+    return F.coalesce(F.get(emphasised, 0), F.lit(0.0))
 
-    found = F.filter(F.transform(words, entry), lambda each: each["base"].isNotNull())
-    return F.aggregate(found, F.lit(0.0), lambda total, each: total + valence(each))
+
+def with_valence(rows: DataFrame, text: str, name: str = "valence") -> DataFrame:
+    """The rows with one more column, the valence of the text in column ``text``."""
+    words, plain = f"__{name}_words", f"__{name}_plain"
+    return (
+        rows.withColumn(words, tokens(F.col(text)))
+        .withColumn(plain, lowered(F.col(words)))
+        .withColumn(name, valence_sum(F.col(text), F.col(words), F.col(plain)))
+        .drop(words, plain)
+    )
 
 
 def compound(total: Column) -> Column:

@@ -44,11 +44,10 @@ def conversation_features(line_rows: DataFrame) -> DataFrame:
         "transcript",
         "pieces",
         F.size("fragments").alias("heard"),
+        F.concat_ws(" ", "fragments").alias("spoken"),
         F.lower(F.concat_ws(" ", "fragments")).alias("customer"),
     )
-    per_message = per_message.withColumn("words", sentiment.tokens(F.col("customer"))).withColumn(
-        "valence", sentiment.valence_sum(F.col("words"))
-    )
+    per_message = sentiment.with_valence(per_message, "spoken")
     terms = rules.message_terms(
         rules.measure("messages", F.lit(1)),
         rules.measure("more_pieces", F.col("pieces") - 1, F.col("pieces") > 1),
