@@ -119,6 +119,21 @@ def test_no_article_of_a_page_is_lost():
     assert found(f"<article>{block(1)}</article><article><p>{menu}</p></article><article>{block(3)}</article>") == texts(one, third)
 
 
+def test_deep_pages_take_time_in_proportion():
+    began = time.monotonic()
+    for opened in ("<div>", "<article><p>", "<ul><li>", "<div class=comments>", "<b>"):
+        found = html_text.main_text("<body>" + f"{opened}some text here " * 40_000)
+        assert found.startswith("some text here")
+    assert time.monotonic() - began < 60
+
+
+def test_each_article_judges_its_own_comments():
+    short, reply = prose(1, 30), prose(2, 12)
+    long = "".join(f"<p>{prose(k, 80)}</p>" for k in range(3, 9))
+    page = f"<body><article>{long}</article><article><p>{short}</p><article><p>{reply}</p></article></article></body>"
+    assert short in html_text.main_text(page) and reply not in html_text.main_text(page)
+
+
 def test_names_do_not_hide_the_article():
     text, rest = prose(1, 60), prose(2, 20)
     comments = f"<div id=comments class=comments-open><p>{prose(3, 30)}</p></div>"

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -83,14 +83,30 @@ _COMMENTS = frozenset("comment comments commentlist disqus reply replies discuss
 
 
 class _Line:
-    __slots__ = ("text", "tags", "links", "path", "hidden")
+    """A block of text; ``at`` is the innermost element it lies in."""
 
-    def __init__(self, text: str, tags: int, links: int, path: tuple[int, ...]):
-        self.text, self.tags, self.links, self.path, self.hidden = text, tags, links, path, False
+    __slots__ = ("text", "tags", "links", "at", "hidden")
+
+    def __init__(self, text: str, tags: int, links: int, at: int):
+        self.text, self.tags, self.links, self.at, self.hidden = text, tags, links, at, False
+
+
+class _Element:
+    """What an open element hands down to those inside it."""
+
+    __slots__ = ("name", "number", "silent", "linked", "inside", "headed", "depth", "sure")
+
+    def __init__(self, name: str, number: int, silent: bool, linked: bool, inside: bool, headed: bool, depth: int, sure: bool):
+        self.name, self.number, self.silent, self.linked = name, number, silent, linked
+        self.inside, self.headed, self.depth, self.sure = inside, headed, depth, sure
+
+
+_ROOT = _Element("", 0, False, False, False, False, 0, False)
 
 
 class _Page(HTMLParser):
-    """Lines of a page, with the elements that they lie in."""
+    """Lines of a page and the tree of its elements: an element's number is greater than its parent's, and those inside it have
+    the numbers up to its last, so every question about a page is one pass over elements and lines, at any depth."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -98,12 +114,13 @@ class _Page(HTMLParser):
         self.articles: set[int] = set()  # elements of articles' text: main, article, and what says that it is one of them
         self.mains: set[int] = set()  # those that are no article, but hold the page's
         self.depth: dict[int, int] = {}  # article elements proper, with how many of these each lies in
-        self.stack: list[tuple[str, int, bool]] = []  # name, number, whether its text makes no line
-        self.names: dict[int, str] = {}
+        self.stack: list[_Element] = []
+        self.open: Counter[str] = Counter()  # names on the stack
+        self.names: list[str] = [""]  # by number; 0 is the page
+        self.parents: list[int] = [0]
         self.others: dict[int, int] = {}  # elements that say they are not the article, and how sure that is
-        self.heads: list[tuple[int, ...]] = []  # where headings and articles lie
-        self.title: tuple[int, ...] = ()  # where the page's heading lies
-        self.count = 0
+        self.heads: list[int] = []  # where headings and articles lie
+        self.title = 0  # where the page's heading lies
         self.tags = 0
         self.parts: list[str] = []
         self.links = 0
@@ -112,21 +129,57 @@ class _Page(HTMLParser):
     def _cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(_Line(text, max(1, self.tags), self.links, tuple(number for _, number, _ in self.stack)))
+            self.lines.append(_Line(text, max(1, self.tags), self.links, self.stack[-1].number if self.stack else 0))
             self.tags = 0
         self.parts, self.links = [], 0
 
     def _close(self, place: int) -> None:
+        for element in self.stack[place:]:
+            self.open[element.name] -= 1
         del self.stack[place:]
 
     def _open_at(self, names: frozenset[str] | set[str], stops: frozenset[str]) -> int | None:
+        if not any(self.open[name] for name in names):
+            return None
         for place in range(len(self.stack) - 1, -1, -1):
-            if self.stack[place][0] in names:
+            if self.stack[place].name in names:
                 return place
-            if self.stack[place][0] in stops:
+            if self.stack[place].name in stops:
                 return None
         return None
 
+    # the tree
+    def sums(self, entries: Iterable[tuple[int, int]]) -> list[int]:
+        """By element, the sum of what lies in it, of (element, amount) entries."""
+        found = [0] * len(self.parents)
+        for number, amount in entries:
+            found[number] += amount
+        for number in range(len(found) - 1, 0, -1):
+            if self.parents[number]:
+                found[self.parents[number]] += found[number]
+        return found
+
+    def tops(self, numbers: Container[int]) -> list[int]:
+        """By element, the outermost of these elements that it is or lies in; 0 for none."""
+        found = [0] * len(self.parents)
+        for number in range(1, len(found)):
+            found[number] = found[self.parents[number]] or (number if number in numbers else 0)
+        return found
+
+    def around(self, number: int) -> set[int]:
+        """The element and those it lies in."""
+        found = set()
+        while number:
+            found.add(number)
+            number = self.parents[number]
+        return found
+
+    def levels(self) -> list[int]:
+        found = [-1] * len(self.parents)
+        for number in range(1, len(found)):
+            found[number] = found[self.parents[number]] + 1
+        return found
+
     # events
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("br", "td", "th"):
@@ -142,30 +195,35 @@ class _Page(HTMLParser):
             if place is not None:
                 self._close(place)
         if tag == "body":  # ends a head that was left open
-            self.stack = [x for x in self.stack if x[0] == "html"]
+            self._close(int(bool(self.stack) and self.stack[0].name == "html"))
         self.tags += 1
         if tag in _VOID:
             return
-        self.count += 1
-        inside = sum(number in self.articles for _, number, _ in self.stack)
-        headed = any(name in _HEADINGS and name != "header" for name, _, _ in self.stack)
-        doubt = _other(tag, attrs, inside > 0, headed, any(number in self.depth for _, number, _ in self.stack))
+        number, outer = len(self.names), self.stack[-1] if self.stack else _ROOT
+        doubt = _other(tag, attrs, outer.inside, outer.headed, outer.depth > 0)
         if doubt is not None:
-            self.others[self.count] = doubt
-        dropped = (bool(self.stack) and self.stack[-1][2]) or tag in _SILENT or (doubt is not None and tag not in _BLOCK)
-        if tag in _ARTICLES or _is_article(attrs):
-            self.articles.add(self.count)
+            self.others[number] = doubt
+        silent = outer.silent or tag in _SILENT or (doubt is not None and tag not in _BLOCK)
+        is_article, depth = tag in _ARTICLES or _is_article(attrs), outer.depth
+        if is_article:
+            self.articles.add(number)
             kind = _kind(tag, attrs)
             if kind == "main":
-                self.mains.add(self.count)
+                self.mains.add(number)
             elif kind == "article":
-                self.depth[self.count] = sum(number in self.depth for _, number, _ in self.stack)
-        if tag == "h1" or self.count in self.articles:
-            self.heads.append(tuple(number for _, number, _ in self.stack))
-        if tag == "h1" and not self.title and all(self.others.get(number) != _SURE for _, number, _ in self.stack):
-            self.title = tuple(number for _, number, _ in self.stack)
-        self.names[self.count] = tag
-        self.stack.append((tag, self.count, dropped))
+                self.depth[number] = depth
+                depth += 1
+        if tag == "h1" or is_article:
+            self.heads.append(outer.number)
+        if tag == "h1" and not self.title and not outer.sure:
+            self.title = outer.number
+        self.names.append(tag)
+        self.parents.append(outer.number)
+        self.open[tag] += 1
+        self.stack.append(_Element(
+            tag, number, silent, outer.linked or tag == "a", outer.inside or is_article,
+            outer.headed or (tag in _HEADINGS and tag != "header"), depth, outer.sure or doubt == _SURE,
+        ))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _VOID:
@@ -178,40 +236,38 @@ class _Page(HTMLParser):
             self._close(place)
 
     def handle_data(self, data: str) -> None:
-        if self.stack and self.stack[-1][2]:
+        if self.stack and self.stack[-1].silent:
             return
         self.parts.append(data)
-        if any(name == "a" for name, _, _ in self.stack):
+        if self.stack and self.stack[-1].linked:
             self.links += len("".join(data.split()))
 
     def finish(self) -> None:
         self.close()
         self._cut()
-        weight: Counter[int] = Counter()
-        for line in self.lines:
-            for number in line.path:
-                weight[number] += len(line.text)
+        weight = self.sums((line.at, len(line.text)) for line in self.lines)
+        links = self.sums((line.at, line.links) for line in self.lines)
+        headed = self.sums((number, 1) for number in self.heads)
         whole = sum(len(line.text) for line in self.lines)
-        links: Counter[int] = Counter()
-        for line in self.lines:
-            for number in line.path:
-                links[number] += line.links
+        title = self.around(self.title)
 
         def believed(number: int, doubt: int) -> bool:
             most = 2 * weight[number] > whole
-            if doubt != _SURE and self.depth.get(number) == 0 and (most or number in self.title):
+            if doubt != _SURE and self.depth.get(number) == 0 and (most or number in title):
                 return False
             if doubt == _DOUBTED:
-                return not (most and any(number in path for path in self.heads))
+                return not (most and headed[number])
             if doubt == _COMMENT:
-                return number not in self.title
+                return number not in title
             return doubt == _SURE or links[number] > LINKS * weight[number]
 
         others = {number: doubt for number, doubt in self.others.items() if believed(number, doubt)}
-        if all(not others.keys().isdisjoint(line.path) for line in self.lines):
+        tops = self.tops(others)
+        if all(tops[line.at] for line in self.lines):
             others = {number: doubt for number, doubt in others.items() if doubt != _COMMENT}
+            tops = self.tops(others)
         for line in self.lines:
-            line.hidden = not others.keys().isdisjoint(line.path)
+            line.hidden = tops[line.at] > 0
 
 
 def _words(attrs: list[tuple[str, str | None]], names: tuple[str, ...]) -> set[str]:
@@ -284,41 +340,48 @@ def threshold(values: np.ndarray, rounds: int = 50) -> float:
     return float(np.expm1((low + high) / 2))
 
 
-def _outermost(lines: list[_Line], numbers: set[int]) -> set[int]:
-    return {next(number for number in line.path if number in numbers) for line in lines if not numbers.isdisjoint(line.path)}
-
-
-def _regions(page: _Page, seen: list[_Line], chosen: list[_Line], weight: dict[int, int]) -> set[int]:
+def _regions(page: _Page, seen: list[_Line], chosen: list[_Line], weight: list[int]) -> set[int]:
     """The elements whose text is the page's: its outermost articles, or its main elements."""
-    roots = _outermost(chosen, page.articles)
+    tops = page.tops(page.articles)
+    roots = {tops[line.at] for line in chosen} - {0}
     if not roots:
         return set()
     best = max(roots, key=lambda number: (weight[number], -number))
     inside = roots & page.mains if best in page.mains else set()
-    found = _outermost([line for line in seen if not inside or not inside.isdisjoint(line.path)], page.articles - page.mains)
+    within, tops = page.tops(inside), page.tops(page.articles - page.mains)
+    found = {tops[line.at] for line in seen if not inside or within[line.at]} - {0}
     if inside:
-        rest = sum(len(line.text) for line in chosen if not inside.isdisjoint(line.path) and found.isdisjoint(line.path))
-        if max((weight.get(number, 0) for number in found), default=0) < max(rest, 1):
+        held = page.tops(found)
+        rest = sum(len(line.text) for line in chosen if within[line.at] and not held[line.at])
+        if max((weight[number] for number in found), default=0) < max(rest, 1):
             return inside
-    size, links = Counter(), Counter()
-    for line in seen:
-        for number in found.intersection(line.path):
-            size[number] += len(line.text)
-            links[number] += line.links
-    heaviest = max(found, key=lambda number: (weight.get(number, 0), -number))
+    size = page.sums((line.at, len(line.text)) for line in seen)
+    links = page.sums((line.at, line.links) for line in seen)
+    heaviest = max(found, key=lambda number: (weight[number], -number))
     return {number for number in found if number == heaviest or links[number] <= LINKS * size[number]}
 
 
-def _comments(page: _Page, chosen: list[_Line], weight: dict[int, int], part: int) -> set[int]:
-    """Articles inside an article; but those that hold nearly all of it, or all besides its headings, are its own text."""
-    whole = weight.get(part, 0)
-    mine = [line for line in chosen if part in line.path]
-    for least in range(1, max(page.depth.values(), default=0) + 1):
-        found = {number for number, depth in page.depth.items() if depth >= least and weight.get(number, 0) <= REGION * whole}
-        own = [line for line in mine if found.isdisjoint(line.path)]
-        if any(_HEADINGS.isdisjoint(page.names[number] for number in line.path) for line in own):
-            return found
-    return set()
+def _comments(page: _Page, chosen: list[_Line], weight: list[int], parts: set[int]) -> set[int]:
+    """Articles inside an article; but those that hold nearly all of it, or all besides its headings, are its own text.
+
+    How deep an article must lie to be a comment is the least depth at which its part keeps a line besides headings: an article
+    hides the lines in it at all depths up to its own, so a line's greatest depth says from where on it is the part's own.
+    """
+    tops, headings = page.tops(parts), page.tops({number for number, name in enumerate(page.names) if name in _HEADINGS})
+    deepest = [0] * len(page.names)  # depth of the innermost article around that is small enough to be a comment
+    for number in range(1, len(deepest)):
+        outer = deepest[page.parents[number]]
+        small = number in page.depth and tops[number] and weight[number] <= REGION * weight[tops[number]]
+        deepest[number] = max(outer, page.depth[number]) if small else outer
+    least: dict[int, int] = {}
+    for line in chosen:
+        part = tops[line.at]
+        if part and not headings[line.at]:
+            least[part] = min(least.get(part, deepest[line.at] + 1), deepest[line.at] + 1)
+    return {
+        number for number, depth in page.depth.items()
+        if tops[number] in least and depth >= least[tops[number]] and weight[number] <= REGION * weight[tops[number]]
+    }
 
 
 def main_text(html: str | None) -> str:
@@ -338,28 +401,26 @@ def main_text(html: str | None) -> str:
         content = np.array([not line.hidden for line in lines])
     chosen = [line for line, is_content in zip(lines, content) if is_content]
     whole = sum(len(line.text) for line in chosen)
-    weight: dict[int, int] = {}
-    for line in chosen:
-        for number in line.path:
-            weight[number] = weight.get(number, 0) + len(line.text)
+    weight = page.sums((line.at, len(line.text)) for line in chosen)
     parts = _regions(page, seen, chosen, weight)
     if parts:
-        comments = set().union(*(_comments(page, chosen, weight, part) for part in parts))
-        taken = [line for line in seen if not parts.isdisjoint(line.path) and comments.isdisjoint(line.path)]
+        tops, comments = page.tops(parts), page.tops(_comments(page, chosen, weight, parts))
+        taken = [line for line in seen if tops[line.at] and not comments[line.at]]
     else:
-        depth = {number: place for line in chosen for place, number in enumerate(line.path)}
-        held_lines = Counter(number for line in seen for number in line.path)
+        level, held_lines = page.levels(), page.sums((line.at, 1) for line in seen)
         region = [
-            number for number, held in weight.items()
-            if held >= REGION * whole and page.names[number] in _REGIONS and held_lines[number] > 1
+            number for number in range(1, len(weight))
+            if weight[number] >= REGION * whole and weight[number] and page.names[number] in _REGIONS and held_lines[number] > 1
         ]
-        best = max(region, key=lambda number: (depth[number], -number), default=None)
-        places = np.flatnonzero(content & np.array([best is None or best in line.path for line in lines]))
+        best = max(region, key=lambda number: (level[number], -number), default=None)
+        held = page.tops({best})
+        places = np.flatnonzero(content & np.array([best is None or held[line.at] > 0 for line in lines]))
         low, high = (int(places[0]), int(places[-1])) if len(places) else (0, -1)
+        near = 0.25 * smooth[low : high + 1].mean() if len(places) else np.inf
         taken = [
             line for place, line in enumerate(lines)
-            if not line.hidden and (best is None or best in line.path) and line.links <= LINKS * len(line.text)
-            and (low <= place <= high or smooth[place] > 0.25 * smooth[low : high + 1].mean())
+            if not line.hidden and (best is None or held[line.at]) and line.links <= LINKS * len(line.text)
+            and (low <= place <= high or smooth[place] > near)
         ]
     return "\n\n".join(line.text for line in taken)
 
