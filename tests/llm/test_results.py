@@ -134,6 +134,20 @@ def test_each_article_judges_its_own_comments():
     assert short in html_text.main_text(page) and reply not in html_text.main_text(page)
 
 
+def test_classes_of_text_in_an_article():
+    head = f"<h1>Title</h1><p>{prose(1, 60)}</p>"
+    menu = "".join(f"<li><a href={k}>Go {k}</a></li>" for k in range(5))
+    for kept in ("<p class='share-price'>The price fell.</p>", "<ul class=menu><li>Soup of the day</li></ul>",
+                 "<table class='search-results'><tr><td>Nine found</td></tr></table>"):
+        words = html_text.main_text(f"<body><article>{head}{kept}</article></body>").split("\n\n")
+        assert len(words) == 3, kept
+    for dropped in ("<p class=share>Tell others</p>", "<ul class='share-links'><li>Tell others</li></ul>", f"<ul class=menu>{menu}</ul>",
+                    "<p class='ad-text'>Buy</p>", "<p class=notice>Mind this</p>", "<div class='share-price'>Tell others</div>",
+                    "<p class='share-price ad'>Buy</p>", "<ul class='search-form'><li>Find</li></ul>"):
+        words = html_text.main_text(f"<body><article>{head}{dropped}</article></body>").split("\n\n")
+        assert len(words) == 2, dropped
+
+
 def test_names_do_not_hide_the_article():
     text, rest = prose(1, 60), prose(2, 20)
     comments = f"<div id=comments class=comments-open><p>{prose(3, 30)}</p></div>"

@@ -78,6 +78,15 @@ _SUBJECTS = frozenset(
     "discussion respond reply replies notice notices notification alert menu menus navigation dialog search share sharing toolbar "
     "pagination widget widgets form consent cookie cookies subscription sponsor banner disclaimer".split()
 )
+# Elements of running text. Inside an article their class may name the subject, as in share-price or a list of dishes called menu.
+_TEXT = frozenset("p ul ol dl table pre blockquote figure".split())
+_SUBJECT_NAMES = frozenset("menu menus".split())
+_TOPICS = frozenset("share search form discussion menu menus".split())
+# Last words of class names of what is not running text.
+_CONTROLS = frozenset(
+    "bar box button buttons link links list items item icon icons tools container wrapper wrap inner block area panel this row field "
+    "fields input group content body text title label count message".split()
+)
 _SURE, _DOUBTED, _COMMENT, _SUBJECT = range(4)  # that an element is not the article
 _COMMENTS = frozenset("comment comments commentlist disqus reply replies discussion respond".split())
 
@@ -280,6 +289,17 @@ def _words(attrs: list[tuple[str, str | None]], names: tuple[str, ...]) -> set[s
     return found
 
 
+def _compound(attrs: list[tuple[str, str | None]], marks: set[str]) -> bool:
+    """Whether each of these words stands in a class name as the first of several, and so describes what the last one names."""
+    firsts = set()
+    for name, value in attrs:
+        for token in (value or "").split() if name == "class" else ():
+            words = [word.lower() for word in _WORDS.findall(token)]
+            if len(words) > 1 and words[-1] not in _CONTROLS | _OTHER:
+                firsts.add(words[0])
+    return marks <= firsts
+
+
 def _other(tag: str, attrs: list[tuple[str, str | None]], inside: bool, headed: bool, in_article: bool) -> int | None:
     """None for what may be part of the article; else how sure it is that it is not. ``inside``: an article or main element,
     ``headed``: a heading, where ids are places to link to."""
@@ -297,6 +317,8 @@ def _other(tag: str, attrs: list[tuple[str, str | None]], inside: bool, headed:
     marks = found & _OTHER
     if in_article and marks and marks <= _SUBJECTS and not said & _OTHER and (tag == "section" or "section" in said):
         return _SUBJECT
+    if in_article and tag in _TEXT and marks and (marks <= _SUBJECT_NAMES or (marks <= _TOPICS and _compound(attrs, marks))):
+        return _SUBJECT
     if found & _COMMENTS:
         return _COMMENT
     if marks or (not inside and found & _OUTSIDE):
@@ -361,20 +383,25 @@ def _regions(page: _Page, seen: list[_Line], chosen: list[_Line], weight: list[i
     return {number for number in found if number == heaviest or links[number] <= LINKS * size[number]}
 
 
-def _comments(page: _Page, chosen: list[_Line], weight: list[int], parts: set[int]) -> set[int]:
+def _comments(page: _Page, seen: list[_Line], chosen: list[_Line], parts: set[int]) -> set[int]:
     """Articles inside an article; but those that hold nearly all of it, or all besides its headings, are its own text.
 
+    A part is judged by its content lines, and one without any by all its lines.
+
     How deep an article must lie to be a comment is the least depth at which its part keeps a line besides headings: an article
     hides the lines in it at all depths up to its own, so a line's greatest depth says from where on it is the part's own.
     """
     tops, headings = page.tops(parts), page.tops({number for number, name in enumerate(page.names) if name in _HEADINGS})
+    held = {tops[line.at] for line in chosen}
+    judged = chosen + [line for line in seen if tops[line.at] not in held]
+    weight = page.sums((line.at, len(line.text)) for line in judged)
     deepest = [0] * len(page.names)  # depth of the innermost article around that is small enough to be a comment
     for number in range(1, len(deepest)):
         outer = deepest[page.parents[number]]
         small = number in page.depth and tops[number] and weight[number] <= REGION * weight[tops[number]]
         deepest[number] = max(outer, page.depth[number]) if small else outer
     least: dict[int, int] = {}
-    for line in chosen:
+    for line in judged:
         part = tops[line.at]
         if part and not headings[line.at]:
             least[part] = min(least.get(part, deepest[line.at] + 1), deepest[line.at] + 1)
@@ -404,7 +431,7 @@ def main_text(html: str | None) -> str:
     weight = page.sums((line.at, len(line.text)) for line in chosen)
     parts = _regions(page, seen, chosen, weight)
     if parts:
-        tops, comments = page.tops(parts), page.tops(_comments(page, chosen, weight, parts))
+        tops, comments = page.tops(parts), page.tops(_comments(page, seen, chosen, parts))
         taken = [line for line in seen if tops[line.at] and not comments[line.at]]
     else:
         level, held_lines = page.levels(), page.sums((line.at, 1) for line in seen)
