@@ -938,15 +938,7 @@ def k5_cohort_report(spark, sf_dir):
 )
 def k6_analysis_report(spark, sf_dir):
     stage = staged(spark, sf_dir)
-    status = analysis.analysis_details(stage.assessed).groupBy(F.col("status").alias("name")).agg(
-        F.count("*").alias("size")
-    )
-    made = stage.cohort_tables[0].select(F.col("cohort_name").alias("name"), F.col("conversation_count").alias("size"))
-    tags = analysis.tag_counts(stage.assessed).toDF("name", "size")
-    sections = {"status": status, "cohort": made, "tag": tags}
-    return functools.reduce(
-        DataFrame.unionByName, [rows.select(F.lit(name).alias("section"), "*") for name, rows in sections.items()]
-    )
+    return cohorts.analysis_report(stage.assessed, stage.cohort_tables[0])
 
 
 # Text analytics

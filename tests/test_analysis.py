@@ -258,6 +258,8 @@ def test_valence(spark):
     assert scored.columns == ["body", "value", "got"]
     for row in scored.collect():
         assert row.got == pytest.approx(row.value), row.body
+    own = sentiment.with_valence(rows.where("body = 'not good'"), "body", valences={"good": -1.0}).first()
+    assert own.valence == pytest.approx(0.74)
 
 
 def test_storage_forms(spark, grouped_of):

@@ -69,3 +69,16 @@ def test_sample_ranking_is_limited_before_the_shuffle(spark):
     sample = cohorts.cohort_samples(analysis, members)
     assert "WindowGroupLimit" in sample._jdf.queryExecution().executedPlan().toString()
     assert sorted(row.conversation_id for row in sample.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_analysis_report(spark, analysis):
+    made, _ = cohorts.build_cohorts(analysis)
+    report = cohorts.analysis_report(analysis, made)
+    assert report.columns == ["section", "name", "size"]
+    found = {(row.section, row["name"]): row["size"] for row in report.collect()}
+    assert {name: size for (section, name), size in found.items() if section == "status"} == {"resolved": 2, "open": 2}
+    assert found[("tag", "billing_issue")] == sum(row.tags.count("billing_issue") for row in analysis.collect())
+    assert found[("cohort", "Tag: Billing Issue")] == 3 and found[("cohort", "Technical Power Users")] == 1
+    none = analysis.limit(0)
+    empty = cohorts.analysis_report(none, cohorts.build_cohorts(none)[0]).collect()
+    assert all(row.section == "cohort" and row["size"] == 0 for row in empty)

@@ -152,13 +152,13 @@ def valence_sum(text: Column, words: Column, plain: Column, valences: Mapping[st
     return F.coalesce(F.get(emphasised, 0), F.lit(0.0))
 
 
-def with_valence(rows: DataFrame, text: str, name: str = "valence") -> DataFrame:
-    """The rows with one more column, the valence of the text in column ``text``."""
+def with_valence(rows: DataFrame, text: str, name: str = "valence", valences: Mapping[str, float] = LEXICON) -> DataFrame:
+    """The rows with one more column, the valence of the text in column ``text``; ``valences`` are of words in lower case."""
     words, plain = f"__{name}_words", f"__{name}_plain"
     return (
         rows.withColumn(words, tokens(F.col(text)))
         .withColumn(plain, lowered(F.col(words)))
-        .withColumn(name, valence_sum(F.col(text), F.col(words), F.col(plain)))
+        .withColumn(name, valence_sum(F.col(text), F.col(words), F.col(plain), valences))
         .drop(words, plain)
     )
 

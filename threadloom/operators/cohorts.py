@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import title_case
-from threadloom.operators.analysis import tag_counts
+from threadloom.operators.analysis import analysis_details, tag_counts
 from threadloom.operators.scale import checkpointed
 
 # Names, descriptions and criteria appear in the output; the order gives the cohort ids.
@@ -180,3 +180,21 @@ def cohort_report(cohorts: DataFrame, members: DataFrame, per_cohort: int = 3) -
         .withColumn("sample_conversations", F.coalesce("sample_conversations", empty))
         .orderBy(F.desc("actual_count"), "cohort_id")
     )
+
+
+def analysis_report(analysis: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """The figures of an analysis run as rows of (section, name, size).
+
+    Sections: ``status`` (resolved and open conversations), ``cohort`` (conversations of each), ``tag`` (uses of each). A status
+    that no conversation has gives no row; a conversation without a known state is open. Every section is a partial
+    aggregate, so no row count but that of distinct tags reaches the shuffle.
+    """
+    status = analysis_details(analysis).groupBy(F.col("status").alias("name")).agg(F.count("*").alias("size"))
+    sections = {
+        "status": status,
+        "cohort": cohorts.select(F.col("cohort_name").alias("name"), F.col("conversation_count").alias("size")),
+        "tag": tag_counts(analysis).select(F.col("tag").alias("name"), F.col("uses").alias("size")),
+    }
+    return functools.reduce(
+        DataFrame.unionByName, [rows.select(F.lit(name).alias("section"), "name", "size") for name, rows in sections.items()]
+    )
