@@ -322,6 +322,66 @@ def test_marginals_are_those_of_all_tag_sequences(chains, block):
     assert np.allclose(found, expected)
 
 
+def coded(texts, lexicon):
+    for table, words, tags, lengths in toxicity.coded_chains(texts, lexicon):
+        yield (
+            np.frombuffer(table, np.int32).reshape(-1, 8), np.frombuffer(words, np.int32),
+            np.frombuffer(tags, np.int8).astype(np.int64), np.frombuffer(lengths, np.int64),
+        )
+
+
+@pytest.mark.parametrize("chain, group", [(1000, 1), (1000, 10**6), (7, 50)])
+def test_training_rows_hold_whole_texts(monkeypatch, chain, group):
+    monkeypatch.setattr(toxicity, "CHAIN", chain)
+    monkeypatch.setattr(toxicity, "GROUP", group)
+    texts = [(prose(1, 2500) + " vermin", 1), (None, 1), ("", 0), ("one vermin two", 0), ("Verminous, three", 1)]
+    expected = [
+        (toxicity.features(word), int(label == 1 and word.startswith(b"vermin")))
+        for text, label in texts for word in toxicity.tokens(text)
+    ]
+    rows = list(coded(texts, frozenset([b"^vermin"])))
+    assert [(table[word].tolist(), tag) for table, words, tags, _ in rows for word, tag in zip(words, tags)] == expected
+    lengths = [len(toxicity.tokens(text)) for text, _ in texts]
+    cut = [min(chain, size - low) for size in lengths for low in range(0, size, chain)]
+    assert [size for row in rows for size in row[3].tolist()] == cut
+
+
+def test_slopes_are_those_of_the_likelihood_of_all_tag_sequences():
+    import itertools
+
+    texts = [("vermin and other vermin", 1), ("other", 0), ("and so vermin", 1)]
+    chains = [([toxicity.features(word) for word in toxicity.tokens(text)],
+               [int(word == b"vermin") for word in toxicity.tokens(text)]) for text, _ in texts]
+    source = np.random.default_rng(5)
+    field = toxicity.Field(source.normal(0, 0.3, 1 << toxicity.BITS), source.normal(0, 1, (2, 2)), source.normal(0, 1, 2), np.zeros(4))
+
+    def likelihood():
+        whole = 0.0
+        for table, tags in chains:
+            e = [sum(field.weights[f] for f in (row if k % 3 == 0 else row[1:])) for k, row in enumerate(table)]
+
+            def log_weight(path):
+                moves = sum(field.transitions[a, b] for a, b in zip(path, path[1:]))
+                return field.start[path[0]] + moves + sum(x for x, tag in zip(e, path) if tag)
+
+            whole += log_weight(tags) - np.logaddexp.reduce([log_weight(path) for path in itertools.product((0, 1), repeat=len(tags))])
+        return whole
+
+    found = sum(toxicity.expectations(field, *row) for row in coded(texts, frozenset([b"vermin"])))
+    touched = sorted({f for table, _ in chains for row in table for f in row})
+    assert set(np.flatnonzero(found[:-6])) <= set(touched)
+    places = [(field.weights, f, found[f]) for f in touched]
+    places += [(field.transitions.ravel(), k, found[-6 + k]) for k in range(4)] + [(field.start, k, found[-2 + k]) for k in range(2)]
+    for values, place, slope in places:
+        kept = values[place]
+        values[place] = kept + 1e-5
+        above = likelihood()
+        values[place] = kept - 1e-5
+        below = likelihood()
+        values[place] = kept
+        assert slope == pytest.approx((above - below) / 2e-5, abs=1e-5)
+
+
 # --- quality rules
 
 

@@ -1,15 +1,16 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Labels exist per document only, so token labels are derived first: a word, or a word's beginning, that occurs in far more
-toxic than clean training documents than chance allows is toxic where it occurs in a toxic document. Windows of so
-labelled tokens train the field: hashed features of the word, its beginnings and its ending, and transitions between the
-two tags, by gradient steps on the log-likelihood with forward-backward expectations. For a document, forward-backward gives
+toxic than clean training documents than chance allows is toxic where it occurs in a toxic document. The whole texts so
+labelled train the field: hashed features of the word, its beginnings and its ending, and transitions between the
+two tags, by gradient steps on the log-likelihood with forward-backward expectations, which tasks sum over their texts in every
+round. For a document, forward-backward gives
 each token's marginal probability of being toxic; their sum and maximum give the document's score through a logistic link
 fitted on the training documents, and tokens of a marginal of at least a half give the offending offsets. The link's intercept
 is corrected for the share of each class that was sampled, so that the threshold means the same at any number of labels.
 
-Only labelled training rows are sampled (``fit_rows`` a class, ``fit_windows`` windows a document); every text is scored as a
-whole, in one pass without a shuffle. Chains of any length run in blocks of 2 x 2 matrix products.
+Only labelled training rows are sampled (``fit_rows`` a class); every text is learnt from and scored as a whole, and scored
+in one pass without a shuffle. Chains of any length run in blocks of 2 x 2 matrix products.
 
 Defined results: a null or empty text has the score of a text without toxic tokens; repeated rows are scored alike; without
 labelled rows of both classes every score is 0; an empty table gives no rows.
@@ -31,12 +32,20 @@ from pyspark.sql import functions as F
 from threadloom.llm import common
 
 FIT_ROWS = 5000
-FIT_WINDOWS = 6
-WINDOW = 21
+#: Gradient steps of the field, each a job over the training texts.
+ROUNDS = 30
+#: Parts of the training texts, so that tasks share a step.
+FIT_TASKS = 16
+#: Tokens of a chain in training; a longer text goes on in a chain of its own.
+CHAIN = 1 << 16
+#: Tokens after which a task's training row is full; bounds the memory of a step.
+GROUP = 1 << 18
 BITS = 18
 THRESHOLD = 0.3
 #: Longest lineage of one matrix product; tokens of a batch are arranged in blocks of this length.
 BLOCK = 128
+#: Steps between two rescalings. A step's weights lie within e^±40, so four of them, and products of two such, are in range.
+_RESCALE = 4
 _CACHE = 200_000
 
 _LETTERS = bytes(
@@ -96,86 +105,129 @@ def marginals(emission: np.ndarray, first: np.ndarray, field: Field) -> np.ndarr
     begin = np.ones(lanes * width, bool)
     begin[:n] = first
     move, start = np.exp(field.transitions - field.transitions.max()), np.exp(field.start - field.start.max())
-    # step[i][j]: weight of going from tag i to tag j and emitting there; a chain's first token forgets what was before
+    # step[i][j]: weight of going from tag i to tag j and emitting there; a chain's first token forgets what was before.
+    # Places come first, lanes second: a pass takes one place of all lanes at a time, which then lie together.
     step = [[np.where(begin, start[j], move[i][j]) * (odds if j else 1.0) for j in (0, 1)] for i in (0, 1)]
-    step = [[x.reshape(lanes, width) for x in row] for row in step]
+    (s00, s01), (s10, s11) = [[np.ascontiguousarray(x.reshape(lanes, width).T) for x in row] for row in step]
 
-    def scaled(a, b):
-        total = a + b
-        return a / total, b / total
+    def scaled(t, *parts):  # only ratios count, so now and then is enough to stay in range
+        if t % _RESCALE:
+            return parts
+        total = sum(parts)
+        return tuple(part / total for part in parts)
 
     # forward: the product of each lane, then the state before each lane, then each token
-    p = [[np.ones(lanes), np.zeros(lanes)], [np.zeros(lanes), np.ones(lanes)]]
+    p00, p01, p10, p11 = np.ones(lanes), np.zeros(lanes), np.zeros(lanes), np.ones(lanes)
     for t in range(width):
-        p = [[p[i][0] * step[0][j][:, t] + p[i][1] * step[1][j][:, t] for j in (0, 1)] for i in (0, 1)]
-        size = p[0][0] + p[0][1] + p[1][0] + p[1][1]
-        p = [[x / size for x in row] for row in p]
-    (p00, p01), (p10, p11) = [[x.tolist() for x in row] for row in p]
+        p00, p01 = p00 * s00[t] + p01 * s10[t], p00 * s01[t] + p01 * s11[t]
+        p10, p11 = p10 * s00[t] + p11 * s10[t], p10 * s01[t] + p11 * s11[t]
+        p00, p01, p10, p11 = scaled(t, p00, p01, p10, p11)
     a, before = (0.5, 0.5), []
-    for k in range(lanes):
+    for w00, w01, w10, w11 in zip(p00.tolist(), p01.tolist(), p10.tolist(), p11.tolist()):
         before.append(a)
-        x, y = a[0] * p00[k] + a[1] * p10[k], a[0] * p01[k] + a[1] * p11[k]
+        x, y = a[0] * w00 + a[1] * w10, a[0] * w01 + a[1] * w11
         a = (x / (x + y), y / (x + y))
     a0, a1 = np.array(before).T
-    forward = np.empty((2, lanes, width))
+    forward0, forward1 = np.empty((width, lanes)), np.empty((width, lanes))
     for t in range(width):
-        a0, a1 = scaled(a0 * step[0][0][:, t] + a1 * step[1][0][:, t], a0 * step[0][1][:, t] + a1 * step[1][1][:, t])
-        forward[0][:, t], forward[1][:, t] = a0, a1
+        a0, a1 = scaled(t, a0 * s00[t] + a1 * s10[t], a0 * s01[t] + a1 * s11[t])
+        forward0[t], forward1[t] = a0, a1
     # backward: the same from the right; b is the weight of what follows, given the tag
-    q = [[np.ones(lanes), np.zeros(lanes)], [np.zeros(lanes), np.ones(lanes)]]
+    q00, q01, q10, q11 = np.ones(lanes), np.zeros(lanes), np.zeros(lanes), np.ones(lanes)
     for t in range(width - 1, -1, -1):
-        q = [[step[i][0][:, t] * q[0][j] + step[i][1][:, t] * q[1][j] for j in (0, 1)] for i in (0, 1)]
-        size = q[0][0] + q[0][1] + q[1][0] + q[1][1]
-        q = [[x / size for x in row] for row in q]
-    (q00, q01), (q10, q11) = [[x.tolist() for x in row] for row in q]
+        q00, q10 = s00[t] * q00 + s01[t] * q10, s10[t] * q00 + s11[t] * q10
+        q01, q11 = s00[t] * q01 + s01[t] * q11, s10[t] * q01 + s11[t] * q11
+        q00, q01, q10, q11 = scaled(t, q00, q01, q10, q11)
     b, after = (0.5, 0.5), []
-    for k in range(lanes - 1, -1, -1):
+    for w00, w01, w10, w11 in zip(*(x[::-1].tolist() for x in (q00, q01, q10, q11))):
         after.append(b)
-        x, y = q00[k] * b[0] + q01[k] * b[1], q10[k] * b[0] + q11[k] * b[1]
+        x, y = w00 * b[0] + w01 * b[1], w10 * b[0] + w11 * b[1]
         b = (x / (x + y), y / (x + y))
     b0, b1 = np.array(after[::-1]).T
-    result = np.empty((lanes, width))
+    result = np.empty((width, lanes))
     for t in range(width - 1, -1, -1):
-        x, y = forward[0][:, t] * b0, forward[1][:, t] * b1
-        result[:, t] = y / (x + y)
-        b0, b1 = scaled(step[0][0][:, t] * b0 + step[0][1][:, t] * b1, step[1][0][:, t] * b0 + step[1][1][:, t] * b1)
-    return result.ravel()[:n]
-
-
-def fit_field(vocabulary: list[bytes], words: np.ndarray, tags: np.ndarray, place: np.ndarray, rounds: int = 30,
-              rate: float = 0.5, decay: float = 1e-6) -> Field:
-    """Maximum likelihood by AdaGrad over all windows at once: the words' numbers in the vocabulary, their tags, and their
-    places in their windows. Every second token of a window hides the word itself, so that its beginnings learn to stand for forms
-    that training has not seen."""
-    first, hides = place == 0, place % 2 == 0
-    table = np.array([features(word) for word in vocabulary], np.int64).reshape(-1, _FEATURES)
-    field = Field(np.zeros(1 << BITS), np.zeros((2, 2)), np.zeros(2), np.zeros(4))
-    squares, move_squares, start_squares = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
+        x, y = forward0[t] * b0, forward1[t] * b1
+        result[t] = y / (x + y)
+        b0, b1 = scaled(t, s00[t] * b0 + s01[t] * b1, s10[t] * b0 + s11[t] * b1)
+    return result.T.ravel()[:n]
+
+
+def expectations(field: Field, table: np.ndarray, words: np.ndarray, tags: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """What a step needs of some chains, as sums: the slope of each weight, transitions and
+    starts seen less those expected.
+
+    ``words`` are rows of the table of features, ``lengths`` those of the chains. Two of three tokens hide the word itself,
+    so that its beginnings learn to stand for forms that training has not seen.
+    """
+    n = len(words)
+    begins = np.cumsum(lengths) - lengths
+    first = np.zeros(n, bool)
+    first[begins] = True
+    hides = (np.arange(n) - np.repeat(begins, lengths)) % 3 != 0
+    own = field.weights[table[:, 0]]
+    rest = field.weights[table[:, 1:]].sum(1)
+    emission = np.clip(rest[words] + np.where(hides, 0.0, own[words]), -30, 30)
+    m = marginals(emission, first, field)
+    gap = tags - m
+    shown = np.bincount(words[~hides], gap[~hides], len(table))
+    every = shown + np.bincount(words[hides], gap[hides], len(table))
+    slope = np.bincount(table[:, 0], shown, 1 << BITS)
+    for column in table.T[1:]:
+        slope += np.bincount(column, every, 1 << BITS)
     pair = ~first[1:]
     seen = np.bincount(2 * tags[:-1][pair] + tags[1:][pair], minlength=4).reshape(2, 2)
     began = np.bincount(tags[first], minlength=2)
-    n = max(1, len(words))
-    for _ in range(rounds):
-        own = field.weights[table[:, 0]]
-        rest = field.weights[table[:, 1:]].sum(1)
-        emission = np.clip(rest[words] + np.where(hides, 0.0, own[words]), -30, 30)
-        m = marginals(emission, first, field)
-        gap = tags - m
-        shown = np.bincount(words[~hides], gap[~hides], len(table))
-        every = shown + np.bincount(words[hides], gap[hides], len(table))
-        slope = np.bincount(table[:, 0], shown, 1 << BITS)
-        for column in table.T[1:]:
-            slope += np.bincount(column, every, 1 << BITS)
-        slope = slope / n - decay * field.weights
-        squares += slope**2
-        field.weights += rate * slope / np.sqrt(squares)
-        move = (seen - _pairs(first, m, field)) / n
-        move_squares += move**2
-        field.transitions = field.transitions + 0.2 * move / np.sqrt(move_squares)
-        starting = (began - np.array([(1 - m[first]).sum(), m[first].sum()])) / n
-        start_squares += starting**2
-        field.start = field.start + 0.2 * starting / np.sqrt(start_squares)
-    return field
+    starting = began - [(1 - m[first]).sum(), m[first].sum()]
+    return np.concatenate([slope, (seen - _pairs(first, m, field)).ravel(), starting])
+
+
+class Ascent:
+    """A field on its way to maximum likelihood, by AdaGrad steps on all chains together.
+
+    Slopes are sums over tokens: it takes some ``least`` of them to move a weight at full ``rate``, however many texts there are.
+    """
+
+    def __init__(self, rate: float = 0.5, decay: float = 0.25, least: float = 25.0):
+        self.field = Field(np.zeros(1 << BITS), np.zeros((2, 2)), np.zeros(2), np.zeros(4))
+        self.squares, self.move_squares, self.start_squares = (np.full(size, least**2) for size in (1 << BITS, (2, 2), 2))
+        self.rate, self.decay = rate, decay
+
+    def step(self, sums: np.ndarray) -> None:
+        field = self.field
+        slope = sums[: 1 << BITS] - self.decay * field.weights
+        self.squares += slope**2
+        field.weights = field.weights + self.rate * slope / np.sqrt(self.squares)
+        move, starting = sums[-6:-2].reshape(2, 2), sums[-2:]
+        self.move_squares += move**2
+        field.transitions = field.transitions + 0.2 * move / np.sqrt(self.move_squares)
+        self.start_squares += starting**2
+        field.start = field.start + 0.2 * starting / np.sqrt(self.start_squares)
+
+
+def coded_chains(texts: Iterable[tuple[str | None, int]], lexicon: frozenset[bytes]) -> Iterator[list[bytes]]:
+    """Labelled texts as training rows: features by word, the chains' words, their tags, the chains' lengths. A token
+    of a toxic text is toxic if the lexicon holds it or a beginning of it."""
+    number: dict[bytes, int] = {}
+    words_out, tags_out, lengths = [], [], []
+
+    def row() -> list[bytes]:
+        table = np.array([features(word) for word in number], np.int32)
+        found = [table, np.array(words_out, np.int32), np.array(tags_out, np.int8), np.array(lengths, np.int64)]
+        for held in (number, words_out, tags_out, lengths):
+            held.clear()
+        return [x.tobytes() for x in found]
+
+    for text, toxic in texts:
+        words = tokens(text)
+        for low in range(0, len(words), CHAIN):
+            chain = words[low : low + CHAIN]
+            words_out.extend(number.setdefault(word, len(number)) for word in chain)
+            tags_out.extend(toxic == 1 and any(unit in lexicon for unit in units(word)) for word in chain)
+            lengths.append(len(chain))
+            if len(words_out) >= GROUP:
+                yield row()
+    if lengths:
+        yield row()
 
 
 def _pairs(first: np.ndarray, m: np.ndarray, field: Field) -> np.ndarray:
@@ -294,8 +346,32 @@ def _telling(sample: DataFrame, lexicon: frozenset[bytes]) -> frozenset[bytes]:
     return frozenset(bytes(row.unit) for row in telling.toLocalIterator())  # of bounded documents
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", fit_rows: int = FIT_ROWS,
-        fit_windows: int = FIT_WINDOWS) -> Field | None:
+def _summed(coded: DataFrame, field: Field) -> np.ndarray:
+    """The expectations over all training rows: tasks sum theirs, the driver adds one row of bounded size a task."""
+    sent = coded.sparkSession.sparkContext.broadcast(field)
+    schema = pa.schema([("places", pa.binary()), ("sums", pa.binary())])
+    wide = (1 << BITS) + 6
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(wide)
+        for batch in batches:
+            for table, words, tags, lengths in zip(*(column.to_pylist() for column in batch.columns)):
+                total += expectations(
+                    sent.value, np.frombuffer(table, np.int32).reshape(-1, _FEATURES), np.frombuffer(words, np.int32),
+                    np.frombuffer(tags, np.int8).astype(np.int64), np.frombuffer(lengths, np.int64),
+                )
+        some = np.flatnonzero(total)
+        yield common.batch_of(schema, [[some.astype(np.int32).tobytes()], [total[some].tobytes()]])
+
+    total = np.zeros(wide)
+    rows = common.mapped(coded, sums, "places binary, sums binary").toArrow()  # one a task, of at most FIT_TASKS tasks
+    for places, found in zip(*(column.to_pylist() for column in rows.columns)):
+        total[np.frombuffer(places, np.int32)] += np.frombuffer(found)
+    sent.unpersist()
+    return total
+
+
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", fit_rows: int = FIT_ROWS) -> Field | None:
     """The field, learnt from at most ``fit_rows`` labelled documents a class; None without both classes."""
     chosen = common.sampled_labels(labels, label, held_out, fit_rows)
     sample = common.stored(
@@ -309,33 +385,21 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     for _ in range(2):  # the second time only among toxic documents that the first explains with fewer than two tokens
         lexicon = lexicon | _telling(sample, lexicon)
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
-            words_out, tags_out, places = [], [], []
-            for text, tag in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                words = tokens(text)
-                marked = [k for k, word in enumerate(words) if any(unit in lexicon for unit in units(word))]
-                toxic = set(marked) if tag == 1 else ()
-                seed = np.random.default_rng(zlib.crc32(b" ".join(words)))
-                some = seed.integers(0, max(1, len(words)), fit_windows)
-                for at in [*seed.permutation(marked)[: fit_windows - 2], *some][:fit_windows]:
-                    low = max(0, int(at) - WINDOW // 2)
-                    found = words[low : low + WINDOW]
-                    words_out.extend(found)
-                    tags_out.extend(int(low + k in toxic) for k in range(len(found)))
-                    places.extend(range(len(found)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words_out, pa.binary()), pa.array(tags_out, pa.int64()), pa.array(places, pa.int64())],
-                names=["word", "tag", "place"],
-            )
-
-    windows = common.mapped(sample, cut, "word binary, tag bigint, place bigint").toArrow()  # bounded by both parameters
-    coded = windows.column("word").combine_chunks().dictionary_encode()
-    field = fit_field(
-        coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-        windows.column("tag").to_numpy(), windows.column("place").to_numpy(),
-    )
-    del windows, coded
+    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (
+            pair
+            for batch in common.slices(batches)
+            for pair in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist())
+        )
+        for row in coded_chains(rows, lexicon):
+            yield common.batch_of(coded_schema, [[x] for x in row])
+
+    coded_schema = pa.schema([(name, pa.binary()) for name in ("features", "words", "tags", "lengths")])
+    coded = common.stored(common.mapped(sample.repartition(FIT_TASKS), code, "features binary, words binary, tags binary, lengths binary"))
+    climb = Ascent()
+    for _ in range(ROUNDS):
+        climb.step(_summed(coded, climb.field))
+    field = climb.field
 
     sent = docs.sparkSession.sparkContext.broadcast(field)
     name = uuid.uuid4().hex
