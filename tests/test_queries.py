@@ -2,7 +2,7 @@
 
 import pytest
 
-from checks import catalog, compare
+from checks import adapter, catalog, compare
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -28,3 +28,8 @@ def test_no_query_is_empty(spark):
 
 def test_every_reference_statement_has_a_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
+
+
+def test_messages_of_a_small_file_are_shared_by_all_cores(spark):
+    raw = adapter.raw_messages(spark, "/root/testdata/sf0.001")
+    assert raw.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
