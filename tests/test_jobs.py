@@ -2,6 +2,7 @@ import csv
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from threadloom.operators import analysis as analysing
 from threadloom.plans import jobs, stages
@@ -100,3 +101,22 @@ def test_feeds_without_conversations(spark, tmp_path, rows, rejected):
     assert [summary.collect() for summary in summaries][0][0].conversations_created == 0
     assert files.read_table(spark, tables, files.REJECTS).count() == rejected
     assert not (tmp_path / "export").exists()
+
+
+def test_export_goes_through_its_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    texts = [F.lit("x").alias(name) for name in RECOMMENDATION_COLUMNS if name != "conversation_id"]
+    numbers = spark.range(1000, numPartitions=8).mapInArrow(counted, "id BIGINT")
+    rows = numbers.select(F.col("id").alias("conversation_id"), *texts)
+    nothing = rows.groupBy(*RECOMMENDATION_COLUMNS).count().where("count > 1").drop("count")
+    assert not files.write_recommendations_csv(nothing, str(tmp_path / "none")) and not list(tmp_path.iterdir())
+    seen.value = 0
+    assert files.write_recommendations_csv(rows.repartition(4), str(tmp_path / "out"))
+    assert seen.value == 1000
+    assert files.read_recommendations_csv(spark, str(tmp_path / "out")).count() == 1000
