@@ -281,3 +281,11 @@ def test_tag_tables(spark):
     assert sorted(row.tag for row in analysis.unique_tags(frame).collect()) == ["a", "b"]
     texts = spark.createDataFrame([('["x"]',), ("[broken",), (None,), ('["y", "x"]',)], "tags STRING")
     assert sorted(row.tag for row in analysis.tags_from_json(texts).collect()) == ["x", "y"]
+
+
+def test_terms_add_up_in_columns_of_fixed_width(grouped_of):
+    features = analysis.conversation_features(transcripts.lines(grouped_of({1: [customer("urgent"), agent("thanks")]})))
+    kinds = [kind for name, kind in features.dtypes if name != "conversation_id"]
+    assert set(kinds) <= {"bigint", "double"}
+    plan = features._jdf.queryExecution().sparkPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
