@@ -90,3 +90,16 @@ def test_rows_of_their_own_are_not_combined(spark, raw, grouped_of):
     fresh = spark.createDataFrame([(2, "c"), (3, "d"), (3, "e")], "conversation_id BIGINT, note STRING")
     merged = analysis.upsert(stored, fresh)
     assert sorted(tuple(row) for row in merged.collect()) == [(1, "a"), (2, "c"), (3, "e")]
+
+
+def test_rows_are_not_shuffled_for_a_few_repeated_keys(raw, monkeypatch):
+    from threadloom.operators import scale
+
+    few = cleaning.clean_messages(raw)
+    assert "BroadcastHashJoin" in _plan(few) and "SortMergeJoin" not in _plan(few)
+    alone = cleaning.clean_messages(raw.where("tweet_id NOT IN ('2', '2.0')"))
+    assert "Join" not in _plan(alone) and "Exchange" not in _plan(alone)
+    monkeypatch.setattr(scale, "MAX_HOT_KEYS", 0)
+    many = cleaning.clean_messages(raw)
+    assert "BroadcastHashJoin" not in _plan(many)
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
