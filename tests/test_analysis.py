@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import rules, sentiment
 from threadloom.operators import analysis, transcripts
+from threadloom.operators.threads import BLOCK_MESSAGES
 from threadloom.schemas import RECORD_COLUMNS
 
 
@@ -289,3 +290,13 @@ def test_terms_add_up_in_columns_of_fixed_width(grouped_of):
     assert set(kinds) <= {"bigint", "double"}
     plan = features._jdf.queryExecution().sparkPlan().toString()
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_terms_add_up_by_conversation_before_the_shuffle(grouped_of):
+    long = [customer("the problem"), *[agent("hello")] * BLOCK_MESSAGES, customer("is gone, thanks")]
+    grouped = grouped_of({1: long, 2: [customer("gone"), agent("problem")]})
+    plan = analysis.conversation_features(transcripts.lines(grouped))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "Aggregate [conversation_id" in plan
+    rows = assessed(grouped)  # a gap between two blocks
+    assert rows[1].resolved_score == 1.8 and rows[1].message_count == BLOCK_MESSAGES + 2
+    assert rows[2].resolved_score == 0 and rows[2].message_count == 2
