@@ -54,3 +54,14 @@ def test_times(spark):
 @pytest.mark.parametrize("given", ["first time customer", "o'neil is 3rd-best", "API errors", "x", "état 2b or not2b"])
 def test_title_case(spark, given):
     assert values(spark, text.title_case, [given]) == [given.title()]
+
+
+def test_usual_ids_only_lose_what_follows_them(spark):
+    cases = {
+        "7": "7", "119237.0": "119237", "12.": "12", "12.50": "12", "9" * 37: "9" * 37, "9" * 38: "9" * 38, "9" * 39: "9" * 39,
+        "007.0": "7", "0": "0", "12\n": "12", "12.0\n": "12", " 12.0 ": "12", "+5": "5", "1.2.3": "1.2.3", "1e2": "100", "12a": "12a",
+    }
+    rows = spark.createDataFrame([(value,) for value in cases], "value STRING")
+    found = rows.select("value", text.clean_id(F.col("value")).alias("id"))
+    assert {row.value: row.id for row in found.collect()} == cases
+    assert "substring_index" in found._jdf.queryExecution().optimizedPlan().toString()
