@@ -103,3 +103,16 @@ def test_rows_are_not_shuffled_for_a_few_repeated_keys(raw, monkeypatch):
     many = cleaning.clean_messages(raw)
     assert "BroadcastHashJoin" not in _plan(many)
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+
+
+def test_texts_are_cleaned_once(raw):
+    """Dropping empty texts does not clean them a second time."""
+    plan = cleaning.drop_empty(cleaning.clean_texts(raw))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("https?") == 1
+
+
+def test_white_space_of_every_kind_is_folded(spark):
+    bodies = {"a b": "a b", "a\tb": "a b", "a  b": "a b", "　a b \n ": "a b", "a  b\x1fc": "a b c", "a\u0085b": "a b",
+              "\ta": "a", "a ": "a", " #tag \t": ""}
+    frame = spark.createDataFrame([(body,) for body in bodies], "text STRING")
+    assert [row.text for row in cleaning.clean_texts(frame).collect()] == list(bodies.values())
