@@ -102,3 +102,15 @@ def test_requests_hold_the_whole_text(spark, grouped_of):
     known = context.with_history(context.customer_context(made, grouped, none, members), grouped)
     asked = {row.conversation_id: row.prompt for row in model_exchange.recommendation_requests(known).collect()}
     assert "Customer: c1" in asked[1] and "\n---\n" in asked[1] and "Customer: none" in asked[2]
+
+
+def test_replies_are_read_once(spark):
+    """Leaving out replies by their reason does not read them again."""
+    replies = spark.createDataFrame([(1, "{}"), (2, "x")], "conversation_id BIGINT, response_text STRING")
+    read = model_exchange.read_recommendation_replies(replies)
+    usable = read.where("reject_reason IS NULL")
+
+    def parses(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+    assert parses(usable) == parses(read) > 0
